@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import flag, safe_div
 from seriesmill.plans.blocks import (
-    Layout, Rolling, Running, Smooth, ema_reach, from_blocks, lag, pct_change, span,
-    to_blocks, with_long_rolling, with_running, with_smooth,
+    Layout, Rolling, RunStep, Running, Smooth, ema_reach, from_blocks, lag, pct_change, span,
+    to_blocks, with_long_rolling, with_smooth,
 )
 
 EMA_SPANS = (9, 21, 50, 120, 200)
@@ -153,10 +153,12 @@ def add_volume(df: DataFrame, L: Layout) -> DataFrame:
     return df.withColumn("volume_spike", flag(F.col("volume_zscore_20") > 2.0))
 
 
-def add_obv(df: DataFrame, L: Layout) -> DataFrame:
+def _signed_volume(df: DataFrame, L: Layout) -> DataFrame:
     change = F.coalesce(F.col("close") - lag(L, "close"), F.lit(0.0))
-    df = df.withColumn("_signed", F.signum(change) * F.col("volume"))
-    return with_running(df, L, {"obv": Running("sum", "_signed")}).drop("_signed")
+    return df.withColumn("_signed", F.signum(change) * F.col("volume"))
+
+
+add_obv = RunStep(_signed_volume, {"obv": Running("sum", "_signed")}, lambda df, L: df.drop("_signed"))
 
 
 def add_vwap(df: DataFrame, L: Layout, sizes=(24, 72)) -> DataFrame:
@@ -174,14 +176,17 @@ def add_volatility(df: DataFrame, L: Layout, sizes=(20, 50, 100)) -> DataFrame:
     return df.withColumn("realized_volatility", F.col(f"realized_volatility_{sizes[0]}"))
 
 
-def add_extremes(df: DataFrame, L: Layout) -> DataFrame:
-    df = with_running(df, L, {"_ath": Running("max", "close"), "_atl": Running("min", "close")})
+def _extreme_distance(df: DataFrame, L: Layout) -> DataFrame:
     return df.withColumns({
         "distance_from_ath_pct": safe_div(F.col("close"), F.col("_ath")) - 1,
         "distance_from_atl_pct": safe_div(F.col("close"), F.col("_atl")) - 1,
     }).drop("_ath", "_atl")
 
 
+add_extremes = RunStep(lambda df, L: df, {"_ath": Running("max", "close"), "_atl": Running("min", "close")},
+                       _extreme_distance)
+
+
 def add_year_extremes(df: DataFrame, L: Layout, windows=YEAR_WINDOWS) -> DataFrame:
     """Distance from the high/low of fixed bar counts; NULL while the series is shorter."""
     specs, out = {}, {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import flag, safe_div
-from seriesmill.plans.blocks import Layout, Rolling, Running, lag, pct_change, with_running
+from seriesmill.plans.blocks import Layout, Rolling, RunStep, Running, lag, pct_change
 
 
 def swing_high(L: Layout, size: int) -> Column:
@@ -17,17 +17,15 @@ def swing_low(L: Layout, size: int) -> Column:
     return flag(F.col("low") < Rolling(L, size, shift=1).min("low"))
 
 
-def add_swings(df: DataFrame, L: Layout, size: int = 10) -> DataFrame:
-    """Swing flags, the last swing levels and the close's distance to them."""
+def _swing_levels(df: DataFrame, L: Layout, size: int = 10) -> DataFrame:
     df = df.withColumns({"swing_high_flag": swing_high(L, size), "swing_low_flag": swing_low(L, size)})
-    df = df.withColumns({
+    return df.withColumns({
         "_sh": F.when(F.col("swing_high_flag") > 0, F.col("high")),
         "_sl": F.when(F.col("swing_low_flag") > 0, F.col("low")),
     })
-    df = with_running(df, L, {
-        "last_swing_high": Running("last", "_sh"), "last_swing_low": Running("last", "_sl"),
-        "_prev_sh": Running("last", "_sh", strict=True), "_prev_sl": Running("last", "_sl", strict=True),
-    })
+
+
+def _swing_features(df: DataFrame, L: Layout) -> DataFrame:
     return df.withColumns({
         "distance_to_last_swing_high": safe_div(F.col("close"), F.col("last_swing_high")) - 1,
         "distance_to_last_swing_low": safe_div(F.col("close"), F.col("last_swing_low")) - 1,
@@ -38,13 +36,23 @@ def add_swings(df: DataFrame, L: Layout, size: int = 10) -> DataFrame:
     }).drop("_sh", "_sl", "_prev_sh", "_prev_sl")
 
 
-def add_structure_score(df: DataFrame, L: Layout) -> DataFrame:
-    """Each swing flag latches once seen; the score is their signed sum, held in -2..2."""
-    seen = {f"_seen_{k}": Running("max", f"swing_{k}_flag") for k in ("hh", "hl", "lh", "ll")}
-    df = with_running(df, L, seen)
+# swing flags, the last swing levels, the close's distance to them, and how each swing
+# compares with the one before
+add_swings = RunStep(_swing_levels, {
+    "last_swing_high": Running("last", "_sh"), "last_swing_low": Running("last", "_sl"),
+    "_prev_sh": Running("last", "_sh", strict=True), "_prev_sl": Running("last", "_sl", strict=True),
+}, _swing_features)
+
+
+def _score(df: DataFrame, L: Layout) -> DataFrame:
     score = F.col("_seen_hh") + F.col("_seen_hl") - F.col("_seen_lh") - F.col("_seen_ll")
-    return df.withColumn("market_structure_score",
-                         F.greatest(F.least(score, F.lit(2.0)), F.lit(-2.0))).drop(*seen)
+    held = F.greatest(F.least(score, F.lit(2.0)), F.lit(-2.0))
+    return df.withColumn("market_structure_score", held).drop("_seen_hh", "_seen_hl", "_seen_lh", "_seen_ll")
+
+
+# each swing flag latches once seen; the score is their signed sum, held in -2..2
+add_structure_score = RunStep(
+    lambda df, L: df, {f"_seen_{k}": Running("max", f"swing_{k}_flag") for k in ("hh", "hl", "lh", "ll")}, _score)
 
 
 def add_range(df: DataFrame, L: Layout, size: int) -> DataFrame:
@@ -84,16 +92,22 @@ def add_order_blocks(df: DataFrame, L: Layout) -> DataFrame:
     }).drop("_ob_up", "_ob_dn")
 
 
-def add_character_change(df: DataFrame, L: Layout, size: int = 5) -> DataFrame:
-    """Close beyond the last swing level known before this bar, once both levels exist."""
-    df = df.withColumns({
-        "_sh": F.when(swing_high(L, size) > 0, F.col("high")),
-        "_sl": F.when(swing_low(L, size) > 0, F.col("low")),
+def _short_swings(df: DataFrame, L: Layout, size: int = 5) -> DataFrame:
+    return df.withColumns({
+        "_top5": F.when(swing_high(L, size) > 0, F.col("high")),
+        "_bottom5": F.when(swing_low(L, size) > 0, F.col("low")),
     })
-    df = with_running(df, L, {"_top": Running("last", "_sh", strict=True),
-                              "_bottom": Running("last", "_sl", strict=True)})
+
+
+def _character_flags(df: DataFrame, L: Layout) -> DataFrame:
     top, bottom, close = F.col("_top"), F.col("_bottom"), F.col("close")
     return df.withColumns({
         "smc_choch_up_proxy": flag((close > top) & bottom.isNotNull()),
         "smc_choch_down_proxy": flag((close < bottom) & top.isNotNull()),
-    }).drop("_sh", "_sl", "_top", "_bottom")
+    }).drop("_top", "_bottom", "_top5", "_bottom5")
+
+
+# close beyond the last swing level known before this bar, once both levels exist
+add_character_change = RunStep(_short_swings, {
+    "_top": Running("last", "_top5", strict=True), "_bottom": Running("last", "_bottom5", strict=True),
+}, _character_flags)

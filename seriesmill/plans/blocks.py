@@ -17,7 +17,7 @@ Two kinds of computation follow from that layout:
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
@@ -282,3 +282,30 @@ def with_running(df: DataFrame, layout: Layout, specs: Mapping[str, Running]) ->
             merge = F.greatest if r.kind == "max" else F.least
             out[name] = merge(pick[r.kind](own).over(frame), prior)
     return joined.withColumns(out).drop(*[f"_k_{n}" for n in specs])
+
+
+@dataclass(frozen=True)
+class RunStep:
+    """Features built on running aggregates: columns before, the aggregates, columns after.
+
+    Each running aggregate reads the plan below it twice (rows and carries), so steps of
+    the same depth are applied together, in one pass.
+    """
+
+    prepare: Callable[[DataFrame, Layout], DataFrame]
+    specs: Mapping[str, Running]
+    finish: Callable[[DataFrame, Layout], DataFrame]
+
+    def __call__(self, df: DataFrame, layout: Layout) -> DataFrame:
+        return run_together(df, layout, [self])
+
+
+def run_together(df: DataFrame, layout: Layout, steps: Sequence[RunStep]) -> DataFrame:
+    specs: dict[str, Running] = {}
+    for step in steps:
+        df = step.prepare(df, layout)
+        specs |= step.specs
+    df = with_running(df, layout, specs)
+    for step in steps:
+        df = step.finish(df, layout)
+    return df
