@@ -35,8 +35,8 @@ fb AS MATERIALIZED (
   FROM b ASOF LEFT JOIN fund ON b.ts >= fund.ts ASOF LEFT JOIN oi ON b.ts >= oi.ts
   ASOF LEFT JOIN lsg ON b.ts >= lsg.ts ASOF LEFT JOIN lst ON b.ts >= lst.ts ASOF LEFT JOIN tk ON b.ts >= tk.ts)""")
 fragment("day", (), """
-day AS MATERIALIZED (SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS ts, avg(o_totalprice) AS v FROM orders GROUP BY 1)""")
-fragment("anchor_days", (), "anchor_days AS (SELECT * FROM (VALUES (TIMESTAMP '1996-01-01'), (TIMESTAMP '1999-01-01')) a(at))")
+day AS MATERIALIZED (SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS ts, max(o_totalprice) AS v FROM orders GROUP BY 1)""")
+fragment("anchor_days", (), "anchor_days AS (SELECT * FROM (VALUES (TIMESTAMP '1996-01-01'), (TIMESTAMP '1999-01-01')) a(adate))")
 
 
 def flow_query(name, columns, steps, exprs, before=51):
@@ -99,7 +99,7 @@ def j4(spark, sf_dir):
 
 
 @query("j5_last_anchor", sql(["d", "anchor_days"], """
-SELECT symbol, ts_ms, (SELECT max(epoch_ms(at)) FROM anchor_days WHERE at <= d.ts) AS anchor_ms FROM d"""))
+SELECT symbol, ts_ms, (SELECT max(epoch_ms(adate)) FROM anchor_days WHERE adate <= d.ts) AS anchor_ms FROM d"""))
 def j5(spark, sf_dir):
     df = daily_bars(spark, sf_dir)
     return df.select("symbol", to_ms(F.col("ts")).alias("ts_ms"),
@@ -207,7 +207,7 @@ daily_query("f45_dominance", list(ctx.DOMINANCE), _dominance, [], ["d", "day"],
 
 @query("f46_months_since_anchor", sql(["d", "anchor_days"], f"""
 SELECT symbol, ts_ms, {r6('floor((epoch(ts) - epoch(a)) / 86400) / 30.4375', 'cycle_months_since_halving')}
-FROM (SELECT d.*, (SELECT max(at) FROM anchor_days WHERE at <= d.ts) AS a FROM d)"""))
+FROM (SELECT d.*, (SELECT max(adate) FROM anchor_days WHERE adate <= d.ts) AS a FROM d)"""))
 def f46(spark, sf_dir):
     return out_columns(ctx.add_cycle_months(daily_bars(spark, sf_dir), anchors=DAY_ANCHORS), ["cycle_months_since_halving"])
 

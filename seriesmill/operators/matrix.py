@@ -55,7 +55,8 @@ def feature_matrix(bars: DataFrame, layout: Layout, feeds: Mapping[str, DataFram
     """Keys, ``ts``, OHLCV and about 130 causal feature columns, one row per bar.
 
     Running aggregates come first, on the narrow frame, because each reads its input
-    twice; everything after them shares one exchange and one sort.
+    twice; the blocks are then written once, and everything after them is one stage that
+    keeps their partitioning.
     """
     ind.require_columns(bars, (*layout.keys, layout.ts, *OHLCV))
     windows = ind.YEAR_WINDOWS if year_windows is None else year_windows
@@ -65,7 +66,7 @@ def feature_matrix(bars: DataFrame, layout: Layout, feeds: Mapping[str, DataFram
         joined = settle(joined)
     df = to_blocks(joined, L)
     df = run_together(df, L, [ind.add_obv, ind.add_extremes, stc.add_swings, stc.add_character_change, ctx.add_taker])
-    df = stc.add_structure_score(df, L)
+    df = settle(stc.add_structure_score(df, L))
     steps = [
         ind.add_returns, ind.add_ema, ind.add_ema_state, ind.add_sma, ind.add_rsi, ind.add_rsi_state, ind.add_macd,
         ind.add_bollinger, ind.add_true_range, ind.add_atr, ind.add_volume, ind.add_vwap, ind.add_volatility,

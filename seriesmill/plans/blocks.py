@@ -153,26 +153,27 @@ def with_long_rolling(df: DataFrame, layout: Layout,
     one (running from its end) and the head of the next (running from its start).
     """
     combine = {"max": F.max, "min": F.min, "mean": F.sum}
+    sizes: dict[int, dict[str, tuple[str, str]]] = {}
     for name, (kind, column, size) in specs.items():
-        stretch = f"_stretch_{size}"
-        if stretch not in df.columns:
-            df = df.withColumn(stretch, F.floor(F.col(POS) / F.lit(size)))
-        part = Window.partitionBy(*layout.keys, BLOCK, stretch)
+        sizes.setdefault(size, {})[name] = (kind, column)
+    for size, group in sizes.items():
+        part = Window.partitionBy(*layout.keys, BLOCK, "_stretch")
         up = part.orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
         down = part.orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
-        agg = combine[kind]
-        df = df.withColumn("_head", agg(column).over(up)).withColumn("_tail", agg(column).over(down))
-        tail = lag(layout, "_tail", size - 1)
+        df = df.withColumn("_stretch", F.floor(F.col(POS) / F.lit(size)))
+        df = df.withColumns({f"_head_{n}": combine[k](c).over(up) for n, (k, c) in group.items()})
+        df = df.withColumns({f"_tail_{n}": combine[k](c).over(down) for n, (k, c) in group.items()})
         closes = F.col(POS) % size == size - 1
-        if kind == "max":
-            merged = F.greatest(F.col("_head"), tail)
-        elif kind == "min":
-            merged = F.least(F.col("_head"), tail)
-        else:
-            merged = (F.col("_head") + tail) / F.lit(size)
-            merged = F.when(closes, F.col("_head") / F.lit(size)).otherwise(merged)
-        df = df.withColumn(name, F.when(F.col(POS) >= size - 1, merged)).drop("_head", "_tail")
-    return df.drop(*[c for c in df.columns if c.startswith("_stretch_")])
+        out = {}
+        for name, (kind, _) in group.items():
+            head, tail = F.col(f"_head_{name}"), lag(layout, f"_tail_{name}", size - 1)
+            if kind == "mean":
+                merged = F.when(closes, head).otherwise(head + tail) / F.lit(size)
+            else:
+                merged = (F.greatest if kind == "max" else F.least)(head, tail)
+            out[name] = F.when(F.col(POS) >= size - 1, merged)
+        df = df.withColumns(out).drop("_stretch", *[f"_{e}_{n}" for n in group for e in ("head", "tail")])
+    return df
 
 
 # --- smoothing averages -------------------------------------------------------------

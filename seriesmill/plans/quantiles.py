@@ -29,6 +29,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
         F.count(F.lit(1)).alias("_n"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
+    # a small group (at most ten values per unit of sketch error) is its own bracket
+    whole = F.col("_n") <= 10 * accuracy
     # one row per group: the wanted bracket per probability
     brackets = sized(sketch.select(
         *groups, "_n",
@@ -36,8 +38,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
             F.struct(
                 F.lit(float(p)).alias("p"),
                 (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-                (F.col("_min") if low[i] == 0.0 else F.col("_lo")[i]).alias("lo"),
-                (F.col("_max") if high[i] == 1.0 else F.col("_hi")[i]).alias("hi"))
+                (F.col("_min") if low[i] == 0.0 else F.when(whole, F.col("_min")).otherwise(F.col("_lo")[i])).alias("lo"),
+                (F.col("_max") if high[i] == 1.0 else F.when(whole, F.col("_max")).otherwise(F.col("_hi")[i])).alias("hi"))
             for i, p in enumerate(probs)
         ]).alias("_want"),
     ))

@@ -34,10 +34,10 @@ def derivative_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(ts, value)``: mean order value per day."""
+    """``(ts, value)``: highest order value per day."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate", "o_totalprice")
     return (orders.groupBy(F.date_trunc("day", F.col("o_orderdate").cast("timestamp")).alias("ts"))
-            .agg(F.avg("o_totalprice").alias("value")))
+            .agg(F.max("o_totalprice").alias("value")))
 
 
 def sparse_series(spark: SparkSession, sf_dir: str) -> DataFrame:
