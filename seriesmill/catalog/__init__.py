@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from seriesmill.catalog import context, features, labels  # noqa: F401
+from seriesmill.catalog import context, dataset, features, labels  # noqa: F401
 from seriesmill.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -93,3 +93,19 @@ def out_columns(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ("sy
     """Ids, ``ts`` as epoch ms, and rounded doubles."""
     when = [to_ms(F.col("ts")).alias("ts_ms")] if "ts" in df.columns else []
     return df.select(*ids, *when, *[rnd(c, digits).alias(c) for c in columns])
+
+
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """A derived table several queries read, written once per session.
+
+    It stands for the stored feature and label tables that dataset, model and drift jobs
+    read instead of recomputing them.
+    """
+    from seriesmill.plans.materialize import settle
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SHARED:
+        _SHARED[key] = settle(build(spark, sf_dir))
+    return _SHARED[key]

@@ -1,6 +1,137 @@
-"""Training sets."""
-from pyspark.sql import DataFrame, functions as F
-from seriesmill.plans.blocks import Layout, POS
-def add_sequence(df: DataFrame, L: Layout, columns, length: int, name: str = "x_seq") -> DataFrame:
-    steps = F.collect_list(F.array(*[F.col(c).cast("double") for c in columns])).over(L.frame(-(length - 1)))
-    return df.withColumn(name, F.when(F.col(POS) >= length - 1, steps))
+"""Training sets: chronological splits, train-only scaling, sequence windows, class weights."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from seriesmill.functions.scalar import is_finite, map_ids
+from seriesmill.keys import ASSET_IDS, CYCLE_IDS, REGIME_IDS, TIMEFRAME_IDS
+from seriesmill.plans.blocks import POS, TOTAL, Layout, from_blocks, to_blocks, with_positions
+from seriesmill.plans.materialize import sized
+from seriesmill.plans.quantiles import quantile_table, unpivot
+
+TRAIN_SHARE, VALIDATION_SHARE, EMBARGO_BARS = 0.70, 0.15, 10
+
+
+def join_labels(features: DataFrame, labels: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
+    """Inner join on series and time, unusable directions left out."""
+    return features.join(labels, [*keys, ts]).where(F.col("direction").isin(0, 1, 2))
+
+
+def _positions(df: DataFrame, layout: Layout) -> DataFrame:
+    bucket = F.floor(F.unix_millis(F.col(layout.ts)) / F.lit(layout.bucket_ms))
+    return with_positions(df, layout.keys, bucket, [layout.ts])
+
+
+def add_split(df: DataFrame, layout: Layout, train: float = TRAIN_SHARE, validation: float = VALIDATION_SHARE,
+              embargo: int = EMBARGO_BARS, purge: bool = False, name: str = "split") -> DataFrame:
+    """train / val / test by position in the series, with a gap before val and test.
+
+    Rows inside a gap get NULL.  ``purge`` also drops rows whose label looks into the
+    next part (position + ``barrier_hit_offset``).
+    """
+    df = _positions(df, layout)
+    train_end = F.floor(F.col(TOTAL) * F.lit(train))
+    val_end = train_end + F.floor(F.col(TOTAL) * F.lit(validation))
+    reach = F.col(POS) + (F.coalesce(F.col("barrier_hit_offset"), F.lit(0.0)) if purge else F.lit(0.0))
+    part = (F.when((F.col(POS) < train_end) & (reach < train_end if purge else F.lit(True)), "train")
+            .when((F.col(POS) >= train_end + embargo) & (F.col(POS) < val_end)
+                  & (reach < val_end if purge else F.lit(True)), "val")
+            .when(F.col(POS) >= val_end + embargo, "test"))
+    return df.withColumn(name, part)
+
+
+def walk_forward(df: DataFrame, layout: Layout, folds: int = 5, train_days: int = 365, validation_days: int = 90,
+                 test_days: int = 90) -> DataFrame:
+    """Rows with their (fold, split) memberships; the training part grows by one test part per fold."""
+    first = sized(df.groupBy(*layout.keys).agg(F.min(layout.ts).alias("_t0")))
+    joined = df.join(first, list(layout.keys))
+    day = (F.unix_millis(F.col(layout.ts)) - F.unix_millis("_t0")) / F.lit(86_400_000)
+    parts = []
+    for k in range(folds):
+        a = train_days + k * test_days
+        b, c = a + validation_days, a + validation_days + test_days
+        part = F.when(day < a, "train").when(day < b, "val").when(day < c, "test")
+        parts.append(F.struct(F.lit(k).alias("fold"), part.alias("split")))
+    return (joined.withColumn("_p", F.explode(F.array(*parts)))
+            .select(*df.columns, F.col("_p.fold").alias("fold"), F.col("_p.split").alias("split"))
+            .where(F.col("split").isNotNull()))
+
+
+def fit_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], train: Column) -> DataFrame:
+    """Exact training medians: ``keys, feature, median``."""
+    long = unpivot(df.where(train), keys, columns)
+    return quantile_table(long, [*keys, "feature"], "value", {"median": 0.5})
+
+
+def fit_scaler(df: DataFrame, keys: Sequence[str], columns: Sequence[str], train: Column,
+               medians: DataFrame | None = None) -> DataFrame:
+    """Median, mean and population deviation of the imputed training rows, per feature."""
+    at = [*keys, "feature"]
+    medians = sized(fit_medians(df, keys, columns, train) if medians is None else medians)
+    long = unpivot(df.where(train), keys, columns).join(medians, at)
+    filled = F.coalesce("value", "median")
+    return long.groupBy(*at).agg(F.max("median").alias("median"), F.avg(filled).alias("mean"),
+                                 F.stddev_pop(filled).alias("std"))
+
+
+def scale(df: DataFrame, keys: Sequence[str], columns: Sequence[str], scaler: DataFrame) -> DataFrame:
+    """Impute and standardise; what is still not finite (e.g. no training value) becomes 0."""
+    entry = F.struct("feature", F.struct("median", "mean", "std").alias("s"))
+    # one map per series, with one entry per feature
+    maps = sized(scaler.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_s")))
+    joined = df.join(maps, list(keys), "left")
+    out = {}
+    for c in columns:
+        s = F.try_element_at(F.col("_s"), F.lit(c))
+        spread = F.when(s["std"] == 0, 1.0).otherwise(s["std"])
+        z = F.try_divide(F.coalesce(F.col(c), s["median"]) - s["mean"], spread)
+        out[c] = F.when(is_finite(z), z).otherwise(0.0)
+    return joined.withColumns(out).drop("_s")
+
+
+def add_sequence(df: DataFrame, L: Layout, columns: Sequence[str], length: int, name: str = "x_seq") -> DataFrame:
+    """The last ``length`` rows of ``columns`` as an array of arrays; NULL where too few exist."""
+    step = F.array(*[F.col(c).cast("double") for c in columns])
+    rows = F.collect_list(step).over(L.frame(-(length - 1)))
+    return df.withColumn(name, F.when(F.col(POS) >= length - 1, rows))
+
+
+def sequence_windows(df: DataFrame, layout: Layout, sequence: Sequence[str], context: Sequence[str],
+                     length: int) -> DataFrame:
+    """One row per sample: sequence array, context vector, ids and the four targets."""
+    L = layout.reach(before=length)
+    placed = add_sequence(to_blocks(df, L), L, sequence, length)
+    kept = from_blocks(placed).where(F.col("x_seq").isNotNull() & F.col("split").isNotNull())
+    return kept.select(
+        *layout.keys, layout.ts, "split", "x_seq", F.array(*[F.col(c) for c in context]).cast("array<double>").alias("x_context"),
+        map_ids(F.col("symbol"), ASSET_IDS, 0).alias("asset_id"),
+        map_ids(F.col("timeframe"), TIMEFRAME_IDS, 1).alias("tf_id"),
+        F.col("direction").cast("int").alias("y_direction"),
+        map_ids(F.col("regime"), REGIME_IDS, REGIME_IDS["ranging_low_vol"]).alias("y_regime"),
+        map_ids(F.col("cycle"), CYCLE_IDS, CYCLE_IDS["accumulation"]).alias("y_cycle"),
+        F.col("trade_quality").cast("int").alias("y_trade_quality"))
+
+
+def class_weights(df: DataFrame, label: str = "y", classes: int = 3) -> DataFrame:
+    """1/sqrt(count) per class, normalised to mean 1; an absent class counts as one row."""
+    counts = df.groupBy(F.col(label).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    grid = df.sparkSession.range(classes).select(F.col("id").cast("int").alias("label"))
+    full = grid.join(counts, F.col("label") == F.col("_c"), "left")
+    raw = full.select("label", F.coalesce("_n", F.lit(0)).alias("rows"),
+                      (1 / F.sqrt(F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1)).cast("double"))).alias("_w"))
+    every = Window.partitionBy(F.lit(0))  # one row per class
+    return raw.select("label", "rows", (F.col("_w") / F.avg("_w").over(every)).alias("weight"))
+
+
+def dataset_spec(samples: DataFrame, keys: Sequence[str], sequence: int, context: int, length: int,
+                 embargo: int = EMBARGO_BARS) -> DataFrame:
+    """Sample counts per split and the shape of the inputs."""
+    count = lambda s: F.sum(F.when(F.col("split") == s, 1).otherwise(0)).cast("bigint")
+    return samples.groupBy(*keys).agg(
+        count("train").alias("train_rows"), count("val").alias("val_rows"), count("test").alias("test_rows"),
+        F.lit(length).cast("bigint").alias("seq_len"), F.lit(embargo).cast("bigint").alias("embargo_bars"),
+        F.lit(sequence).cast("bigint").alias("feature_count_seq"),
+        F.lit(context).cast("bigint").alias("feature_count_context"))
