@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from seriesmill.catalog import context, dataset, features, labels, trading  # noqa: F401
+from seriesmill.catalog import context, dataset, evaluation, features, labels, modelling, trading  # noqa: F401
 from seriesmill.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

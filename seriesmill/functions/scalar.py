@@ -81,4 +81,5 @@ def months_since(ts: Column, anchor: Column) -> Column:
 
 def rnd(x: Column | str, digits: int = 6) -> Column:
     """Round for comparison across engines; adding 0.0 removes a negative zero."""
-    return F.round(col(x).cast("double"), digits) + F.lit(0.0)
+    value = col(x).cast("double")
+    return F.when(F.abs(value) == float("inf"), value).otherwise(F.round(value, digits) + F.lit(0.0))

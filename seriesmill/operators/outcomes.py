@@ -187,6 +187,7 @@ def equity_metrics(curve: DataFrame, layout: Layout, initial: float = INITIAL_EQ
         (F.min(F.try_divide(F.col("equity") - F.col("_peak"), F.col("_peak"))) * 100).alias("max_drawdown_pct"),
         F.when((n < 2) | (spread == 0), 0.0).otherwise(F.try_divide(mean, spread) * root).alias("sharpe"),
         F.when(n < 2, 0.0).when(losing == 0, F.when(mean > 0, float("inf")).otherwise(0.0))
+        .when(down == 0, F.when(mean > 0, float("inf")).when(mean < 0, float("-inf")))
         .otherwise(F.try_divide(mean, down) * root).alias("sortino"))
 
 
