@@ -109,3 +109,8 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFra
     if key not in _SHARED:
         _SHARED[key] = settle(build(spark, sf_dir))
     return _SHARED[key]
+
+
+def forget_shared() -> None:
+    """Drop the session's shared tables (measurements start from the given tables)."""
+    _SHARED.clear()

@@ -44,7 +44,7 @@ def flow_query(name, columns, steps, exprs, before=51):
 
     @query(name, text)
     def run(spark, sf_dir):
-        joined = ctx.join_derivatives(bars(spark, sf_dir), given.derivative_feeds(spark, sf_dir))
+        joined = ctx.join_derivatives(bars(spark, sf_dir), given.derivative_feeds(spark, sf_dir), grid_ms=HOURLY.step_ms)
         return out_columns(ind.on_bars(joined, HOURLY, *steps, before=before), columns, digits=8)
 
 
@@ -158,7 +158,7 @@ def daily_query(name, columns, prepare, steps, deps, table, exprs, before=31, di
 def _onchain(spark, sf_dir):
     feeds = {m: given.shifted_series(spark, sf_dir, k, k + 1.0) for k, m in enumerate(ctx.ONCHAIN_BTC)}
     feeds["eth_supply"] = given.sparse_series(spark, sf_dir)
-    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.ONCHAIN_BTC + ctx.ONCHAIN_ETH)
+    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.ONCHAIN_BTC + ctx.ONCHAIN_ETH, grid_ms=DAILY.step_ms)
 
 
 _chain_table = "(SELECT d.*, " + ", ".join(f"m{k}.v AS x{k}" for k in range(7)) + ", sp.v AS eth FROM d " + " ".join(
@@ -172,7 +172,7 @@ daily_query("f42_onchain", list(_chain), _onchain, [ctx.add_onchain], ["d", "day
 
 
 def _sentiment(spark, sf_dir):
-    return ctx.join_series(daily_bars(spark, sf_dir), {"fear_greed": given.fear_greed_series(spark, sf_dir)}, ["fear_greed"])
+    return ctx.join_series(daily_bars(spark, sf_dir), {"fear_greed": given.fear_greed_series(spark, sf_dir)}, ["fear_greed"], grid_ms=DAILY.step_ms)
 
 
 _fg = ["fear_greed", "fear_greed_zscore_30", "fear_greed_delta", "fear_greed_extreme_fear", "fear_greed_extreme_greed"]
@@ -184,7 +184,7 @@ daily_query("f43_fear_greed", _fg, _sentiment, [ctx.add_sentiment], ["d", "day"]
 
 def _macro(spark, sf_dir):
     feeds = {m: given.shifted_series(spark, sf_dir, 2 * k, k + 1.0) for k, m in enumerate(ctx.MACRO)}
-    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.MACRO, prefix="macro_")
+    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.MACRO, prefix="macro_", grid_ms=DAILY.step_ms)
 
 
 _macro_sql = {f"macro_{m}": f"x{k}" for k, m in enumerate(ctx.MACRO)} | {
@@ -196,7 +196,7 @@ daily_query("f44_macro", list(_macro_sql), _macro, [ctx.add_macro_returns], ["d"
 
 def _dominance(spark, sf_dir):
     feeds = {m: given.shifted_series(spark, sf_dir, k, 1.0 / (k + 1)) for k, m in enumerate(ctx.DOMINANCE)}
-    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.DOMINANCE)
+    return ctx.join_series(daily_bars(spark, sf_dir), feeds, ctx.DOMINANCE, grid_ms=DAILY.step_ms)
 
 
 daily_query("f45_dominance", list(ctx.DOMINANCE), _dominance, [], ["d", "day"],

@@ -11,6 +11,7 @@ from seriesmill.catalog.trading import CURVE, curve, metrics, trades
 from seriesmill.functions.scalar import rnd, to_ms
 from seriesmill.keys import RETRAIN_MIN_BARS
 from seriesmill.operators import drift, evaluate as ev, monitor, outcomes as out, signals as sig
+from seriesmill.plans.materialize import with_scalars
 from seriesmill.plans.quantiles import unpivot
 from seriesmill.sources import given
 from seriesmill.sources.ticks import bars
@@ -114,7 +115,7 @@ def e6(spark, sf_dir):
     train, evaluated = _train_eval(spark, sf_dir)
     model = ev.summary(evaluated, "y", "predicted").select(F.col("macro_f1").alias("_m"))
     base = ev.majority_baseline(train, evaluated, "y").select(F.col("macro_f1").alias("_b"))
-    both = model.crossJoin(base)  # one row each
+    both = with_scalars(model, base)
     return both.select(rnd("_m").alias("model_macro_f1"), rnd("_b").alias("baseline_macro_f1"), (F.col("_m") > F.col("_b")).alias("beats_majority"))
 
 
@@ -182,7 +183,7 @@ def e10(spark, sf_dir):
     df = given.predictions(spark, sf_dir)
     top = df.agg(F.max("event_id").alias("_m"))
     k = F.col("event_id")
-    marked = df.crossJoin(F.broadcast(top)).withColumn(  # one row on the right
+    marked = with_scalars(df, top).withColumn(
         "sample", F.when(k < 0.7 * F.col("_m"), "ref").when(k >= 0.85 * F.col("_m"), "cur"))
     named = marked.select("sample", *[F.col(f"p_{c}").alias(f"pred_{c}") for c in ("down", "sideways", "up")])
     t = drift.drift_table(named, ["pred_down", "pred_sideways", "pred_up"])

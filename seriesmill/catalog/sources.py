@@ -118,13 +118,9 @@ def s7(spark, sf_dir):
 
 # --- feeds --------------------------------------------------------------------------
 
-def _lines(df, struct, bucket):
-    """JSON arrays of at most an hour of objects each."""
-    return df.groupBy(bucket).agg(F.to_json(F.collect_list(struct)).alias("value")).select("value")
-
-
-def hour():
-    return F.date_trunc("hour", F.col("ts")).alias("h")
+def _lines(df, struct):
+    """One JSON array per row, as a feed page with a single object."""
+    return df.select(F.to_json(F.array(struct)).alias("value"))
 
 
 @query("s8_funding_events", f"""
@@ -133,7 +129,7 @@ def s8(spark, sf_dir):
     e = events(spark, sf_dir).where("event_type = 'error'")
     rate = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(((F.col("value") - 50) / 100000).cast("string"))
     obj = F.struct(to_ms(F.col("ts")).alias("fundingTime"), rate.alias("fundingRate"), F.col("value").cast("string").alias("markPrice"))
-    f = feeds.funding_events(_lines(e, obj, hour()))
+    f = feeds.funding_events(_lines(e, obj))
     return f.select(ms(), rnd("funding_rate", 9).alias("funding_rate"), rnd("mark_price").alias("mark_price"))
 
 
@@ -150,7 +146,7 @@ def s9(spark, sf_dir):
         fields = feeds.METRIC_FIELDS[name]
         e = events(spark, sf_dir).where(F.col("event_type") == kind)
         obj = F.struct(to_ms(F.col("ts")).alias("timestamp"), *[(F.col("value") + 1000 + k).cast("string").alias(f) for k, f in enumerate(fields)])
-        parsed = feeds.metric_feed(_lines(e, obj, hour()), fields)
+        parsed = feeds.metric_feed(_lines(e, obj), fields)
         part = parsed.select(F.lit(name).alias("feed"), ms(), rnd(next(iter(fields.values()))).alias("first_metric"))
         out = part if out is None else out.unionByName(part)
     return out

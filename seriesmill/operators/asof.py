@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from seriesmill.keys import SERIES_KEYS
 
 
+BUCKET_STEPS = 4_096
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the last in ``order`` (pre-aggregated, so a hot key is no hot task)."""
     rest = [c for c in df.columns if c not in keys]
@@ -22,16 +25,35 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(newest.alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest])
 
 
+def on_grid(feed: DataFrame, on: Sequence[str], ts: str, grid_ms: int) -> DataFrame:
+    """The last feed row up to each grid point, dated at that point."""
+    point = F.ceil(F.unix_millis(F.col(ts)) / F.lit(grid_ms)) * F.lit(grid_ms)
+    # sub-millisecond parts count as later than the millisecond
+    later = F.unix_micros(F.col(ts)) > F.unix_millis(F.col(ts)) * 1000
+    exact = F.unix_millis(F.col(ts)) % grid_ms == 0
+    point = F.when(exact & later, point + grid_ms).otherwise(point)
+    values = [c for c in feed.columns if c not in (*on, ts)]
+    reduced = feed.groupBy(*on, F.timestamp_millis(point).alias("_point")).agg(F.max_by(F.struct(*values), ts).alias("_v"))
+    return reduced.select(*on, F.col("_point").alias(ts), *[F.col(f"_v.{c}") for c in values])
+
+
 def asof_join(bars: DataFrame, feeds: Mapping[str, DataFrame], *, on: Sequence[str] = (),
-              ts: str = "ts", bucket_ms: int = 14_400_000_000, fanout: int = 8,
-              salt_by: Sequence[str] = SERIES_KEYS) -> DataFrame:
+              ts: str = "ts", bucket_ms: int | None = None, fanout: int = 8,
+              salt_by: Sequence[str] = SERIES_KEYS, grid_ms: int | None = None) -> DataFrame:
     """Add one struct column per feed holding its latest row at or before ``ts``.
 
     ``feeds`` maps the new column to a frame ``(*on, ts, values...)`` with unique
     ``(*on, ts)``.  All feeds travel in one union, so any number of them costs one
     exchange of the bars.  With ``on=()`` the feeds are market-wide: bars are spread
     over ``fanout`` salts per bucket and the (much smaller) feeds are copied to each.
+
+    ``grid_ms`` says that bars start on multiples of that step: only the last feed row
+    between two grid points can matter, so feeds are reduced to one row per step before
+    they are shuffled, however dense they are.
     """
+    if grid_ms:
+        feeds = {n: on_grid(f, on, ts, grid_ms) for n, f in feeds.items()}
+    bucket_ms = bucket_ms or BUCKET_STEPS * (grid_ms or 3_600_000)
     names = list(feeds)
     bucket = F.floor(F.unix_millis(F.col(ts)) / F.lit(bucket_ms))
     structs = {n: F.struct(*[c for c in f.columns if c not in (*on, ts)]) for n, f in feeds.items()}

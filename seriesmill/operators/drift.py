@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import is_finite
 from seriesmill.plans.blocks import POS, TOTAL, Layout, with_positions
-from seriesmill.plans.materialize import sized
+from seriesmill.plans.materialize import sized, with_scalars
 from seriesmill.plans.quantiles import exact_quantiles, unpivot
 
 EPSILON, MODERATE, SIGNIFICANT = 1e-6, 0.10, 0.25
@@ -85,7 +85,7 @@ def class_shares(df: DataFrame, column: str, groups: Sequence[str] = ()) -> Data
     counts = df.where(F.col("sample").isNotNull()).groupBy(*groups, F.col(column)).agg(
         F.count(F.when(F.col("sample") == "ref", 1)).alias("_r"), F.count(F.when(F.col("sample") == "cur", 1)).alias("_c"))
     totals = counts.groupBy(*groups).agg(F.sum("_r").alias("_nr"), F.sum("_c").alias("_nc"))
-    joined = counts.join(totals, list(groups)) if groups else counts.crossJoin(F.broadcast(totals))
+    joined = counts.join(totals, list(groups)) if groups else with_scalars(counts, totals)
     return joined.select(*groups, column, F.try_divide(F.col("_r").cast("double"), F.col("_nr")).alias("reference_share"),
                          F.try_divide(F.col("_c").cast("double"), F.col("_nc")).alias("current_share"))
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.plans.blocks import Layout, Rolling, Running, from_blocks, to_blocks, with_running
+from seriesmill.plans.materialize import with_scalars
 from seriesmill.plans.prefix import totals_below
 
 CLASSES = (0, 1, 2)
@@ -62,7 +63,7 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """Sum of recall steps times precision over distinct scores, highest first."""
     rows = totals_below(df, score, {"pos": F.col(label).cast("bigint"), "n": F.lit(1).cast("bigint")})
     whole = df.agg(F.sum(F.col(label).cast("bigint")).alias("_p"), F.count(F.lit(1)).alias("_n"))
-    joined = rows.crossJoin(F.broadcast(whole))  # one row on the right
+    joined = with_scalars(rows, whole)
     precision = F.try_divide((F.col("_p") - F.col("pos_below")).cast("double"), F.col("_n") - F.col("n_below"))
     return joined.agg(F.sum(F.try_divide(F.col("pos").cast("double"), F.col("_p")) * precision).alias("average_precision"))
 
@@ -71,8 +72,7 @@ def majority_baseline(train: DataFrame, evaluated: DataFrame, label: str) -> Dat
     """Score of always predicting the most frequent training class (lowest on ties)."""
     top = train.groupBy(F.col(label).alias("majority")).agg(F.count(F.lit(1)).alias("_n")).orderBy(
         F.col("_n").desc(), "majority").limit(1).select("majority")
-    scored = evaluated.crossJoin(F.broadcast(top))  # one row on the right
-    return summary(scored, label, "majority", ["majority"])
+    return summary(with_scalars(evaluated, top), label, "majority", ["majority"])
 
 
 def calibration(df: DataFrame, probability: str, hit: Column, bins: int = 10) -> DataFrame:

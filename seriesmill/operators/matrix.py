@@ -46,7 +46,7 @@ def join_context(bars: DataFrame, feeds: Mapping[str, DataFrame], spot: DataFram
         return joined.withColumn("spot_close", F.col("close"))
     right = spot.select("symbol", "timeframe", "ts", F.col("close").alias("spot_close"))
     return asof_columns(joined, {"spot": right}, on=("symbol", "timeframe"),
-                        **{k: v for k, v in options.items() if k == "bucket_ms"})
+                        **{k: v for k, v in options.items() if k in ("bucket_ms", "grid_ms")})
 
 
 def feature_matrix(bars: DataFrame, layout: Layout, feeds: Mapping[str, DataFrame] | None = None,
@@ -61,7 +61,7 @@ def feature_matrix(bars: DataFrame, layout: Layout, feeds: Mapping[str, DataFram
     ind.require_columns(bars, (*layout.keys, layout.ts, *OHLCV))
     windows = ind.YEAR_WINDOWS if year_windows is None else year_windows
     L = layout.reach(before=max([MATRIX_LOOKBACK, *windows.values()]))
-    joined = join_context(bars, feeds or {}, spot, **asof_options)
+    joined = join_context(bars, feeds or {}, spot, **{"grid_ms": layout.step_ms, **asof_options})
     if feeds or spot is not None:
         joined = settle(joined)
     df = to_blocks(joined, L)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from seriesmill.operators.signals import model_signal
+from seriesmill.plans.materialize import with_scalars
 
 # Gates.
 MIN_SHADOW_SIGNALS, MAX_CHATTER = 30, 3
@@ -61,7 +62,7 @@ def promotion_gate(candidates: DataFrame, production: DataFrame) -> DataFrame:
     """
     names = ("direction_macro_f1", "backtest_profit_factor", "max_drawdown_pct", "expectancy_r")
     prod = production.limit(1).select(F.col("model_id").alias("production_id"), *[F.col(n).alias(f"_p_{n}") for n in names])
-    joined = candidates.join(F.broadcast(prod), F.lit(True), "left")  # one row on the right
+    joined = with_scalars(candidates, prod)
     value = lambda n: F.coalesce(F.col(n), F.lit(0.0))
     cold = F.col("production_id").isNull()
     tested = (value("backtest_profit_factor") > 0) | (value("expectancy_r") != 0)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seriesmill.plans.blocks import POS, TOTAL, with_positions
 from seriesmill.plans.gram import correlations
-from seriesmill.plans.materialize import settle, sized
+from seriesmill.plans.materialize import settle, sized, with_scalars
 from seriesmill.plans.quantiles import exact_quantiles, unpivot
 
 # Stage thresholds and the features every selection keeps when present.
@@ -84,7 +84,7 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
 
     def numbered(salt: int) -> DataFrame:
         h = F.xxhash64(*[F.col(c) for c in ids], F.lit(salt))
-        return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), 54), ["_h", *ids]).drop(TOTAL, "_h")
+        return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), 44), ["_h", *ids]).drop(TOTAL, "_h")
 
     rows = numbered(seed)
     parts = []
@@ -99,7 +99,7 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
     hit = (F.col("prediction") == F.col("_y")).cast("double")
     base = model.transform(assemble.transform(data)).agg(F.avg(hit).alias("_base"))
     scored = model.transform(assemble.transform(shuffled)).groupBy("feature").agg(F.avg(hit).alias("_acc"))
-    return scored.crossJoin(F.broadcast(base)).select("feature", (F.col("_base") - F.col("_acc")).alias("score"))  # one row on the right
+    return with_scalars(scored, base).select("feature", (F.col("_base") - F.col("_acc")).alias("score"))
 
 
 def select_features(train: DataFrame, validation: DataFrame, columns: Sequence[str], label: str, ids: Sequence[str],

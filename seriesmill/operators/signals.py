@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import col
+from seriesmill.plans.materialize import with_scalars
 
 THRESHOLD, QUALITY = 0.58, 0.60
 # The threshold grid.
@@ -105,7 +106,7 @@ def tune_thresholds(df: DataFrame, label: str = "y", min_precision: float = 0.45
         tp, fp, fn = (F.col(f"{m}{k}") for m in ("tp", "fp", "fn"))
         f1 = f1 + ratio(2 * tp, 2 * tp + fp + fn)
         seen = seen + F.when(tp + fp + fn > 0, 1).otherwise(0)
-    scored = scored.crossJoin(F.broadcast(total)).withColumns({  # one row on the right
+    scored = with_scalars(scored, total).withColumns({
         "macro_f1": ratio(f1, seen),
         "long_precision": ratio(F.col("tp2"), F.col("tp2") + F.col("fp2")),
         "short_precision": ratio(F.col("tp0"), F.col("tp0") + F.col("fp0")),

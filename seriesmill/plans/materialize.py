@@ -26,3 +26,10 @@ def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     done = settle(df)
     return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the values of a one-row summary as constants (one row reaches the driver)."""
+    row = one_row.first()
+    types = {f.name: f.dataType for f in one_row.schema.fields}
+    return df.withColumns({n: F.lit(row[n] if row else None).cast(t) for n, t in types.items()})

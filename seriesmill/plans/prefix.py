@@ -1,8 +1,8 @@
 """Running totals over the sorted values of one column, without a single-task sort.
 
-Values are reduced to one row per distinct value first (so ties cannot be hot), cut into
-buckets at approximate quantiles, and summed per bucket; a table of one row per bucket
-carries the totals forward.
+Values are reduced to one row per distinct value first (so ties cannot be hot) and range
+partitioned; the partition numbers are written down, each partition is summed on its own,
+and a table of one row per partition carries the totals forward.
 """
 
 from __future__ import annotations
@@ -11,21 +11,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 256
+from seriesmill.plans.materialize import settle
 
 
-def totals_below(df: DataFrame, value: str, sums: Mapping[str, Column], buckets: int = BUCKETS) -> DataFrame:
+def totals_below(df: DataFrame, value: str, sums: Mapping[str, Column]) -> DataFrame:
     """Per distinct ``value``: each sum, and ``<sum>_below``, its total over smaller values."""
     distinct = df.groupBy(F.col(value)).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    probs = [k / buckets for k in range(1, buckets)]
-    # a bounded number of cut points, whatever the size of the data
-    cuts = distinct.agg(F.percentile_approx(value, probs, 10 * buckets).alias("c")).first()["c"] or []
-    edges = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    placed = distinct.withColumn("_b", F.size(F.filter(edges, lambda e: e < F.col(value))))
-    per_bucket = placed.groupBy("_b").agg(*[F.sum(n).alias(f"_s_{n}") for n in sums])
-    order = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select("_b", *[F.coalesce(F.sum(f"_s_{n}").over(order), F.lit(0)).alias(f"_k_{n}") for n in sums])
-    inside = Window.partitionBy("_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = settle(distinct.repartitionByRange(F.col(value)).withColumn("_part", F.spark_partition_id()))
+    per_part = placed.groupBy("_part").agg(*[F.sum(n).alias(f"_s_{n}") for n in sums])
+    order = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_part.select("_part", *[F.coalesce(F.sum(f"_s_{n}").over(order), F.lit(0)).alias(f"_k_{n}") for n in sums])
+    inside = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({f"_w_{n}": F.coalesce(F.sum(n).over(inside), F.lit(0)) for n in sums})
-    joined = local.join(carry, "_b")
+    joined = local.join(carry, "_part")
     return joined.select(value, *sums, *[(F.col(f"_k_{n}") + F.col(f"_w_{n}")).alias(f"{n}_below") for n in sums])

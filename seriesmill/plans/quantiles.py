@@ -19,6 +19,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
                     accuracy: int = 10_000) -> DataFrame:
     """Columns ``groups..., p, q``: the linearly interpolated quantile of non-NULL values."""
     groups = list(groups)
+    if not groups:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy).drop("_all")
     data = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     slack = 2.0 / accuracy
     low = [max(0.0, p - slack) for p in probs]
@@ -43,7 +45,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
             for i, p in enumerate(probs)
         ]).alias("_want"),
     ))
-    joined = data.join(brackets, groups) if groups else data.crossJoin(brackets)
+    joined = data.join(brackets, groups)
     below = joined.groupBy(*groups).agg(*[
         F.sum(F.when(F.col("_v") < F.col("_want")[i]["lo"], 1).otherwise(0)).alias(f"_b{i}")
         for i in range(len(probs))

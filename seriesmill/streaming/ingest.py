@@ -58,5 +58,5 @@ def drain(stream: DataFrame, spark: SparkSession, mode: str = "append") -> DataF
     if mode == "append":
         return spark.read.schema(stream.schema).parquet(target)
     done = spark.read.parquet(target)
-    newest = done.agg(F.max("batch").alias("batch"))
-    return done.join(F.broadcast(newest), "batch").drop("batch")  # one row on the right
+    newest = done.agg(F.max("batch").alias("n")).first()["n"]
+    return done.where(F.col("batch") == newest).drop("batch")  # reads that partition only
