@@ -137,7 +137,7 @@ flow_query("f40_funding_oi_governor", ["funding_oi_governor_risk"],
 
 @query("f41_basis", sql(["b"], f"SELECT symbol, ts_ms, {r6('(close - spot) / nullif(spot, 0)', 'basis_futures_vs_spot')} FROM {_spot_sql}"))
 def f41(spark, sf_dir):
-    return out_columns(ctx.add_basis(_spot_futures(spark, sf_dir)), ["basis_futures_vs_spot"])
+    return out_columns(ctx.add_basis(_spot_futures(spark, sf_dir), HOURLY), ["basis_futures_vs_spot"])
 
 
 # --- daily context ------------------------------------------------------------------
@@ -209,7 +209,7 @@ daily_query("f45_dominance", list(ctx.DOMINANCE), _dominance, [], ["d", "day"],
 SELECT symbol, ts_ms, {r6('floor((epoch(ts) - epoch(a)) / 86400) / 30.4375', 'cycle_months_since_halving')}
 FROM (SELECT d.*, (SELECT max(adate) FROM anchor_days WHERE adate <= d.ts) AS a FROM d)"""))
 def f46(spark, sf_dir):
-    return out_columns(ctx.add_cycle_months(daily_bars(spark, sf_dir), anchors=DAY_ANCHORS), ["cycle_months_since_halving"])
+    return out_columns(ctx.cycle_months(DAY_ANCHORS)(daily_bars(spark, sf_dir), DAILY), ["cycle_months_since_halving"])
 
 
 # --- composer -----------------------------------------------------------------------

@@ -138,7 +138,7 @@ fm AS MATERIALIZED (
                {fl(f"coalesce(fr > 0.0003::DOUBLE, FALSE) OR coalesce(fr < -0.0003::DOUBLE, FALSE) OR abs(coalesce({_z('oi', 50)}, 0)) > 2", 'gov')},
                CASE WHEN close <> 0 THEN 0.0 END AS basis FROM fb) x ON x.s1 = b.symbol AND x.i1 = b.i
   JOIN (SELECT symbol, i, greatest(least({running('max', 'hh')} + {running('max', 'hl')} - {running('max', 'lh')} - {running('max', 'll')}, 2.0), -2.0) AS mss FROM swf) s USING (symbol, i))""")
-_show = lambda x, name: f"CASE WHEN {x} IS NULL THEN 'unavailable' ELSE printf('%.6f', ROUND(CAST({x} AS DOUBLE), 6) + 0.0) END AS {name}"
+_show = lambda x, name: f"CASE WHEN {x} IS NULL THEN 'unavailable' ELSE printf('%.8f', ROUND(CAST({x} AS DOUBLE), 8) + 0.0) END AS {name}"
 _trade = {
     "market_structure_score": _show("mss", "market_structure_score"), "structure_state": _case("mss", sc.STRUCTURE) + " AS structure_state",
     "trend_direction": _case("ema_stack_score", sc.TREND) + " AS trend_direction",

@@ -73,7 +73,7 @@ bar_query("w9_forward_fill", ["filled"],
           [lambda df, L: with_running(df.withColumn("_x", F.when(F.col("volume") > 3, F.col("close"))), L,
                                       {"filled": Running("last", "_x")})],
           ["b"], {"filled": ffill("CASE WHEN volume > 3 THEN close END")})
-bar_query("w10_ema_span", ["ema_21"], [lambda df, L: ind.add_ema(df, L, (21,))], ["ema"], {"ema_21": "ema_21"},
+bar_query("w10_ema_span", ["ema_21"], [ind.ema((21,))], ["ema"], {"ema_21": "ema_21"},
           before=ema_reach(span(21)), table="ema")
 bar_query("w11_wilder_average", ["wilder_14"],
           [ind.add_true_range, lambda df, L: with_smooth(df, L, {"wilder_14": Smooth("true_range", 1 / 14, 14)})],
@@ -228,7 +228,7 @@ bar_query("f22_market_structure_score", ["market_structure_score"], [stc.add_swi
           {"market_structure_score": "greatest(least(" + " + ".join(running("max", k) for k in ("hh", "hl"))
            + " - " + " - ".join(running("max", k) for k in ("lh", "ll")) + ", 2.0), -2.0)"}, before=11, table="swf")
 _ranges = [f"range_{n}_{s}" for n in (20, 50) for s in ("high", "low", "pct", "breakout_up", "breakout_down", "inside")]
-_range_steps = [lambda df, L: stc.add_range(df, L, 20), lambda df, L: stc.add_range(df, L, 50)]
+_range_steps = [stc.range_breakout(20), stc.range_breakout(50)]
 _range_table = "(SELECT *, " + ", ".join(
     f"{roll('max', 'high', n, shift=1)} AS h{n}, {roll('min', 'low', n, shift=1)} AS l{n}" for n in (20, 50)) + " FROM b)"
 _range_sql = {}

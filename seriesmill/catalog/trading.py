@@ -114,7 +114,7 @@ STRATEGIES = ("buy_and_hold", "ema_trend", "rsi_macd", "majority_class", "no_tra
 def strategy_bars(spark, sf_dir):
     """Bars with the inputs of the rule strategies and their signals."""
     def build(s, d):
-        df = ind.on_bars(bars(s, d), HOURLY, lambda x, L: ind.add_ema(x, L, (9, 21)), ind.add_rsi, ind.add_macd, ind.add_bollinger,
+        df = ind.on_bars(bars(s, d), HOURLY, ind.ema((9, 21)), ind.add_rsi, ind.add_macd, ind.add_bollinger,
                          ind.add_true_range, ind.add_atr, before=ind.RSI_LOOKBACK, keep_position=True)
         made = {"buy_and_hold": sig.buy_and_hold(), "ema_trend": sig.ema_trend(), "rsi_macd": sig.rsi_macd(),
                 "majority_class": sig.majority_class(), "no_trade": sig.no_trade()}

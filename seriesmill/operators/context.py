@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import flag, last_anchor, months_since, safe_div
 from seriesmill.keys import ANCHOR_DATES
 from seriesmill.operators.asof import asof_columns
-from seriesmill.plans.blocks import Layout, Rolling, RunStep, Running, lag, pct_change
+from seriesmill.plans.blocks import Feature, Layout, Rolling, RunStep, Running, lag, pct_change
 
 # The columns each feed contributes.
 DERIVATIVE_COLUMNS = {
@@ -47,34 +47,34 @@ def join_series(bars: DataFrame, feeds: Mapping[str, DataFrame], names, prefix:
     return joined.withColumns({f"{prefix}{n}": F.lit(None).cast("double") for n in names if n not in feeds})
 
 
-def add_funding(df: DataFrame, L: Layout) -> DataFrame:
+def _funding(L: Layout) -> dict[str, Column]:
     rate = "deriv_funding_rate"
-    return df.withColumns({
+    return {
         "funding_rate": F.col(rate),
         "funding_rate_zscore_50": Rolling(L, 50).zscore(rate),
         "funding_extreme_high": flag(F.col(rate) > FUNDING_LIMIT),
         "funding_extreme_low": flag(F.col(rate) < -FUNDING_LIMIT),
         "funding_rate_8h_delta": F.col(rate) - lag(L, rate),
-    })
+    }
 
 
-def add_open_interest(df: DataFrame, L: Layout) -> DataFrame:
+def _open_interest(L: Layout) -> dict[str, Column]:
     oi = "deriv_open_interest"
-    return df.withColumns({
+    return {
         "open_interest": F.col(oi),
         "open_interest_change_pct": pct_change(L, oi),
         "open_interest_zscore_50": Rolling(L, 50).zscore(oi),
-    })
+    }
 
 
-def add_price_oi_quadrants(df: DataFrame, L: Layout) -> DataFrame:
+def _quadrants(L: Layout) -> dict[str, Column]:
     move, oi = pct_change(L, "close"), pct_change(L, "deriv_open_interest")
-    return df.withColumns({
+    return {
         "price_up_oi_up": flag((move > 0) & (oi > 0)),
         "price_up_oi_down": flag((move > 0) & (oi < 0)),
         "price_down_oi_up": flag((move < 0) & (oi > 0)),
         "price_down_oi_down": flag((move < 0) & (oi < 0)),
-    })
+    }
 
 
 def _taker_delta(df: DataFrame, L: Layout) -> DataFrame:
@@ -87,42 +87,45 @@ add_taker = RunStep(
     lambda df, L: df.withColumn("cvd_proxy", F.when(F.col("taker_delta_proxy").isNotNull(), F.col("_cvd"))).drop("_cvd"))
 
 
-def add_long_short(df: DataFrame, L: Layout) -> DataFrame:
-    return df.withColumn("global_long_short_zscore_50", Rolling(L, 50).zscore("deriv_global_long_short_ratio"))
+add_long_short = Feature(lambda L: {
+    "global_long_short_zscore_50": Rolling(L, 50).zscore("deriv_global_long_short_ratio")})
 
 
-def add_governor(df: DataFrame, L: Layout) -> DataFrame:
+def _governor(_: Layout) -> dict[str, Column]:
     extreme = F.coalesce(F.col("funding_extreme_high"), F.lit(0.0)) + F.coalesce(F.col("funding_extreme_low"), F.lit(0.0))
     crowded = F.abs(F.coalesce(F.col("open_interest_zscore_50"), F.lit(0.0))) > 2.0
-    return df.withColumn("funding_oi_governor_risk", flag((extreme > 0) | crowded))
+    return {"funding_oi_governor_risk": flag((extreme > 0) | crowded)}
 
 
-def add_basis(df: DataFrame, L: Layout | None = None, spot: str = "spot_close") -> DataFrame:
-    return df.withColumn("basis_futures_vs_spot", safe_div(F.col("close") - F.col(spot), F.col(spot)))
+def basis(spot: str = "spot_close") -> Feature:
+    return Feature(lambda L: {"basis_futures_vs_spot": safe_div(F.col("close") - F.col(spot), F.col(spot))})
 
 
-def add_onchain(df: DataFrame, L: Layout, metrics=ONCHAIN_BTC) -> DataFrame:
-    out = {}
-    for m in metrics:
-        out[f"{m}_zscore_30"] = Rolling(L, 30).zscore(m)
-        out[f"{m}_delta"] = F.col(m) - lag(L, m)
-    return df.withColumns(out)
+def onchain(metrics=ONCHAIN_BTC) -> Feature:
+    return Feature(lambda L: {k: v for m in metrics for k, v in (
+        (f"{m}_zscore_30", Rolling(L, 30).zscore(m)), (f"{m}_delta", F.col(m) - lag(L, m)))})
 
 
-def add_sentiment(df: DataFrame, L: Layout) -> DataFrame:
+def _sentiment(L: Layout) -> dict[str, Column]:
     fg = F.col("fear_greed")
-    return df.withColumns({
+    return {
         "fear_greed_zscore_30": Rolling(L, 30).zscore("fear_greed"),
         "fear_greed_delta": fg - lag(L, "fear_greed"),
         "fear_greed_extreme_fear": flag(fg < 20),
         "fear_greed_extreme_greed": flag(fg > 80),
-    })
+    }
 
 
-def add_macro_returns(df: DataFrame, L: Layout) -> DataFrame:
-    return df.withColumns({f"macro_{m}_ret": pct_change(L, f"macro_{m}") for m in MACRO_RETURNS})
+def cycle_months(anchors=ANCHOR_DATES) -> Feature:
+    return Feature(lambda L: {"cycle_months_since_halving": months_since(F.col("ts"), last_anchor(F.col("ts"), anchors))})
 
 
-def add_cycle_months(df: DataFrame, L: Layout | None = None, anchors=ANCHOR_DATES) -> DataFrame:
-    ts = F.col("ts")
-    return df.withColumn("cycle_months_since_halving", months_since(ts, last_anchor(ts, anchors)))
+add_funding = Feature(_funding)
+add_open_interest = Feature(_open_interest)
+add_price_oi_quadrants = Feature(_quadrants)
+add_governor = Feature(derived=_governor)
+add_basis = basis()
+add_onchain = onchain()
+add_sentiment = Feature(_sentiment)
+add_macro_returns = Feature(lambda L: {f"macro_{m}_ret": pct_change(L, f"macro_{m}") for m in MACRO_RETURNS})
+add_cycle_months = cycle_months()

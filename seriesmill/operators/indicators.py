@@ -1,7 +1,7 @@
 """Causal technical indicators on bars laid out in blocks.
 
-Each ``add_*`` takes a blocked frame and its layout and returns it with columns added;
-they share one window specification, so Spark needs one exchange and one sort for all.
+Each ``add_*`` is applied to a blocked frame and its layout and adds its columns; all share
+one window specification, so Spark needs one exchange and one sort for them together.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import flag, safe_div
 from seriesmill.plans.blocks import (
-    Layout, Rolling, RunStep, Running, Smooth, ema_reach, from_blocks, lag, pct_change, span,
-    to_blocks, with_long_rolling, with_smooth,
+    Feature, Layout, Rolling, RunStep, Running, Smooth, ema_reach, from_blocks, lag, pct_change,
+    span, to_blocks, with_long_rolling,
 )
 
 EMA_SPANS = (9, 21, 50, 120, 200)
@@ -32,16 +32,18 @@ def require_columns(df: DataFrame, columns) -> DataFrame:
     return df
 
 
-def add_returns(df: DataFrame, L: Layout) -> DataFrame:
-    ln = F.ln("close")
-    return df.withColumns({
-        "returns_1": pct_change(L, "close"),
-        "log_returns_1": ln - lag(L, ln),
-    })
+def _log_return(L: Layout) -> Column:
+    return F.ln("close") - lag(L, F.ln("close"))
+
+
+add_returns = Feature(lambda L: {"returns_1": pct_change(L, "close"), "log_returns_1": _log_return(L)})
+
 
+def ema(spans=EMA_SPANS) -> Feature:
+    return Feature(smooth={f"ema_{n}": Smooth("close", span(n), n) for n in spans})
 
-def add_ema(df: DataFrame, L: Layout, spans=EMA_SPANS) -> DataFrame:
-    return with_smooth(df, L, {f"ema_{n}": Smooth("close", span(n), n) for n in spans})
+
+add_ema = ema()
 
 
 def _order_sign(a: Column, b: Column) -> Column:
@@ -56,47 +58,52 @@ def cross_down(L: Layout, a: str, b: str) -> Column:
     return flag((F.col(a) < F.col(b)) & (lag(L, a) >= lag(L, b)))
 
 
-def add_ema_state(df: DataFrame, L: Layout) -> DataFrame:
-    """Stack score (-4..4), price against the long averages, 50/200 crosses."""
-    emas = [F.col(f"ema_{n}") for n in EMA_SPANS]
+def _ema_state(L: Layout) -> dict[str, Column]:
+    averages = [F.col(f"ema_{n}") for n in EMA_SPANS]
     score = F.lit(0.0)
-    for shorter, longer in zip(emas, emas[1:]):
+    for shorter, longer in zip(averages, averages[1:]):
         score = score + _order_sign(shorter, longer)
     close = F.col("close")
     above_120 = flag(close > F.col("ema_120"))
-    return df.withColumns({
+    return {
         "ema_stack_score": score,
         "price_above_ema_200": flag(close > F.col("ema_200")),
         "price_above_ema_120": above_120,
         "ema_120_cycle_signal": above_120 * 2 - 1,
         "golden_cross": cross_up(L, "ema_50", "ema_200"),
         "death_cross": cross_down(L, "ema_50", "ema_200"),
-    })
+    }
 
 
-def add_sma(df: DataFrame, L: Layout, sizes=(50, 200)) -> DataFrame:
-    return df.withColumns({f"sma_{n}": Rolling(L, n).mean("close") for n in sizes})
+# stack score (-4..4), price against the long averages, 50/200 crosses
+add_ema_state = Feature(derived=_ema_state)
 
 
-def add_rsi(df: DataFrame, L: Layout, length: int = 14) -> DataFrame:
-    change = F.col("close") - lag(L, "close")
-    df = df.withColumn("_d", change).withColumns({
-        "_gain": F.when(F.col("_d").isNotNull(), F.greatest(F.col("_d"), F.lit(0.0))),
-        "_loss": F.when(F.col("_d").isNotNull(), F.greatest(-F.col("_d"), F.lit(0.0))),
-    })
-    # the change exists from position 1 on, so does the average
-    df = with_smooth(df, L, {
-        "_up": Smooth("_gain", 1.0 / length, length, start=1),
-        "_dn": Smooth("_loss", 1.0 / length, length, start=1),
-    })
-    strength = 100.0 - 100.0 / (1.0 + safe_div(F.col("_up"), F.col("_dn")))
-    rsi = F.when(F.col("_dn") == 0, 100.0).otherwise(strength)
-    return df.withColumn(f"rsi_{length}", rsi).drop("_d", "_gain", "_loss", "_up", "_dn")
+def sma(sizes=(50, 200)) -> Feature:
+    return Feature(lambda L: {f"sma_{n}": Rolling(L, n).mean("close") for n in sizes})
 
 
-def add_rsi_state(df: DataFrame, L: Layout, length: int = 14) -> DataFrame:
+add_sma = sma()
+
+
+def rsi(length: int = 14) -> Feature:
+    def moves(L: Layout) -> dict[str, Column]:
+        change = F.col("close") - lag(L, "close")
+        return {"_gain": F.when(change.isNotNull(), F.greatest(change, F.lit(0.0))),
+                "_loss": F.when(change.isNotNull(), F.greatest(-change, F.lit(0.0)))}
+
+    def strength(_: Layout) -> dict[str, Column]:
+        ratio = safe_div(F.col("_up"), F.col("_dn"))
+        return {f"rsi_{length}": F.when(F.col("_dn") == 0, 100.0).otherwise(100.0 - 100.0 / (1.0 + ratio))}
+
+    # the change exists from position 1 on, so do the averages
+    averages = {"_up": Smooth("_gain", 1.0 / length, length, start=1), "_dn": Smooth("_loss", 1.0 / length, length, start=1)}
+    return Feature(moves, averages, strength, drop=("_gain", "_loss", "_up", "_dn"))
+
+
+def rsi_state(length: int = 14) -> Feature:
     name = f"rsi_{length}"
-    return df.withColumns({
+    return Feature(final=lambda L: {
         f"{name}_slope": F.col(name) - lag(L, name),
         f"{name}_overbought": flag(F.col(name) > 70),
         f"{name}_oversold": flag(F.col(name) < 30),
@@ -104,53 +111,67 @@ def add_rsi_state(df: DataFrame, L: Layout, length: int = 14) -> DataFrame:
     })
 
 
-def add_macd(df: DataFrame, L: Layout, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    df = with_smooth(df, L, {
-        "_fast": Smooth("close", span(fast), fast), "_slow": Smooth("close", span(slow), slow)})
-    df = df.withColumn("macd_line", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    df = with_smooth(df, L, {
-        "macd_signal": Smooth("macd_line", span(signal), signal, start=max(fast, slow) - 1)})
-    df = df.withColumn("macd_hist", F.col("macd_line") - F.col("macd_signal"))
-    return df.withColumns({
-        "macd_hist_slope": F.col("macd_hist") - lag(L, "macd_hist"),
-        "macd_cross_up": cross_up(L, "macd_line", "macd_signal"),
-        "macd_cross_down": cross_down(L, "macd_line", "macd_signal"),
-    })
+add_rsi, add_rsi_state = rsi(), rsi_state()
 
 
-def add_bollinger(df: DataFrame, L: Layout, size: int = 20, width: float = 2.0) -> DataFrame:
-    roll = Rolling(L, size)
-    df = df.withColumns({"bb_mid": roll.mean("close"), "_sd": roll.std("close")})
-    df = df.withColumns({
-        "bb_upper": F.col("bb_mid") + width * F.col("_sd"),
-        "bb_lower": F.col("bb_mid") - width * F.col("_sd"),
-    })
-    close, upper, lower = F.col("close"), F.col("bb_upper"), F.col("bb_lower")
-    return df.withColumns({
-        "bb_pct_b": safe_div(close - lower, upper - lower),
-        "bb_bandwidth": safe_div(upper - lower, F.col("bb_mid")),
-        "bb_mean_reversion_signal": F.when(close > upper, -1.0).when(close < lower, 1.0).otherwise(0.0),
-    }).drop("_sd")
+def macd(fast: int = 12, slow: int = 26, signal: int = 9) -> Feature:
+    def final(L: Layout) -> dict[str, Column]:
+        hist = F.col("macd_line") - F.col("macd_signal")
+        return {
+            "macd_hist": hist,
+            "macd_hist_slope": hist - lag(L, hist),
+            "macd_cross_up": cross_up(L, "macd_line", "macd_signal"),
+            "macd_cross_down": cross_down(L, "macd_line", "macd_signal"),
+        }
+
+    return Feature(
+        smooth={"_fast": Smooth("close", span(fast), fast), "_slow": Smooth("close", span(slow), slow)},
+        derived=lambda L: {"macd_line": F.col("_fast") - F.col("_slow")},
+        smooth_again={"macd_signal": Smooth("macd_line", span(signal), signal, start=max(fast, slow) - 1)},
+        final=final, drop=("_fast", "_slow"))
+
+
+add_macd = macd()
+
+
+def bollinger(size: int = 20, width: float = 2.0) -> Feature:
+    def bands(L: Layout) -> dict[str, Column]:
+        mid, spread = Rolling(L, size).mean("close"), Rolling(L, size).std("close")
+        return {"bb_mid": mid, "bb_upper": mid + width * spread, "bb_lower": mid - width * spread}
+
+    def state(_: Layout) -> dict[str, Column]:
+        close, upper, lower = F.col("close"), F.col("bb_upper"), F.col("bb_lower")
+        return {
+            "bb_pct_b": safe_div(close - lower, upper - lower),
+            "bb_bandwidth": safe_div(upper - lower, F.col("bb_mid")),
+            "bb_mean_reversion_signal": F.when(close > upper, -1.0).when(close < lower, 1.0).otherwise(0.0),
+        }
+
+    return Feature(bands, derived=state)
+
 
+add_bollinger = bollinger()
 
-def add_true_range(df: DataFrame, L: Layout) -> DataFrame:
+
+def _true_range(L: Layout) -> dict[str, Column]:
     before = lag(L, "close")
-    return df.withColumn("true_range", F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
+    return {"true_range": F.greatest(
+        F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))}
 
 
-def add_atr(df: DataFrame, L: Layout, length: int = 14) -> DataFrame:
-    df = with_smooth(df, L, {"atr": Smooth("true_range", 1.0 / length, length)})
-    return df.withColumn("atr_pct", safe_div(F.col("atr"), F.col("close")))
+add_true_range = Feature(_true_range)
 
 
-def add_volume(df: DataFrame, L: Layout) -> DataFrame:
-    df = df.withColumns({
-        "volume_log": F.log1p("volume"),
-        "volume_zscore_20": Rolling(L, 20).zscore("volume"),
-        "volume_zscore_50": Rolling(L, 50).zscore("volume"),
-    })
-    return df.withColumn("volume_spike", flag(F.col("volume_zscore_20") > 2.0))
+def atr(length: int = 14) -> Feature:
+    return Feature(smooth={"atr": Smooth("true_range", 1.0 / length, length)},
+                   derived=lambda L: {"atr_pct": safe_div(F.col("atr"), F.col("close"))})
+
+
+add_atr = atr()
+add_volume = Feature(
+    lambda L: {"volume_log": F.log1p("volume"), "volume_zscore_20": Rolling(L, 20).zscore("volume"),
+               "volume_zscore_50": Rolling(L, 50).zscore("volume")},
+    derived=lambda L: {"volume_spike": flag(F.col("volume_zscore_20") > 2.0)})
 
 
 def _signed_volume(df: DataFrame, L: Layout) -> DataFrame:
@@ -161,19 +182,23 @@ def _signed_volume(df: DataFrame, L: Layout) -> DataFrame:
 add_obv = RunStep(_signed_volume, {"obv": Running("sum", "_signed")}, lambda df, L: df.drop("_signed"))
 
 
-def add_vwap(df: DataFrame, L: Layout, sizes=(24, 72)) -> DataFrame:
-    typical = (F.col("high") + F.col("low") + F.col("close")) / 3.0
-    df = df.withColumn("_pv", typical * F.col("volume"))
-    return df.withColumns({
-        f"vwap_{n}": safe_div(Rolling(L, n).sum("_pv"), Rolling(L, n).sum("volume")) for n in sizes
-    }).drop("_pv")
+def vwap(sizes=(24, 72)) -> Feature:
+    def averages(L: Layout) -> dict[str, Column]:
+        traded = (F.col("high") + F.col("low") + F.col("close")) / 3.0 * F.col("volume")
+        return {f"vwap_{n}": safe_div(Rolling(L, n).sum(traded), Rolling(L, n).sum("volume")) for n in sizes}
+
+    return Feature(averages)
+
+
+def volatility(sizes=(20, 50, 100)) -> Feature:
+    def rolled(L: Layout) -> dict[str, Column]:
+        out = {f"realized_volatility_{n}": Rolling(L, n).std("_log_return") for n in sizes}
+        return {**out, "realized_volatility": out[f"realized_volatility_{sizes[0]}"]}
+
+    return Feature(lambda L: {"_log_return": _log_return(L)}, derived=rolled, drop=("_log_return",))
 
 
-def add_volatility(df: DataFrame, L: Layout, sizes=(20, 50, 100)) -> DataFrame:
-    if "log_returns_1" not in df.columns:
-        df = add_returns(df, L)
-    df = df.withColumns({f"realized_volatility_{n}": Rolling(L, n).std("log_returns_1") for n in sizes})
-    return df.withColumn("realized_volatility", F.col(f"realized_volatility_{sizes[0]}"))
+add_vwap, add_volatility = vwap(), volatility()
 
 
 def _extreme_distance(df: DataFrame, L: Layout) -> DataFrame:

@@ -85,7 +85,7 @@ def quality_from_outcome(direction: Column, rr: Column, cost: float = COST_PER_R
 def regime_inputs(bars: DataFrame, layout: Layout) -> DataFrame:
     """What the regime rules read, one row per bar."""
     steps = [ind.add_ema, ind.add_ema_state, ind.add_true_range, ind.add_atr,
-             lambda d, L: ind.add_volatility(d, L, (20,)),
+             ind.volatility((20,)),
              lambda d, L: d.withColumns({"_slope": pct_change(L, "ema_50", 10), "_ret": pct_change(L, "close")})]
     df = ind.on_bars(bars, layout, *steps, before=ind.EMA_LOOKBACK)
     return df.select(*layout.keys, layout.ts, "ema_stack_score", "_slope", "_ret", "atr_pct",

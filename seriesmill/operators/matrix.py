@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from seriesmill.keys import ANCHOR_DATES, OHLCV, SERIES_KEYS
 from seriesmill.operators import context as ctx, indicators as ind, patterns as pat, structure as stc
 from seriesmill.operators.asof import asof_columns
-from seriesmill.plans.blocks import Layout, from_blocks, run_together, to_blocks
+from seriesmill.plans.blocks import Layout, apply_features, from_blocks, run_together, to_blocks
 from seriesmill.plans.materialize import settle
 
 FLOW = tuple(f"deriv_{c}" for cols in ctx.DERIVATIVE_COLUMNS.values() for c in cols)
@@ -67,19 +67,16 @@ def feature_matrix(bars: DataFrame, layout: Layout, feeds: Mapping[str, DataFram
     df = to_blocks(joined, L)
     df = run_together(df, L, [ind.add_obv, ind.add_extremes, stc.add_swings, stc.add_character_change, ctx.add_taker])
     df = settle(stc.add_structure_score(df, L))
-    steps = [
+    df = ind.add_year_extremes(df, L, windows)
+    df = apply_features(df, L, [
         ind.add_returns, ind.add_ema, ind.add_ema_state, ind.add_sma, ind.add_rsi, ind.add_rsi_state, ind.add_macd,
         ind.add_bollinger, ind.add_true_range, ind.add_atr, ind.add_volume, ind.add_vwap, ind.add_volatility,
-        lambda d, l: ind.add_year_extremes(d, l, windows),
-        lambda d, l: stc.add_range(d, l, 20), lambda d, l: stc.add_range(d, l, 50), stc.add_gaps, stc.add_order_blocks,
+        stc.range_breakout(20), stc.range_breakout(50), stc.add_gaps, stc.add_order_blocks,
         pat.add_anatomy, pat.add_single_bar_patterns, pat.add_two_bar_patterns,
-        ctx.add_sentiment, ctx.add_onchain, ctx.add_macro_returns,
-        lambda d, l: ctx.add_cycle_months(d, l, anchors),
+        ctx.add_sentiment, ctx.add_onchain, ctx.add_macro_returns, ctx.cycle_months(anchors),
         ctx.add_funding, ctx.add_open_interest, ctx.add_price_oi_quadrants, ctx.add_long_short, ctx.add_governor,
         ctx.add_basis,
-    ]
-    for step in steps:
-        df = step(df, L)
+    ])
     return from_blocks(df).drop("spot_close")
 
 

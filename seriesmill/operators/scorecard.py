@@ -21,8 +21,8 @@ DISCLAIMER = "Decision-support only. Not financial advice. Validate manually bef
 
 
 def shown(x: Column) -> Column:
-    """A number as text with six decimals, or ``unavailable``."""
-    return F.when(x.isNull(), UNAVAILABLE).otherwise(F.format_string("%.6f", rnd(x)))
+    """A number as text with eight decimals, or ``unavailable``."""
+    return F.when(x.isNull(), UNAVAILABLE).otherwise(F.format_string("%.8f", rnd(x, 8)))
 
 
 def _sign_state(x: Column, above: str, below: str) -> Column:

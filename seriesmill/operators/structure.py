@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import flag, safe_div
-from seriesmill.plans.blocks import Layout, Rolling, RunStep, Running, lag, pct_change
+from seriesmill.plans.blocks import Feature, Layout, Rolling, RunStep, Running, lag, pct_change
 
 
 def swing_high(L: Layout, size: int) -> Column:
@@ -55,41 +55,46 @@ add_structure_score = RunStep(
     lambda df, L: df, {f"_seen_{k}": Running("max", f"swing_{k}_flag") for k in ("hh", "hl", "lh", "ll")}, _score)
 
 
-def add_range(df: DataFrame, L: Layout, size: int) -> DataFrame:
+def range_breakout(size: int) -> Feature:
     """Range of the bars before, breakouts from it and sweeps through it."""
-    prior = Rolling(L, size, shift=1)
     name = f"range_{size}"
-    df = df.withColumns({f"{name}_high": prior.max("high"), f"{name}_low": prior.min("low")})
-    top, bottom = F.col(f"{name}_high"), F.col(f"{name}_low")
-    close, high, low = F.col("close"), F.col("high"), F.col("low")
-    return df.withColumns({
-        f"{name}_pct": safe_div(top - bottom, close),
-        f"{name}_breakout_up": flag(close > top),
-        f"{name}_breakout_down": flag(close < bottom),
-        f"{name}_inside": flag((close >= bottom) & (close <= top)),
-        f"{name}_sweep_up": flag((high > top) & (close < top)),
-        f"{name}_sweep_down": flag((low < bottom) & (close > bottom)),
-    })
 
+    def bounds(L: Layout) -> dict[str, Column]:
+        prior = Rolling(L, size, shift=1)
+        return {f"{name}_high": prior.max("high"), f"{name}_low": prior.min("low")}
+
+    def events(_: Layout) -> dict[str, Column]:
+        top, bottom = F.col(f"{name}_high"), F.col(f"{name}_low")
+        close, high, low = F.col("close"), F.col("high"), F.col("low")
+        return {
+            f"{name}_pct": safe_div(top - bottom, close),
+            f"{name}_breakout_up": flag(close > top),
+            f"{name}_breakout_down": flag(close < bottom),
+            f"{name}_inside": flag((close >= bottom) & (close <= top)),
+            f"{name}_sweep_up": flag((high > top) & (close < top)),
+            f"{name}_sweep_down": flag((low < bottom) & (close > bottom)),
+        }
+
+    return Feature(bounds, derived=events)
 
-def add_gaps(df: DataFrame, L: Layout) -> DataFrame:
-    return df.withColumns({
-        "smc_fvg_up_proxy": flag(F.col("low") > lag(L, "high", 2)),
-        "smc_fvg_down_proxy": flag(F.col("high") < lag(L, "low", 2)),
-    })
 
+add_gaps = Feature(lambda L: {
+    "smc_fvg_up_proxy": flag(F.col("low") > lag(L, "high", 2)),
+    "smc_fvg_down_proxy": flag(F.col("high") < lag(L, "low", 2)),
+})
 
-def add_order_blocks(df: DataFrame, L: Layout) -> DataFrame:
-    """Opposing candle with a 2 % trailing three-bar move, reported three bars later."""
+
+def _opposing_moves(L: Layout) -> dict[str, Column]:
     move = pct_change(L, "close", 3)
-    df = df.withColumns({
-        "_ob_up": flag((F.col("close") < F.col("open")) & (move > 0.02)),
-        "_ob_dn": flag((F.col("close") > F.col("open")) & (move < -0.02)),
-    })
-    return df.withColumns({
-        "smc_order_block_up_proxy": F.coalesce(lag(L, "_ob_up", 3), F.lit(0.0)),
-        "smc_order_block_down_proxy": F.coalesce(lag(L, "_ob_dn", 3), F.lit(0.0)),
-    }).drop("_ob_up", "_ob_dn")
+    return {"_ob_up": flag((F.col("close") < F.col("open")) & (move > 0.02)),
+            "_ob_dn": flag((F.col("close") > F.col("open")) & (move < -0.02))}
+
+
+# opposing candle with a 2 % trailing three-bar move, reported three bars later
+add_order_blocks = Feature(_opposing_moves, derived=lambda L: {
+    "smc_order_block_up_proxy": F.coalesce(lag(L, "_ob_up", 3), F.lit(0.0)),
+    "smc_order_block_down_proxy": F.coalesce(lag(L, "_ob_dn", 3), F.lit(0.0)),
+}, drop=("_ob_up", "_ob_dn"))
 
 
 def _short_swings(df: DataFrame, L: Layout, size: int = 5) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -134,7 +134,9 @@ class Rolling:
     def min(self, x): return self._over(F.min, col(x))
 
     def zscore(self, x) -> Column:
-        return F.try_divide(col(x) - self.mean(x), self.std(x))
+        frame, x = self.layout.frame(-(self.size - 1) - self.shift, -self.shift), col(x)
+        score = F.try_divide(x - F.avg(x).over(frame), F.stddev_pop(x).over(frame))
+        return F.when(F.count(x).over(frame) >= self.size, score)
 
 
 def lag(layout: Layout, x: Column | str, k: int = 1) -> Column:
@@ -153,27 +155,26 @@ def with_long_rolling(df: DataFrame, layout: Layout,
     one (running from its end) and the head of the next (running from its start).
     """
     combine = {"max": F.max, "min": F.min, "mean": F.sum}
-    sizes: dict[int, dict[str, tuple[str, str]]] = {}
-    for name, (kind, column, size) in specs.items():
-        sizes.setdefault(size, {})[name] = (kind, column)
-    for size, group in sizes.items():
-        part = Window.partitionBy(*layout.keys, BLOCK, "_stretch")
-        up = part.orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-        down = part.orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
-        df = df.withColumn("_stretch", F.floor(F.col(POS) / F.lit(size)))
-        df = df.withColumns({f"_head_{n}": combine[k](c).over(up) for n, (k, c) in group.items()})
-        df = df.withColumns({f"_tail_{n}": combine[k](c).over(down) for n, (k, c) in group.items()})
-        closes = F.col(POS) % size == size - 1
-        out = {}
-        for name, (kind, _) in group.items():
-            head, tail = F.col(f"_head_{name}"), lag(layout, f"_tail_{name}", size - 1)
-            if kind == "mean":
-                merged = F.when(closes, head).otherwise(head + tail) / F.lit(size)
-            else:
-                merged = (F.greatest if kind == "max" else F.least)(head, tail)
-            out[name] = F.when(F.col(POS) >= size - 1, merged)
-        df = df.withColumns(out).drop("_stretch", *[f"_{e}_{n}" for n in group for e in ("head", "tail")])
-    return df
+    sizes = sorted({size for _, _, size in specs.values()})
+    df = df.withColumns({f"_stretch_{n}": F.floor(F.col(POS) / F.lit(n)) for n in sizes})
+
+    def run(end: str, order: Column) -> dict[str, Column]:
+        frames = {n: Window.partitionBy(*layout.keys, BLOCK, f"_stretch_{n}").orderBy(order)
+                  .rowsBetween(Window.unboundedPreceding, 0) for n in sizes}
+        return {f"_{end}_{name}": combine[kind](column).over(frames[n]) for name, (kind, column, n) in specs.items()}
+
+    df = df.withColumns(run("head", F.col(POS))).withColumns(run("tail", F.col(POS).desc()))
+    out = {}
+    for name, (kind, _, size) in specs.items():
+        head, tail = F.col(f"_head_{name}"), lag(layout, f"_tail_{name}", size - 1)
+        if kind == "mean":
+            closes = F.col(POS) % size == size - 1
+            merged = F.when(closes, head).otherwise(head + tail) / F.lit(size)
+        else:
+            merged = (F.greatest if kind == "max" else F.least)(head, tail)
+        out[name] = F.when(F.col(POS) >= size - 1, merged)
+    helpers = [f"_stretch_{n}" for n in sizes] + [f"_{e}_{n}" for n in specs for e in ("head", "tail")]
+    return df.withColumns(out).drop(*helpers)
 
 
 # --- smoothing averages -------------------------------------------------------------
@@ -310,3 +311,42 @@ def run_together(df: DataFrame, layout: Layout, steps: Sequence[RunStep]) -> Dat
     for step in steps:
         df = step.finish(df, layout)
     return df
+
+
+Build = Callable[[Layout], Mapping[str, Column]]
+
+
+@dataclass(frozen=True)
+class Feature:
+    """Columns of one operator, by depth: plain columns, averages of them, columns of those.
+
+    Applying several features together adds all columns of a depth in one projection, so
+    the plan grows with the depth, not with the number of features.
+    """
+
+    base: Build | None = None
+    smooth: Mapping[str, Smooth] = field(default_factory=dict)
+    derived: Build | None = None
+    smooth_again: Mapping[str, Smooth] = field(default_factory=dict)
+    final: Build | None = None
+    drop: tuple[str, ...] = ()
+
+    def __call__(self, df: DataFrame, layout: Layout) -> DataFrame:
+        return apply_features(df, layout, [self])
+
+
+def apply_features(df: DataFrame, layout: Layout, features: Sequence[Feature]) -> DataFrame:
+    def columns(df: DataFrame, depth: str) -> DataFrame:
+        made: dict[str, Column] = {}
+        for f in features:
+            build = getattr(f, depth)
+            made |= build(layout) if build else {}
+        return df.withColumns(made) if made else df
+
+    def averages(df: DataFrame, depth: str) -> DataFrame:
+        specs = {k: v for f in features for k, v in getattr(f, depth).items()}
+        return with_smooth(df, layout, specs) if specs else df
+
+    df = averages(columns(df, "base"), "smooth")
+    df = averages(columns(df, "derived"), "smooth_again")
+    return columns(df, "final").drop(*[c for f in features for c in f.drop])

@@ -32,7 +32,7 @@ def same(a, b):
     ([ind.add_returns, ind.add_sma, ind.add_bollinger, ind.add_true_range, ind.add_volume, ind.add_vwap, ind.add_volatility], 201, 0),
     ([ind.add_obv, ind.add_extremes], 1, 0),
     ([stc.add_swings, stc.add_structure_score, stc.add_character_change], 11, 0),
-    ([lambda d, L: stc.add_range(d, L, 20), stc.add_gaps, stc.add_order_blocks, pat.add_two_bar_patterns], 60, 0),
+    ([stc.range_breakout(20), stc.add_gaps, stc.add_order_blocks, pat.add_two_bar_patterns], 60, 0),
     ([ind.add_rsi, ind.add_rsi_state, ind.add_macd], ind.RSI_LOOKBACK + ind.MACD_LOOKBACK, 0),
     ([ind.add_true_range, ind.add_atr, lambda d, L: lab.add_direction(d, L, 1.5, 20, 20),
       lambda d, L: lab.add_trade_quality(d, L, 40, 40)], ind.ATR_LOOKBACK, 40),
