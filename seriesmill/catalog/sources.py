@@ -8,7 +8,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from seriesmill.catalog.base import fragment, query, r6, sql
+from seriesmill.catalog.base import ORACLES, fragment, query, r6, sql
 from seriesmill.catalog.dataset import KEYS, ms
 from seriesmill.catalog.features import HOURLY
 from seriesmill.catalog.trading import ladder_trades
@@ -314,7 +314,9 @@ def s22(spark, sf_dir):
     return r.select("symbol", "rows", "unparseable", "out_of_order", "high_below_low", "negative_volume", "duplicates")
 
 
-@query("s23_report_sinks")
+@query("s23_report_sinks", f"""
+SELECT sink, exit_reason, CAST(count(*) * max(copies) AS BIGINT) AS trades
+FROM ({ORACLES['t4_exit_ladder']}) CROSS JOIN (VALUES ('csv', 1), ('json', 2)) s(sink, copies) GROUP BY 1, 2""")
 def s23(spark, sf_dir):
     """Trades as CSV, one struct per trade as JSON, appended to twice; read back and counted."""
     t = ladder_trades(spark, sf_dir).select("symbol", "ts", "side", "entry_price", "exit_price", "size", "stop_price", "tp1", "tp2", "tp3",

@@ -33,8 +33,10 @@ def on_grid(feed: DataFrame, on: Sequence[str], ts: str, grid_ms: int) -> DataFr
     exact = F.unix_millis(F.col(ts)) % grid_ms == 0
     point = F.when(exact & later, point + grid_ms).otherwise(point)
     values = [c for c in feed.columns if c not in (*on, ts)]
-    reduced = feed.groupBy(*on, F.timestamp_millis(point).alias("_point")).agg(F.max_by(F.struct(*values), ts).alias("_v"))
-    return reduced.select(*on, F.col("_point").alias(ts), *[F.col(f"_v.{c}") for c in values])
+    # times are unique per key, so column by column gives one row; plain columns keep the
+    # aggregation hash-based
+    reduced = feed.groupBy(*on, F.timestamp_millis(point).alias("_point")).agg(*[F.max_by(c, ts).alias(c) for c in values])
+    return reduced.select(*on, F.col("_point").alias(ts), *values)
 
 
 def asof_join(bars: DataFrame, feeds: Mapping[str, DataFrame], *, on: Sequence[str] = (),

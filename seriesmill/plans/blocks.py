@@ -101,7 +101,8 @@ def to_blocks(df: DataFrame, layout: Layout) -> DataFrame:
         first = block_of(F.greatest(F.col(POS) - F.lit(layout.after), F.lit(0)))
         last = block_of(F.least(F.col(POS) + F.lit(layout.before), F.col(TOTAL) - 1))
         placed = numbered.withColumn(BLOCK, F.explode(F.sequence(first, last)))
-    return placed.withColumns({
+    # stated once, so that windows by (block) and by (block, stretch) share one exchange
+    return placed.repartition(*layout.keys, BLOCK).withColumns({
         OWN: F.col(BLOCK) == home,
         SUB: F.floor(F.col(POS) / F.lit(layout.sub_rows)),
     })

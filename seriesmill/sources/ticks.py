@@ -7,6 +7,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from seriesmill.keys import SERIES_KEYS, TIMEFRAME_MS
 
 
+def order_key(df: DataFrame, order: tuple[str, ...]) -> Column:
+    """One comparable value for an order of columns.
+
+    Two time or integer columns are packed into a decimal: a fixed-width key keeps the
+    aggregation hash-based, where a struct would force a sort of all ticks.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    whole = {"timestamp", "long", "integer", "short", "byte"}
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) == 2 and all(kinds[c] in whole for c in order):
+        high, low = (F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c) for c in order)
+        shifted = low.cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)")
+        return high.cast("decimal(18,0)") * F.lit(str(10 ** 19)).cast("decimal(20,0)") + shifted
+    return F.struct(*[F.col(c) for c in order])
+
+
 def bars_from_ticks(ticks: DataFrame, timeframe: str, *, symbol: str = "symbol", ts: str = "ts",
                     price: str = "price", size: Column | None = None,
                     order: tuple[str, ...] = ("ts",)) -> DataFrame:
@@ -16,14 +33,17 @@ def bars_from_ticks(ticks: DataFrame, timeframe: str, *, symbol: str = "symbol",
     """
     step = TIMEFRAME_MS[timeframe]
     start = F.timestamp_millis(F.floor(F.unix_millis(F.col(ts)) / F.lit(step)) * F.lit(step))
-    first = F.struct(*[F.col(c) for c in order])
+    first = order_key(ticks, order)
+    # as values, not constants: the planner drops constant keys from some partitionings
+    # and not from others, and would shuffle again to reconcile them
+    value = lambda text: F.when(F.col("volume").isNotNull(), text)
     return (
         ticks.groupBy(F.col(symbol).alias("symbol"), start.alias("ts"))
         .agg(F.min_by(price, first).alias("open"), F.max(price).alias("high"),
              F.min(price).alias("low"), F.max_by(price, first).alias("close"),
              F.sum(size if size is not None else F.lit(1.0)).cast("double").alias("volume"))
-        .select(F.lit("given").alias("source"), F.lit("spot").alias("market_type"), "symbol",
-                F.lit(timeframe).alias("timeframe"), "ts", "open", "high", "low", "close", "volume")
+        .select(value("given").alias("source"), value("spot").alias("market_type"), "symbol",
+                value(timeframe).alias("timeframe"), "ts", "open", "high", "low", "close", "volume")
     )
 
 
