@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesmill.catalog.base import fragment, query, r6, roll, sql
 from seriesmill.catalog.dataset import INPUTS, KEYS, labels, matrix, ms
 from seriesmill.catalog.features import HOURLY
-from seriesmill.catalog.trading import CURVE, curve, metrics, trades
+from seriesmill.catalog.trading import CURVE, PROFIT_FACTOR, curve, metrics, trades
 from seriesmill.functions.scalar import rnd, to_ms
 from seriesmill.keys import RETRAIN_MIN_BARS
 from seriesmill.operators import drift, evaluate as ev, monitor, outcomes as out, signals as sig
@@ -80,16 +80,17 @@ def e4(spark, sf_dir):
 
 
 _base = """
-maj AS MATERIALIZED (SELECT y AS majority FROM pred WHERE event_id % 10 < 7 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
-evl AS MATERIALIZED (SELECT pred.*, majority FROM pred, maj WHERE event_id % 10 >= 7),
+maj AS MATERIALIZED (SELECT y AS majority FROM pred WHERE day(ts) <= 21 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+evl AS MATERIALIZED (SELECT pred.*, majority FROM pred, maj WHERE day(ts) > 21),
 mj AS MATERIALIZED (SELECT any_value(majority) AS majority, count(*) FILTER (y = majority)::DOUBLE / count(*) AS accuracy,
   2.0::DOUBLE * count(*) FILTER (y = majority) / (count(*) + count(*) FILTER (y = majority)) / count(DISTINCT y) AS macro_f1, count(*) AS n FROM evl)"""
 fragment("mj", ("pred",), _base)
 
 
 def _train_eval(spark, sf_dir):
+    """The first three weeks of the month to fit on, the rest to evaluate."""
     df = classified(spark, sf_dir)
-    return df.where(F.col("event_id") % 10 < 7), df.where(F.col("event_id") % 10 >= 7)
+    return df.where(F.dayofmonth("ts") <= 21), df.where(F.dayofmonth("ts") > 21)
 
 
 @query("e5_majority_baseline", sql(["mj"], f"SELECT CAST(majority AS BIGINT) AS majority, {r6('accuracy', 'accuracy')}, {r6('macro_f1', 'macro_f1')}, CAST(n AS BIGINT) AS n FROM mj"))
@@ -110,7 +111,7 @@ def e5_random(spark, sf_dir):
 SELECT {r6('m.f1', 'model_macro_f1')}, {r6('mj.macro_f1', 'baseline_macro_f1')}, m.f1 > mj.macro_f1 AS beats_majority
 FROM mj, (SELECT avg(f1) FILTER (s > 0) AS f1 FROM (SELECT k, tp + fp + fn AS s, coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
   FROM (SELECT k, count(*) FILTER (y = k AND c = k) AS tp, count(*) FILTER (y <> k AND c = k) AS fp, count(*) FILTER (y = k AND c <> k) AS fn
-        FROM range(3) r(k), predc WHERE event_id % 10 >= 7 GROUP BY 1))) m"""))
+        FROM range(3) r(k), predc WHERE day(ts) > 21 GROUP BY 1))) m"""))
 def e6(spark, sf_dir):
     train, evaluated = _train_eval(spark, sf_dir)
     model = ev.summary(evaluated, "y", "predicted").select(F.col("macro_f1").alias("_m"))
@@ -312,12 +313,12 @@ def model_metrics(spark, sf_dir):
 @query("e19_promotion_gate", sql(["predc", "trp", "eq"], """
 , mf AS (SELECT symbol, avg(f1) FILTER (s > 0) AS f1 FROM (SELECT symbol, k, tp + fp + fn AS s, coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
    FROM (SELECT symbol, k, count(*) FILTER (y = k AND c = k) AS tp, count(*) FILTER (y <> k AND c = k) AS fp, count(*) FILTER (y = k AND c <> k) AS fn FROM range(3) r(k), predc GROUP BY 1, 2)) GROUP BY 1),
-mt AS (SELECT symbol, coalesce(sum(pnl) FILTER (pnl > 0), 0) / nullif(-coalesce(sum(pnl) FILTER (pnl < 0), 0), 0) AS pf, avg(rr) AS er FROM trp WHERE strategy = 'ema_trend' GROUP BY 1),
+mt AS (SELECT symbol, PROFIT_FACTOR AS pf, avg(rr) AS er FROM trp WHERE strategy = 'ema_trend' GROUP BY 1),
 md AS (SELECT symbol, min((equity - peak) / peak) * 100 AS dd FROM eq WHERE strategy = 'ema_trend' GROUP BY 1),
 mm AS (SELECT mf.symbol, f1, coalesce(pf, 0) AS pf, coalesce(er, 0) AS er, coalesce(dd, 0) AS dd FROM mf LEFT JOIN mt USING (symbol) LEFT JOIN md USING (symbol))
 SELECT model_id, production_id, g1 AS beats_production_macro_f1, g2 AS positive_expectancy, g3 AS profit_factor_ok, g4 AS drawdown_acceptable, g1 AND g2 AND g3 AND g4 AS approved
 FROM (SELECT c.symbol AS model_id, p.symbol AS production_id, c.f1 - p.f1 >= 0.01 AS g1, NOT t OR c.er > 0 AS g2, NOT t OR c.pf >= 1.1 AS g3, NOT t OR abs(c.dd) <= abs(p.dd) * 1.1 OR p.dd = 0 AS g4
-      FROM (SELECT *, pf > 0 OR er <> 0 AS t FROM mm WHERE symbol <> 'click') c, (SELECT * FROM mm WHERE symbol = 'click') p)""").replace("\n, mf", ", mf"))
+      FROM (SELECT *, pf > 0 OR er <> 0 AS t FROM mm WHERE symbol <> 'click') c, (SELECT * FROM mm WHERE symbol = 'click') p)""").replace("\n, mf", ", mf").replace("PROFIT_FACTOR", PROFIT_FACTOR))
 def e19(spark, sf_dir):
     m = model_metrics(spark, sf_dir)
     return monitor.promotion_gate(m.where("model_id <> 'click'"), m.where("model_id = 'click'"))

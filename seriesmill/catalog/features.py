@@ -100,10 +100,11 @@ adj_raw AS (
 bar_query("w12_ema_adjusted", ["ema_adjusted_50"], [_adjusted], ["b", "adj_raw"],
           {"ema_adjusted_50": "num / den"}, before=ema_reach(span(50)), table="b JOIN adj_raw USING (symbol, i)")
 bar_query("w13_cross_detection", ["up", "down"],
-          [add(a=lambda L: Rolling(L, 5).mean("close"), c=lambda L: Rolling(L, 20).mean("close")),
+          # nine decimals: two means that are equal must stay equal in any order of summation
+          [add(a=lambda L: F.round(Rolling(L, 5).mean("close"), 9), c=lambda L: F.round(Rolling(L, 20).mean("close"), 9)),
            add(up=lambda L: ind.cross_up(L, "a", "c"), down=lambda L: ind.cross_down(L, "a", "c"))], ["b"],
           {"up": fl(f"a > c AND {lagged('a')} <= {lagged('c')}"), "down": fl(f"a < c AND {lagged('a')} >= {lagged('c')}")},
-          before=25, table=f"(SELECT *, {roll('avg', 'close', 5)} AS a, {roll('avg', 'close', 20)} AS c FROM b)")
+          before=25, table=f"(SELECT *, round({roll('avg', 'close', 5)}, 9) AS a, round({roll('avg', 'close', 20)}, 9) AS c FROM b)")
 bar_query("w14_previous_event_value", ["current_event", "previous_event"],
           [lambda df, L: with_running(
               df.withColumn("current_event", F.when(F.col("volume") > 3, F.col("close"))), L,

@@ -247,6 +247,9 @@ tr AS MATERIALIZED (
         CROSS JOIN LATERAL (VALUES ('model', CAST(bbs AS INT)), ('ema_trend', {_ema_side}), ('rsi_macd', {_rm_side})) v(strategy, side))
   WHERE side <> 0 AND outp IS NOT NULL AND size IS NOT NULL)""")
 fragment("trp", ("tr",), "trp AS MATERIALIZED (SELECT *, (outp - close) * side * size - fees - drag AS pnl FROM tr)")
+# without a losing trade the factor is infinite, without any gain or loss zero
+PROFIT_FACTOR = ("CASE WHEN count(*) FILTER (pnl < 0) > 0 THEN coalesce(sum(pnl) FILTER (pnl > 0), 0) / -sum(pnl) FILTER (pnl < 0) "
+                 "WHEN count(*) FILTER (pnl > 0) > 0 THEN 'Infinity'::DOUBLE ELSE 0 END")
 _T = ["n_trades", "long_trades", "short_trades"]
 _TD = ["win_rate", "avg_r", "median_r", "expectancy_r", "profit_factor", "avg_holding_seconds", "long_win_rate", "short_win_rate",
        "fee_drag_total", "slippage_drag_total", "exposure_pct"]
@@ -255,7 +258,7 @@ _TD = ["win_rate", "avg_r", "median_r", "expectancy_r", "profit_factor", "avg_ho
 @query("t5_trade_metrics", sql(["trp"], f"""
 SELECT strategy, symbol, CAST(count(*) AS BIGINT) AS n_trades, CAST(count(*) FILTER (side = 1) AS BIGINT) AS long_trades, CAST(count(*) FILTER (side = -1) AS BIGINT) AS short_trades,
        {r6('avg((rr > 0)::INT) * 100', 'win_rate', 4)}, {r6('avg(rr)', 'avg_r', 4)}, {r6('quantile_cont(rr, 0.5)', 'median_r', 4)}, {r6('avg(rr)', 'expectancy_r', 4)},
-       {r6('coalesce(sum(pnl) FILTER (pnl > 0), 0) / nullif(-coalesce(sum(pnl) FILTER (pnl < 0), 0), 0)', 'profit_factor', 4)},
+       {r6(PROFIT_FACTOR, 'profit_factor', 4)},
        {r6('avg(close_ms - ts_ms) / 1000', 'avg_holding_seconds', 4)}, {r6('coalesce(avg((rr > 0)::INT) FILTER (side = 1) * 100, 0)', 'long_win_rate', 4)},
        {r6('coalesce(avg((rr > 0)::INT) FILTER (side = -1) * 100, 0)', 'short_win_rate', 4)}, {r6('sum(fees)', 'fee_drag_total', 4)},
        {r6('sum(drag)', 'slippage_drag_total', 4)}, {r6('sum(close_ms - ts_ms) / 3600000.0 / 1000 * 100', 'exposure_pct', 4)}

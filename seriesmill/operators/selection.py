@@ -74,7 +74,7 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
     """Mean loss of accuracy when a column is shuffled, for a boosted-tree model fit on ``df``.
 
     One shuffle per repeat: rows are numbered in two orders (by id hash) and joined, then
-    every column's swapped variant of the row is scored in the same pass.
+    the variants of a row, one per swapped column, are scored in the same pass.
     """
     columns = list(columns)
     data = settle(df.select(*ids, F.col(label).cast("double").alias("_y"),
@@ -86,13 +86,14 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
         h = F.xxhash64(*[F.col(c) for c in ids], F.lit(salt))
         return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), 44), ["_h", *ids]).drop(TOTAL, "_h")
 
-    rows = numbered(seed)
+    rows, names = numbered(seed), F.array(*[F.lit(c) for c in columns])
     parts = []
     for k in range(repeats):
-        other = numbered(seed + 1 + k).select(POS, F.struct(*columns).alias("_o"))
-        variants = F.array(*[F.struct(F.lit(c).alias("feature"), *[
-            (F.col(f"_o.{x}") if x == c else F.col(x)).alias(x) for x in columns]) for c in columns])
-        parts.append(rows.join(other, POS).select("_y", F.explode(variants).alias("v")).select("_y", "v.*"))
+        other = numbered(seed + 1 + k).select(POS, *[F.col(c).alias(f"_o_{c}") for c in columns])
+        # one row per swapped column, never all variants of a row at once
+        which = rows.join(other, POS).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))))
+        parts.append(which.select("_y", names[F.col("_k")].alias("feature"), *[
+            F.when(F.col("_k") == i, F.col(f"_o_{c}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(columns)]))
     shuffled = parts[0]
     for part in parts[1:]:
         shuffled = shuffled.unionByName(part)
