@@ -132,7 +132,7 @@ flow_query("f39_long_short_ratios", [*_ls, "global_long_short_zscore_50"], [ctx.
 flow_query("f40_funding_oi_governor", ["funding_oi_governor_risk"],
            [ctx.add_funding, ctx.add_open_interest, ctx.add_governor],
            {"funding_oi_governor_risk": fl(f"coalesce(fr > 0.0003::DOUBLE, FALSE) OR coalesce(fr < -0.0003::DOUBLE, FALSE) "
-                                           f"OR abs(coalesce({_z('oi', 50)}, 0)) > 2")})
+                                           f"OR abs(coalesce({_z('oi', 50)}, 0)) > 2.0::DOUBLE + 1e-12")})
 
 
 @query("f41_basis", sql(["b"], f"SELECT symbol, ts_ms, {r6('(close - spot) / nullif(spot, 0)', 'basis_futures_vs_spot')} FROM {_spot_sql}"))
@@ -227,12 +227,12 @@ fragment("swx", ("sw",), "swx AS MATERIALIZED (SELECT *, last_value(sh IGNORE NU
 
 
 @query("f47_feature_matrix", sql(["b", "ema", "rsi", "macd", "atr", "bb", "fb", "swx"], f"""
-SELECT b.symbol, b.ts_ms, {', '.join(r6(f'{t}.{x}', c) for c, (t, x) in _picked.items())}
+SELECT b.symbol, b.ts_ms, {', '.join(r6(f'{t}.{x}', c, 8) for c, (t, x) in _picked.items())}
 FROM b JOIN ema USING (symbol, i) JOIN rsi USING (symbol, i) JOIN macd USING (symbol, i) JOIN atr USING (symbol, i)
 JOIN bb USING (symbol, i) JOIN fb USING (symbol, i) JOIN swx USING (symbol, i)"""))
 def f47(spark, sf_dir):
     """All blocks composed; the check reads one column of each block."""
-    return out_columns(hourly_matrix(spark, sf_dir), list(_picked))
+    return out_columns(hourly_matrix(spark, sf_dir), list(_picked), digits=8)
 
 
 __all__ = ["hourly_matrix", "feature_columns", "keep_last", "rnd"]

@@ -135,7 +135,7 @@ fm AS MATERIALIZED (
   JOIN (SELECT symbol AS s1, i AS i1, fr, gr, oi / nullif({"lag(oi) OVER (PARTITION BY symbol ORDER BY i)"}, 0) - 1 AS oic, buy - sell AS td,
                CASE WHEN buy IS NOT NULL THEN {running('sum', '(buy - sell)')} END AS cvd, close / nullif({running('max', 'close')}, 0) - 1 AS ath,
                {roll('avg', 'close', 50)} AS sma_50, {roll('avg', 'close', 200)} AS sma_200, {_z('volume', 20)} AS volume_zscore_20,
-               {fl(f"coalesce(fr > 0.0003::DOUBLE, FALSE) OR coalesce(fr < -0.0003::DOUBLE, FALSE) OR abs(coalesce({_z('oi', 50)}, 0)) > 2", 'gov')},
+               {fl(f"coalesce(fr > 0.0003::DOUBLE, FALSE) OR coalesce(fr < -0.0003::DOUBLE, FALSE) OR abs(coalesce({_z('oi', 50)}, 0)) > 2.0::DOUBLE + 1e-12", 'gov')},
                CASE WHEN close <> 0 THEN 0.0 END AS basis FROM fb) x ON x.s1 = b.symbol AND x.i1 = b.i
   JOIN (SELECT symbol, i, greatest(least({running('max', 'hh')} + {running('max', 'hl')} - {running('max', 'lh')} - {running('max', 'll')}, 2.0), -2.0) AS mss FROM swf) s USING (symbol, i))""")
 _show = lambda x, name: f"CASE WHEN {x} IS NULL THEN 'unavailable' ELSE printf('%.8f', ROUND(CAST({x} AS DOUBLE), 8) + 0.0) END AS {name}"

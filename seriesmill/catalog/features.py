@@ -184,7 +184,7 @@ bar_query("f12_atr", ["atr", "atr_pct"], [ind.add_true_range, ind.add_atr], ["at
 _z = lambda x, n: f"({x} - ({roll('avg', x, n)})) / nullif({roll('stddev_pop', x, n)}, 0)"
 bar_query("f13_volume", ["volume_log", "volume_zscore_20", "volume_zscore_50", "volume_spike"], [ind.add_volume], ["b"],
           {"volume_log": "ln(1 + volume)", "volume_zscore_20": _z("volume", 20), "volume_zscore_50": _z("volume", 50),
-           "volume_spike": fl(f"{_z('volume', 20)} > 2.0")}, before=50)
+           "volume_spike": fl(f"{_z('volume', 20)} > 2.0::DOUBLE + 1e-12")}, before=50)
 bar_query("f14_obv", ["obv"], [ind.add_obv], ["moves"],
           {"obv": running("sum", "sign(coalesce(chg, 0)) * volume")}, before=1, table="moves")
 bar_query("f15_vwap", ["vwap_24", "vwap_72"], [ind.add_vwap], ["b"],

@@ -25,7 +25,7 @@ def x1(spark, sf_dir):
     return sel.null_ratios(matrix(spark, sf_dir), CHECKED).select("feature", rnd("ratio").alias("ratio"), "kept")
 
 
-@query("x2_low_variance", sql(["fx"], f"SELECT feature, {r6('variance', 'variance')}, variance > 1e-6 AS kept FROM ({_each('var_pop({c})', 'variance')})"))
+@query("x2_low_variance", sql(["fx"], f"SELECT feature, {r6('variance', 'variance')}, coalesce(variance > 1e-6, FALSE) AS kept FROM ({_each('var_pop({c})', 'variance')})"))
 def x2(spark, sf_dir):
     return sel.variances(matrix(spark, sf_dir), CHECKED).select("feature", rnd("variance").alias("variance"), "kept")
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 from seriesmill.keys import TIMEFRAME_MS
 
 UNAVAILABLE = "unavailable"
+# a score that equals its limit must not pass it because of the order its sums were taken in
+TIE = 1e-12
 
 
 def col(x: Column | str) -> Column:

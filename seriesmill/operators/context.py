@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seriesmill.functions.scalar import flag, last_anchor, months_since, safe_div
+from seriesmill.functions.scalar import TIE, flag, last_anchor, months_since, safe_div
 from seriesmill.keys import ANCHOR_DATES
 from seriesmill.operators.asof import asof_columns
 from seriesmill.plans.blocks import Feature, Layout, Rolling, RunStep, Running, lag, pct_change
@@ -93,7 +93,7 @@ add_long_short = Feature(lambda L: {
 
 def _governor(_: Layout) -> dict[str, Column]:
     extreme = F.coalesce(F.col("funding_extreme_high"), F.lit(0.0)) + F.coalesce(F.col("funding_extreme_low"), F.lit(0.0))
-    crowded = F.abs(F.coalesce(F.col("open_interest_zscore_50"), F.lit(0.0))) > 2.0
+    crowded = F.abs(F.coalesce(F.col("open_interest_zscore_50"), F.lit(0.0))) > 2.0 + TIE
     return {"funding_oi_governor_risk": flag((extreme > 0) | crowded)}
 
 

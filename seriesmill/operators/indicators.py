@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seriesmill.functions.scalar import flag, safe_div
+from seriesmill.functions.scalar import TIE, flag, safe_div
 from seriesmill.plans.blocks import (
     Feature, Layout, Rolling, RunStep, Running, Smooth, ema_reach, from_blocks, lag, pct_change,
     span, to_blocks, with_long_rolling,
@@ -171,7 +171,7 @@ add_atr = atr()
 add_volume = Feature(
     lambda L: {"volume_log": F.log1p("volume"), "volume_zscore_20": Rolling(L, 20).zscore("volume"),
                "volume_zscore_50": Rolling(L, 50).zscore("volume")},
-    derived=lambda L: {"volume_spike": flag(F.col("volume_zscore_20") > 2.0)})
+    derived=lambda L: {"volume_spike": flag(F.col("volume_zscore_20") > 2.0 + TIE)})
 
 
 def _signed_volume(df: DataFrame, L: Layout) -> DataFrame:
