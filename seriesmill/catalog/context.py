@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from seriesmill.catalog.base import fl, fragment, lagged, out_columns, query, r6, roll, running, sql
 from seriesmill.catalog.features import DAILY, HOURLY
-from seriesmill.functions.scalar import last_anchor, rnd, to_ms
+from seriesmill.functions.scalar import last_anchor, to_ms
 from seriesmill.operators import context as ctx, indicators as ind
-from seriesmill.operators.asof import asof_columns, keep_last
-from seriesmill.operators.matrix import feature_columns, feature_matrix
+from seriesmill.operators.asof import asof_columns
+from seriesmill.operators.matrix import feature_matrix
 from seriesmill.sources import given
 from seriesmill.sources.ticks import bars, daily_bars
 
@@ -233,6 +233,3 @@ JOIN bb USING (symbol, i) JOIN fb USING (symbol, i) JOIN swx USING (symbol, i)""
 def f47(spark, sf_dir):
     """All blocks composed; the check reads one column of each block."""
     return out_columns(hourly_matrix(spark, sf_dir), list(_picked), digits=8)
-
-
-__all__ = ["hourly_matrix", "feature_columns", "keep_last", "rnd"]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.catalog.base import ffill, fl, fragment, out_columns, query, r6, roll, running, shared, sql
-from seriesmill.catalog.context import _spot_sql, hourly_matrix  # noqa: F401
+from seriesmill.catalog.base import fl, fragment, out_columns, query, r6, roll, running, shared, sql
+from seriesmill.catalog.context import hourly_matrix
 from seriesmill.catalog.features import DAILY, HOURLY
 from seriesmill.catalog.labels import hourly_labels
 from seriesmill.functions.scalar import classify, map_ids, rnd, to_ms

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.catalog.base import fragment, query, r6, roll, sql
+from seriesmill.catalog.base import fragment, query, r6, sql
 from seriesmill.catalog.dataset import INPUTS, KEYS, labels, matrix, ms
 from seriesmill.catalog.features import HOURLY
-from seriesmill.catalog.trading import CURVE, PROFIT_FACTOR, curve, metrics, trades
+from seriesmill.catalog.trading import CURVE, PROFIT_FACTOR, metrics, trades
 from seriesmill.functions.scalar import rnd, to_ms
 from seriesmill.keys import RETRAIN_MIN_BARS
 from seriesmill.operators import drift, evaluate as ev, monitor, outcomes as out, signals as sig
 from seriesmill.plans.materialize import with_scalars
-from seriesmill.plans.quantiles import unpivot
 from seriesmill.sources import given
 from seriesmill.sources.ticks import bars
 
@@ -322,6 +321,3 @@ FROM (SELECT c.symbol AS model_id, p.symbol AS production_id, c.f1 - p.f1 >= 0.0
 def e19(spark, sf_dir):
     m = model_metrics(spark, sf_dir)
     return monitor.promotion_gate(m.where("model_id <> 'click'"), m.where("model_id = 'click'"))
-
-
-__all__ = ["unpivot", "roll", "curve"]

@@ -8,7 +8,6 @@ from seriesmill.catalog import sqltext  # noqa: F401  (registers the shared CTEs
 from seriesmill.catalog.base import (
     ffill, fl, fragment, lagged, out_columns, query, r6, roll, running, sql,
 )
-from seriesmill.functions.scalar import flag, safe_div
 from seriesmill.operators import indicators as ind, patterns as pat, structure as stc
 from seriesmill.plans.blocks import (
     Layout, Rolling, Running, Smooth, ema_reach, lag, pct_change, span, with_long_rolling,
@@ -278,5 +277,3 @@ bar_query("f33_inside_outside_bar", ["inside_bar", "outside_bar"], [pat.add_two_
           {"inside_bar": fl("high <= ph AND low >= pl"), "outside_bar": fl("high > ph AND low < pl")}, before=1, table="cd")
 bar_query("f34_pin_bar", ["pin_bar"], [pat.add_single_bar_patterns], ["cd"],
           {"pin_bar": fl("(lo >= 2 * body AND up <= 0.5 * body) OR (up >= 2 * body AND lo <= 0.5 * body)")}, table="cd")
-
-__all__ = ["HOURLY", "DAILY", "bar_query", "flag", "safe_div"]
