@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -12,12 +14,15 @@ from seriesmill.session import ensure_checkpoint_dir, prepare
 #: Rows per Arrow batch: long texts must not meet in one batch by the ten thousand.
 ARROW_ROWS = 512
 #: A table is marked for broadcast only while its measured rows and bytes stay below these.
-BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8_000_000
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 10_000_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session with UTC, a shared checkpoint folder and small Arrow batches."""
     spark = prepare(spark)
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):  # Python workers find this package as the driver does
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 

@@ -25,7 +25,7 @@ from seriesmill.llm.common import bounded, numbered, running_before, settle, unu
 from seriesmill.plans.prefix import totals_below
 
 #: Documents per slice of a source's order.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_048
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seriesmill.llm import digests, mixing, shards, winnow
+from seriesmill.llm import chat, digests, importance, langid, mixing, packing, shards, simhash, urlrules, winnow
 from seriesmill.llm.common import documents, numbered, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,34 @@ def empty_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+# --- 1: language ------------------------------------------------------------------------
+
+@query("op1_rank_order_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by profiles learnt from those that are not held out."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn(
+        "held_out", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2)
+    profiles = langid.learn(docs.where(~F.col("held_out")))
+    return langid.identify(docs, profiles, ["doc_id", "held_out"])
+
+
+# --- 2: chat formatting -----------------------------------------------------------------
+
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+@query("op2_chat_template")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that is full of control strings, as written and read back."""
+    spark = ready(spark)
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                   "conv_id bigint, turn bigint, role string, text string")
+    records = given.unionByName(tricky).select(
+        "conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    return chat.digests(chat.formatted(chat.turns(records, "conv_id", "turn", "record")))
+
+
 # --- 3: document fingerprints ---------------------------------------------------------
 
 @query("op3_document_fingerprints")
@@ -66,6 +94,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+# --- 5: near-duplicates -----------------------------------------------------------------
+
+@query("op5_simhash_pivots")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash of every document and the component of fingerprints it is linked to."""
+    groups = simhash.near_groups(documents(spark, sf_dir, "doc_id", "text"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 # --- 6: mixing --------------------------------------------------------------------------
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -91,6 +128,45 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "positions")
 
 
+# --- 7: quality -------------------------------------------------------------------------
+
+@query("op7_importance_resampling")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log importance of every document and whether Gumbel top-k draws it."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return importance.selected(docs, labels).select("doc_id", "log_weight", "noise", "key", "kept")
+
+
+# --- 8: URL rules -----------------------------------------------------------------------
+
+RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+         ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+@query("op8_url_rules", """
+WITH u AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/' END AS rule
+  FROM u)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM r""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule that fits every page's URL best, and its verdict."""
+    pages = ready(spark).read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urlrules.judged(pages, spark.createDataFrame(list(RULES), "host string, path string, verdict string"))
+
+
 # --- 9: exact dedup ---------------------------------------------------------------------
 
 @query("op9_digest_index", """
@@ -105,3 +181,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     decided = digests.decide(docs, digests.new_index(spark, buckets=64))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+# --- 10: packing ------------------------------------------------------------------------
+
+@query("op10_grouped_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their sequence and offset."""
+    return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset").cast("bigint").alias("offset"))
