@@ -12,8 +12,8 @@ Defined results
     a null or empty text has no n-grams and log importance 0; sums run over the whole text; the
     noise is a hash of id and text, so reruns draw the same documents; rows with the same id
     and text stand or fall together, so ties at the k-th place all stay; further columns are
-    kept or passed over; without target texts every ratio is 1; without labels k is the
-    number of rows; an empty table gives none.
+    kept or passed over; without target texts every ratio is 1; without bad labels k is
+    the number of rows; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -27,7 +27,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.llm.common import bounded, numbered, settle, unused
 
-BITS = 16
+#: Words fall into few buckets, so that a bucket's ratio rests on many words and a document's
+#: own rare words do not decide about it; surface forms are few and need none of that.
+WORD_BITS, FORM_BITS = 8, 14
+BUCKETS = (1 << WORD_BITS) + (1 << FORM_BITS)
+#: Of the labelled rows, those of one hash class in three set the number to draw, the others fit the target model.
+FOLDS = 3
 #: The target model is fitted on at most about this many labelled rows; all else covers all rows.
 FIT_ROWS = 200_000
 #: Characters that are turned to n-grams in one go.
@@ -94,7 +99,7 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     form = np.where(is_word, form + np.uint64(1), word)
     text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))))
     owner, bucket = [], []
-    for stream, orders, salt in ((word, 2, 10), (form, 3, 20)):
+    for stream, orders, bits, base in ((word, 2, WORD_BITS, 0), (form, 3, FORM_BITS, 1 << WORD_BITS)):
         gram = np.zeros(len(start), dtype=np.uint64)
         for order in range(1, orders + 1):
             n = len(start) - order + 1
@@ -103,7 +108,7 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             gram = _mixed(gram[:n] * _K[2] + stream[order - 1:] + np.uint64(1))
             whole = text[:n] == text[order - 1:]
             owner.append(text[:n][whole])
-            bucket.append((_mixed(gram[whole] + np.uint64(salt + order)) >> np.uint64(64 - BITS)).astype(np.int64))
+            bucket.append(base + (_mixed(gram[whole] + np.uint64(order)) >> np.uint64(64 - bits)).astype(np.int64))
     return np.concatenate(owner), np.concatenate(bucket)
 
 
@@ -123,34 +128,34 @@ def _portions(values: list) -> Iterator[tuple[int, int]]:
 def fit(docs: DataFrame, text: str, target: str, smooth: float = 1.0) -> np.ndarray:
     """Log ratio of target to raw probability per bucket, counted over all rows.
 
-    Every task sums its rows to one count per bucket; the driver gets 2^16 rows.
+    Every task sums its rows to one count per bucket; the driver gets a row per bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, 1 << BITS), dtype=np.int64)
+        sums = np.zeros((2, BUCKETS), dtype=np.int64)
         for batch in batches:
             texts, chosen = batch.column(0).to_pylist(), np.array([bool(x) for x in batch.column(1).to_pylist()])
             for a, b in _portions(texts):
                 owner, bucket = ngrams(texts[a:b])
-                sums[1] += np.bincount(bucket, minlength=1 << BITS)
+                sums[1] += np.bincount(bucket, minlength=BUCKETS)
                 if chosen[a:b].any():
-                    sums[0] += np.bincount(bucket[chosen[a:b][owner]], minlength=1 << BITS)
+                    sums[0] += np.bincount(bucket[chosen[a:b][owner]], minlength=BUCKETS)
         seen = np.nonzero(sums[1])[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), *[pa.array(s[seen]) for s in sums]], ["bucket", "target", "raw"])
 
     counted = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target")).mapInArrow(
         run, "bucket bigint, target bigint, raw bigint").groupBy("bucket").agg(F.sum("target"), F.sum("raw")).collect()
-    counts = np.zeros((2, 1 << BITS))
+    counts = np.zeros((2, BUCKETS))
     for bucket, chosen, raw in counted:
         counts[:, bucket] = chosen, raw
     if not counts[0].sum():
-        return np.zeros(1 << BITS)
+        return np.zeros(BUCKETS)
     share = (counts + smooth) / (counts + smooth).sum(axis=1, keepdims=True)
     return np.log(share[0] / share[1])
 
 
 def scored(docs: DataFrame, ratios: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, log_weight, noise, mark`` per row; the ratios travel as one broadcast of 2^16 doubles."""
+    """``doc_id, log_weight, noise, mark`` per row; the ratios travel as one broadcast of a double per bucket."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,24 +174,28 @@ def scored(docs: DataFrame, ratios: np.ndarray, doc_id: str = "doc_id", text: st
     return rows.withColumn("noise", gumbel(F.xxhash64("doc_id", "mark", F.lit(7))))
 
 
+def _held_out(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit(3)), F.lit(FOLDS)) == 0
+
+
 def sampled_labels(labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """Ids labelled good: all of them, or about ``most`` chosen by a hash of the id."""
-    good = labels.where("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
+    """Ids labelled good, without those held out: all, or about ``most`` chosen by a hash of the id."""
+    good = labels.where((F.col("quality") == 1) & ~_held_out(F.col("doc_id"))).select(F.col("doc_id").alias("good_id")).distinct()
     share = min(1.0, most / max(good.count(), 1))
     return good if share == 1.0 else good.where(
         F.shiftrightunsigned(F.xxhash64("good_id"), 11).cast("double") / F.lit(float(1 << 53)) < share)
 
 
 def acceptable(rows: DataFrame, labels: DataFrame) -> int:
-    """How many rows to draw: those above the log importance that best splits good from bad labels.
+    """How many rows to draw: those above the log importance that best splits held-out good from bad labels.
 
     Labelled rows are counted by bins of the log importance (a few thousand at most reach the driver).
     """
     bins = F.round(F.asinh("log_weight") * 100).cast("int")
-    marks = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("q")).withColumnRenamed("doc_id", "of")
+    marks = labels.where(F.col("quality").isNotNull() & _held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("q")).withColumnRenamed("doc_id", "of")
     table = sorted(rows.join(marks, F.col("doc_id") == F.col("of")).groupBy(bins.alias("bin")).agg(
         F.sum(F.when(F.col("q") == 1, 1).otherwise(0)), F.sum(F.when(F.col("q") == 1, 0).otherwise(1))).collect())
-    if not table:
+    if not sum(r[2] for r in table):
         return rows.count()
     at, good, bad = (np.array(c) for c in zip(*table))
     # cutting below bin i drops the good rows of lower bins and keeps the bad ones from i on
