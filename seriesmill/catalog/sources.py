@@ -35,15 +35,17 @@ _kline_out = lambda df: df.select("open_time", "close_time", rnd("close").alias(
 
 @query("s1_kline_csv_scan", _kline_sql)
 def s1(spark, sf_dir):
-    """Half the series as files without header (ms), half with short header names (µs)."""
-    rows = kline_rows(spark, sf_dir)
-    old = F.col("symbol").isin("click", "error")
-    plain, headed = storage.scratch(spark, "klines-plain"), storage.scratch(spark, "klines-headed")
-    rows.where(old).drop("symbol").write.csv(plain)
-    short = {v: k for k, v in klines.HEADER_ALIASES.items()}
-    micro = rows.where(~old).drop("symbol").withColumns({c: F.col(c) * 1000 for c in ("open_time", "close_time")})
-    micro.withColumnsRenamed(short).write.option("header", True).csv(headed)
-    return _kline_out(klines.read_klines(spark, [plain], [headed]))
+    """One folder, four kinds of files: no header (ms), full header, short names (µs), other column order."""
+    rows = kline_rows(spark, sf_dir).withColumn("kind", F.pmod(F.hash("symbol", "open_time"), F.lit(4))).drop("symbol")
+    path = storage.scratch(spark, "klines")
+    kind = lambda k: rows.where(F.col("kind") == k).drop("kind")
+    kind(0).write.csv(path)
+    kind(1).write.mode("append").option("header", True).csv(path)
+    micro = kind(2).withColumns({c: F.col(c) * 1000 for c in ("open_time", "close_time")})
+    micro.withColumnsRenamed({v: k for k, v in klines.HEADER_ALIASES.items()}).write.mode("append").option("header", True).csv(path)
+    other = kind(3)
+    other.select("open_time", *sorted(set(other.columns) - {"open_time"})).write.mode("append").option("header", True).csv(path)
+    return _kline_out(klines.read_klines(spark, [path]))
 
 
 @query("s2_timestamp_units", """
@@ -104,9 +106,9 @@ def stored(spark, sf_dir):
 @query("s6_partitioned_sink", sql(["b", "d"], """
 SELECT '1h' AS timeframe, symbol, CAST(count(*) AS BIGINT) AS rows FROM b GROUP BY 1, 2 UNION ALL SELECT '1d', symbol, CAST(count(*) AS BIGINT) FROM d GROUP BY 1, 2"""))
 def s6(spark, sf_dir):
-    """Written twice: a second delivery of one timeframe leaves the other as it was."""
+    """An increment (the later hours of one timeframe, delivered again) leaves all else as it was."""
     path = stored(spark, sf_dir)
-    storage.write_bars(bars(spark, sf_dir), path)
+    storage.write_bars(bars(spark, sf_dir).where("day(ts) > 15"), path)
     return storage.read_bars(spark, path).groupBy("timeframe", "symbol").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -10,7 +10,7 @@ from seriesmill.functions.scalar import rnd, to_ms
 from seriesmill.operators import monitor, signals as sig
 from seriesmill.plans.blocks import Layout
 from seriesmill.sources import given, storage
-from seriesmill.sources.ticks import bars, events
+from seriesmill.sources.ticks import bars, daily_bars, events
 from seriesmill.streaming import alerts as al, ingest
 
 _b_sql = sql(["b"], f"SELECT symbol, ts_ms, {r6('close', 'close')} FROM b")
@@ -27,25 +27,46 @@ def delivered(spark, sf_dir):
     return path, b.schema
 
 
+def _ingested(spark, path, schema, files=1):
+    """The table after all landed files went through the ingest stream."""
+    table = storage.scratch(spark, "table")
+    ingest.ingest_bars(ingest.bar_stream(spark, path, schema, files), table, storage.scratch(spark, "marks")).awaitTermination()
+    return table
+
+
 @query("g1_incremental_ingest", _b_sql)
 def g1(spark, sf_dir):
     path, schema = delivered(spark, sf_dir)
-    return _bars_out(ingest.drain(ingest.distinct_bars(ingest.bar_stream(spark, path, schema)), spark))
+    return _bars_out(storage.read_bars(spark, _ingested(spark, path, schema, 2), ["close"]))
+
+
+@query("g1_late_backfill", sql(["d"], f"SELECT symbol, ts_ms, {r6('close', 'close', 8)} FROM d"))
+def g1_backfill(spark, sf_dir):
+    """Years of daily bars, newest year first and one file per micro-batch, each year's last file again at the end."""
+    path = storage.scratch(spark, "years")
+    b = storage.staged(daily_bars(spark, sf_dir), "daily")
+    years = sorted((r[0] for r in b.select(F.year("ts")).distinct().collect()), reverse=True)
+    for year in [*years, years[0]]:
+        b.where(F.year("ts") == year).coalesce(1).write.mode("append").parquet(path)
+    df = storage.read_bars(spark, _ingested(spark, path, b.schema), ["close"])
+    return df.select("symbol", ms(), rnd("close", 8).alias("close"))
 
 
 @query("g1_upsert_stream", _b_sql)
 def g1_upsert(spark, sf_dir):
+    """Wrong closes first, then the right ones as corrections."""
     path, schema = delivered(spark, sf_dir)
     table = storage.scratch(spark, "table")
-    ingest.upsert_stream(ingest.bar_stream(spark, path, schema, 2), table, storage.scratch(spark, "marks"), [*KEYS, "ts"]).awaitTermination()
-    return _bars_out(spark.read.parquet(storage.latest_version(spark, table)))
+    storage.merge_bars(spark.read.schema(schema).parquet(path).withColumn("close", -F.col("close")), table)
+    ingest.ingest_bars(ingest.bar_stream(spark, path, schema, 2), table, storage.scratch(spark, "marks")).awaitTermination()
+    return _bars_out(storage.read_bars(spark, table, ["close"]))
 
 
 @query("g2_stream_watermarks", sql(["b"], "SELECT symbol, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, CAST(count(*) AS BIGINT) AS rows FROM b GROUP BY 1"))
 def g2(spark, sf_dir):
     path, schema = delivered(spark, sf_dir)
     once = storage.scratch(spark, "distinct")
-    ingest.drain(ingest.distinct_bars(ingest.bar_stream(spark, path, schema)), spark).write.parquet(once)
+    storage.read_bars(spark, _ingested(spark, path, schema, 2)).write.parquet(once)
     w = ingest.drain(ingest.stream_watermarks(ingest.bar_stream(spark, once, schema)), spark, "complete")
     return w.select("symbol", to_ms(F.col("first_ts")).alias("first_ms"), to_ms(F.col("last_ts")).alias("last_ms"), "rows")
 
@@ -118,14 +139,14 @@ def g6(spark, sf_dir):
     return bars(spark, sf_dir, "5m").select("symbol", ms(), *[rnd(c).alias(c) for c in ("open", "high", "low", "close", "volume")])
 
 
-@query("g6_bars_from_tick_stream", sql(["b"], f"""
-SELECT symbol, ts_ms, {', '.join(r6(c, c) for c in ('open', 'high', 'low', 'close', 'volume'))} FROM b
-WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""))
+@query("g6_bars_from_tick_stream", sql(["b"], f"SELECT symbol, ts_ms, {', '.join(r6(c, c) for c in ('open', 'high', 'low', 'close', 'volume'))} FROM b"))
 def g6_stream(spark, sf_dir):
-    """Windows the watermark has closed; the last ones stay open."""
+    """Windows the watermark has closed, and the open ones from a closing pass; a window in both is the same."""
     path = storage.scratch(spark, "ticks")
     e = events(spark, sf_dir).select("event_id", "ts", F.col("event_type").alias("symbol"), F.col("value").alias("price"))
     e.write.parquet(path)
     ticks = spark.readStream.schema(e.schema).parquet(path)
-    out = ingest.drain(ingest.stream_bars(ticks, "1 hour", order=("ts", "event_id")), spark)
+    closed = ingest.drain(ingest.stream_bars(ticks, "1 hour", order=("ts", "event_id")), spark)
+    rest = ingest.open_bars(spark.read.schema(e.schema).parquet(path), 3_600_000, order=("ts", "event_id"))
+    out = storage.upserted(closed, rest, ["symbol", "ts"])
     return out.select("symbol", ms(), *[rnd(c).alias(c) for c in ("open", "high", "low", "close", "volume")])

@@ -66,8 +66,9 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Seq
     ranked = counted.withColumn("_upto", F.col("_below") + F.sum("_c").over(order))
     at = lambda r: F.max(F.when((F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r), F.col("_v")))
     lo_rank, hi_rank = F.floor("_rank"), F.ceil("_rank")
+    missed = F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")
     return (ranked.groupBy(*groups, "p", "_rank")
-            .agg(at(lo_rank).alias("_a"), at(hi_rank).alias("_b"))
+            .agg(F.coalesce(at(lo_rank), missed).alias("_a"), F.coalesce(at(hi_rank), missed).alias("_b"))
             .select(*groups, "p",
                     (F.col("_a") + (F.col("_b") - F.col("_a"))
                      * (F.col("_rank") - F.floor("_rank"))).alias("q")))

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from seriesmill.operators.asof import keep_last
+from seriesmill.plans.materialize import sized
 
 # The kline record, its types and the header names that differ.
 KLINE_TYPES = {
@@ -29,11 +30,6 @@ def to_milliseconds(t: Column) -> Column:
     return F.when(t > MICROSECONDS_ABOVE, F.floor(t / 1000)).otherwise(t).cast("bigint")
 
 
-def _canonical(name: str) -> str:
-    plain = name.strip().lower().replace(" ", "_")
-    return HEADER_ALIASES.get(plain, plain)
-
-
 def typed(raw: DataFrame) -> DataFrame:
     """Text columns to the kline types; a value that does not parse fails the job."""
     missing = [c for c in KLINE_TYPES if c not in raw.columns]
@@ -44,20 +40,29 @@ def typed(raw: DataFrame) -> DataFrame:
     return df.withColumns({c: to_milliseconds(F.col(c)) for c in ("open_time", "close_time")})
 
 
-def read_klines(spark: SparkSession, plain: Sequence[str] = (), headed: Sequence[str] = ()) -> DataFrame:
-    """Kline CSV files without (``plain``) and with (``headed``) a header row."""
-    parts = []
-    if plain:
-        schema = ", ".join(f"`{c}` string" for c in KLINE_TYPES)
-        parts.append(typed(spark.read.schema(schema).csv(list(plain)).withColumn("file", F.input_file_name())))
-    if headed:
-        raw = spark.read.option("header", True).csv(list(headed))
-        raw = raw.withColumnsRenamed({c: _canonical(c) for c in raw.columns})
-        parts.append(typed(raw.withColumn("file", F.input_file_name())))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def read_klines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Kline CSV files, each with or without a header row, with their ``file``.
+
+    A file's header, if its first line does not begin with a number, decides the place of each of
+    its values.  The files are read as lines, so a large file is still split over tasks.
+    """
+    lines = spark.read.text(list(paths)).select(
+        F.input_file_name().alias("file"), F.ltrim(F.replace("value", F.lit("\ufeff"), F.lit(""))).alias("line")).where("line <> ''")
+    is_row = F.col("line").rlike(r'^"?[0-9]')
+    heads = sized(lines.where(~is_row).groupBy("file").agg(F.first("line").alias("header"), F.count(F.lit(1)).alias("heads")))
+    named = F.when(F.col("header").isNull(), F.array(*[F.lit(c) for c in KLINE_TYPES])).otherwise(_names("header"))
+    wrong = F.coalesce((F.col("heads") > 1) | (F.size(F.array_except(F.array(*[F.lit(c) for c in KLINE_TYPES]), _names("header"))) > 0), F.lit(False))
+    fault = F.concat(F.lit("header missing columns, or a line that is no row, in "), F.col("file"), F.lit(": "), F.col("header"))
+    # a file of nothing but a faulty header fails too
+    rows = heads.join(lines.where(is_row), "file", "right").select("file", "line", "header", "heads").unionByName(
+        heads.where(wrong).select("file", F.lit("0").alias("line"), "header", "heads"))
+    cells = F.map_from_arrays(named, F.transform(F.split("line", ","), lambda v: F.trim(F.replace(v, F.lit('"'), F.lit("")))))
+    raw = rows.select("file", F.when(wrong, F.raise_error(fault)).otherwise(cells).alias("c"))
+    return typed(raw.select(*[F.element_at("c", c).alias(c) for c in KLINE_TYPES], "file"))
+
+
+def _names(header: str) -> Column:
+    return F.transform(F.split(header, ","), lambda h: _alias(F.lower(F.replace(F.trim(F.replace(h, F.lit('"'), F.lit(""))), F.lit(" "), F.lit("_")))))
 
 
 def read_archives(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -85,8 +90,7 @@ def expand_archives(archives: DataFrame) -> DataFrame:
 
     lines = archives.mapInPandas(unpack, "path string, header string, line string")
     # the header decides each value's place, per archive
-    named = F.when(F.col("header") == "", F.array(*[F.lit(c) for c in KLINE_TYPES])).otherwise(
-        F.transform(F.split("header", ","), lambda h: _alias(F.lower(F.replace(F.trim(h), F.lit(" "), F.lit("_"))))))
+    named = F.when(F.col("header") == "", F.array(*[F.lit(c) for c in KLINE_TYPES])).otherwise(_names("header"))
     cells = F.map_from_arrays(named, F.split("line", ","))
     raw = lines.select("path", cells.alias("c"))
     return typed(raw.select("path", *[F.element_at("c", c).alias(c) for c in KLINE_TYPES]))

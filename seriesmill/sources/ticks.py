@@ -14,13 +14,14 @@ def order_key(df: DataFrame, order: tuple[str, ...]) -> Column:
     aggregation hash-based, where a struct would force a sort of all ticks.
     """
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    whole = {"timestamp", "long", "integer", "short", "byte"}
+    high_kinds = {"timestamp", "integer", "short", "byte"}  # a plain long would not fit in front
     if len(order) == 1:
         return F.col(order[0])
-    if len(order) == 2 and all(kinds[c] in whole for c in order):
+    if len(order) == 2 and kinds[order[0]] in high_kinds and kinds[order[1]] in high_kinds | {"long"}:
         high, low = (F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c) for c in order)
         shifted = low.cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)")
-        return high.cast("decimal(18,0)") * F.lit(str(10 ** 19)).cast("decimal(20,0)") + shifted
+        # the low part spans 2^64, which the factor exceeds; microseconds have 18 digits
+        return high.cast("decimal(18,0)") * F.lit(str(2 * 10 ** 19)).cast("decimal(20,0)") + shifted
     return F.struct(*[F.col(c) for c in order])
 
 

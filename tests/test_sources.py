@@ -46,8 +46,66 @@ def test_bad_number_fails(spark, tmp_path):
 
 def test_header_must_be_complete(spark, tmp_path):
     (tmp_path / "x.csv").write_text("open_time,open\n1,2\n")
-    with pytest.raises(ValueError, match="header missing columns"):
-        klines.read_klines(spark, headed=[str(tmp_path / "x.csv")])
+    with pytest.raises(Exception, match="header missing columns"):
+        klines.read_klines(spark, [str(tmp_path / "x.csv")]).collect()
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    names = list(klines.KLINE_TYPES)
+    values = dict(zip(names, ["1", "1", "4", "0.5", "2", "10", "2", "20", "3", "5", "6", "0"]))
+    for k, order in enumerate([names, names[::-1], [names[0], *sorted(names[1:])]]):
+        (tmp_path / f"{k}.csv").write_text(",".join(order) + "\n" + ",".join(values[c] for c in order) + "\n")
+    (tmp_path / "3.csv").write_text(",".join(values.values()) + "\n")
+    (tmp_path / "4.csv").write_text("\ufeff" + ",".join(names).replace("quote_asset_volume", "quote_volume", 1) + "\n")
+    got = klines.read_klines(spark, [str(tmp_path)]).drop("file").distinct().collect()
+    assert len(got) == 1 and (got[0].open, got[0].high, got[0].low, got[0].close) == (1.0, 4.0, 0.5, 2.0)
+
+
+def test_an_increment_keeps_what_is_stored(spark, tmp_path):
+    path, pdf = str(tmp_path / "bars"), walk(24 * 70, 3)
+    assert storage.merge_bars(frame(spark, pdf.iloc[:24 * 40]), path) == 2
+    assert storage.merge_bars(frame(spark, pdf.iloc[24 * 40:]), path) == 2  # the rest of February, and March
+    changed = pdf.iloc[24 * 65:24 * 66].assign(close=1.0)
+    assert storage.merge_bars(frame(spark, changed), path) == 1
+    assert storage.merge_bars(frame(spark, changed).where("false"), path) == 0
+    got = storage.read_bars(spark, path).toPandas().sort_values("ts")
+    assert len(got) == len(pdf) and (got.close == 1.0).sum() == 24
+
+
+def test_backfill_in_any_order_is_kept(spark, tmp_path):
+    bars = frame(spark, walk(24 * 150, 4))
+    path, table = str(tmp_path / "in"), str(tmp_path / "out")
+    for month in (5, 4, 1, 3, 2, 1):
+        bars.where(F.month("ts") == month).coalesce(1).write.mode("append").parquet(path)
+    ingest.ingest_bars(ingest.bar_stream(spark, path, bars.schema, 1), table, str(tmp_path / "marks")).awaitTermination()
+    assert storage.read_bars(spark, table).count() == 24 * 150
+
+
+def test_rows_beyond_the_lateness_fail(spark, tmp_path):
+    bars = frame(spark, walk(24 * 150, 4))
+    path = str(tmp_path / "in")
+    for month in (5, 4, 1):
+        bars.where(F.month("ts") == month).coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        ingest.drain(ingest.distinct_bars(ingest.bar_stream(spark, path, bars.schema, 1)), spark)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "int"])
+def test_order_key_of_signed_ids(spark, kind):
+    from seriesmill.sources.ticks import order_key
+    times = (-(10 ** 18) * 5, 0, 1, 2) if kind == "bigint" else (-7, 0, 1, 2)
+    rows = [(t, i) for t in times for i in (-(2 ** 63), -81 * 10 ** 17, 0, 81 * 10 ** 17, 2 ** 63 - 1)]
+    first = F.timestamp_micros("a") if kind == "timestamp" else F.col("a").cast(kind)
+    df = spark.createDataFrame(rows, "a bigint, b bigint").withColumn("t", first)
+    assert [(r.a, r.b) for r in df.orderBy(order_key(df, ("t", "b"))).collect()] == sorted(rows)
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    path, base = str(tmp_path / "t"), frame(spark, walk(5, 1))
+    storage.upsert(spark, path, base, ["symbol", "ts"])
+    monkeypatch.setattr(storage, "latest_version", lambda *_: None)  # the second writer has not seen the first
+    with pytest.raises(RuntimeError, match="another writer"):
+        storage.upsert(spark, path, base, ["symbol", "ts"])
 
 
 def test_checksum_audit(spark, tmp_path):
