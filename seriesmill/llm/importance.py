@@ -92,12 +92,12 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     form[(uppers == letters) & (uppers > 1)] = 2
     form[digits == letters] = 3
     form[others == letters] = 4
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))))
     is_word = letters > 0
     where = np.nonzero(is_word)[0]
-    again = where[1:][word[where[1:]] == word[where[:-1]]]
+    again = where[1:][(word[where[1:]] == word[where[:-1]]) & (text[where[1:]] == text[where[:-1]])]
     form[again] = 6
     form = np.where(is_word, form + np.uint64(1), word)
-    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))))
     owner, bucket = [], []
     for stream, orders, bits, base in ((word, 2, WORD_BITS, 0), (form, 3, FORM_BITS, 1 << WORD_BITS)):
         gram = np.zeros(len(start), dtype=np.uint64)
@@ -165,8 +165,8 @@ def scored(docs: DataFrame, ratios: np.ndarray, doc_id: str = "doc_id", text: st
             for a, b in _portions(texts):
                 owner, bucket = ngrams(texts[a:b])
                 weights.append(np.bincount(owner, weights=table[bucket], minlength=b - a))
-            values = np.concatenate(weights) if weights else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), batch.column(2)], ["doc_id", "log_weight", "mark"])
+            values = np.concatenate(weights).astype(float) if weights else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64()), batch.column(2)], ["doc_id", "log_weight", "mark"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(F.col(text)).alias("mark")).mapInArrow(
