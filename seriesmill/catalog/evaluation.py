@@ -243,16 +243,18 @@ def e15(spark, sf_dir):
 
 
 @query("e16_retrain_check", sql(["dpsi", "b"], f"""
-SELECT symbol, CAST(n AS BIGINT) AS rows, CAST(500 AS BIGINT) AS retrain_bar_threshold, CAST(sig AS BIGINT) AS significant_features, top_feature, {r6('top', 'top_psi')},
-       sig > 0 AS retrain_recommended, n >= 500 AS enough_new_bars
-FROM (SELECT symbol, count(*) FILTER (psi >= 0.25) AS sig, arg_max(feature, psi) AS top_feature, max(psi) AS top FROM psi_out GROUP BY 1)
-JOIN (SELECT symbol, count(*) AS n FROM b GROUP BY 1) USING (symbol) WHERE n >= 200"""))
+SELECT symbol, CAST(n AS BIGINT) AS rows, CAST(500 AS BIGINT) AS retrain_bar_threshold, CASE WHEN n >= 200 THEN CAST(sig AS BIGINT) END AS significant_features,
+       CASE WHEN n >= 200 THEN top_feature END AS top_feature, CASE WHEN n >= 200 THEN {r6('top')} END AS top_psi,
+       CASE WHEN n >= 200 THEN sig > 0 END AS retrain_recommended, n >= 500 AS enough_new_bars, CASE WHEN n >= 200 THEN 'checked' ELSE 'too_few_rows' END AS status
+FROM (SELECT symbol, count(*) AS n FROM b GROUP BY 1)
+LEFT JOIN (SELECT symbol, count(*) FILTER (psi >= 0.25) AS sig, arg_max(feature, psi) AS top_feature, max(psi) AS top FROM psi_out GROUP BY 1) USING (symbol)"""))
 def e16(spark, sf_dir):
+    """Every series, short ones included."""
     counts = bars(spark, sf_dir).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows")).withColumn(
         "retrain_bar_threshold", F.lit(RETRAIN_MIN_BARS["1h"]).cast("bigint"))
     r = drift.retrain_check(drift_by_series(spark, sf_dir), counts, KEYS)
     return r.select("symbol", "rows", "retrain_bar_threshold", "significant_features", "top_feature", rnd("top_psi").alias("top_psi"),
-                    "retrain_recommended", "enough_new_bars")
+                    "retrain_recommended", "enough_new_bars", "status")
 
 
 # --- shadow and promotion -----------------------------------------------------------

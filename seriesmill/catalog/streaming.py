@@ -83,20 +83,29 @@ def _predicted(spark, sf_dir):
         "p_down", "p_sideways", "p_up", "quality", F.lit(None).cast("string").alias("regime"), F.lit("bull").alias("cycle"))
 
 
+_levels = ("entry_reference", "stop_reference", "tp1_reference", "tp2_reference", "tp3_reference")
+
+
 @query("g3_alert_payload", sql(["al"], f"""
-SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp_utc, symbol AS asset, signal, {r6('top', 'direction_confidence', 4)},
-       {r6('quality', 'trade_quality_probability', 4)}, 'unknown' AS regime, 'bull' AS cycle_phase, 'up' AS trend, 'unavailable' AS macd FROM al"""))
+SELECT event_id, 'model_signal' AS alert_type, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp_utc, 'm1' AS model_id, symbol AS asset, '1h' AS timeframe,
+       signal, {r6('top', 'direction_confidence', 4)}, {r6('quality', 'trade_quality_probability', 4)}, 'unknown' AS regime, 'bull' AS cycle_phase,
+       quality * 100 AS entry_reference, {', '.join(f'0.0::DOUBLE AS {c}' for c in _levels[1:])}, 2.0::DOUBLE AS estimated_rr, 1.0::DOUBLE AS risk_per_trade_pct,
+       1 AS leverage, CASE WHEN event_id % 2 = 0 THEN event_id % 7 / 2.0::DOUBLE END AS liquidation_buffer_pct, 'up' AS trend,
+       {', '.join(f"'unavailable' AS {c}" for c in ('ema_stack', 'rsi', 'macd', 'funding', 'open_interest', 'fear_greed', 'data_coverage_score'))},
+       'Decision-support only. Not financial advice.|Validate manually before trading.' AS warnings, 60 AS cooldown_minutes FROM al"""))
 def g3(spark, sf_dir):
+    """Every field of the payload."""
     card = F.create_map(F.lit("trend_direction"), F.lit("up"))
-    df = _predicted(spark, sf_dir).select("event_id", al.alert_payload(card).alias("p"))
-    return df.select("event_id", *[F.col(f"p.{c}") for c in ("timestamp_utc", "asset", "signal", "direction_confidence", "trade_quality_probability",
-                                                             "regime", "cycle_phase", "scorecard.trend", "scorecard.macd")])
+    refs = {"entry_reference": F.col("quality") * 100,
+            "liquidation_buffer_pct": F.when(F.col("event_id") % 2 == 0, (F.col("event_id") % 7) / 2.0)}
+    df = _predicted(spark, sf_dir).select("event_id", al.alert_payload(card, refs).alias("p"))
+    return df.select("event_id", "p.*").select("*", "scorecard.*").withColumn("warnings", F.array_join("warnings", "|")).drop("scorecard")
 
 
 @query("g4_alert_gates", sql(["al"], """
 SELECT event_id, CASE WHEN signal NOT IN ('long_bias', 'short_bias') THEN 'signal ''' || signal || ''' is non-alerting' WHEN event_id % 11 = 0 THEN 'model is stale'
-  WHEN event_id % 13 = 0 THEN 'data coverage below acceptable threshold' WHEN c4 < 0.65::DOUBLE THEN 'direction confidence ' || printf('%.4f', c4) || ' < 0.65'
-  WHEN q4 < 0.6::DOUBLE THEN 'trade quality ' || printf('%.4f', q4) || ' < 0.6' WHEN event_id % 90 < 60 THEN 'cooldown active (' || printf('%.0f', (event_id % 90)::DOUBLE) || ' < 60 min)'
+  WHEN event_id % 13 = 0 THEN 'data coverage below acceptable threshold' WHEN c4 < 0.65::DOUBLE THEN 'direction confidence ' || regexp_replace(regexp_replace(printf('%.4f', c4), '0+$', ''), '[.]$', '.0') || ' < 0.65'
+  WHEN q4 < 0.6::DOUBLE THEN 'trade quality ' || regexp_replace(regexp_replace(printf('%.4f', q4), '0+$', ''), '[.]$', '.0') || ' < 0.6' WHEN event_id % 90 < 60 THEN 'cooldown active (' || printf('%.0f', (event_id % 90)::DOUBLE) || ' < 60 min)'
   ELSE 'all gates passed' END AS reason FROM (SELECT *, ROUND(top, 4) AS c4, ROUND(quality, 4) AS q4 FROM al)"""))
 def g4(spark, sf_dir):
     k = F.col("event_id")
@@ -127,9 +136,12 @@ def g5(spark, sf_dir):
 @query("g5_cooldown_stream", _chain)
 def g5_stream(spark, sf_dir):
     path = storage.scratch(spark, "alerts")
-    a = _alerts(spark, sf_dir)
-    a.repartitionByRange(4, "ts").write.parquet(path)
-    stream = spark.readStream.schema(a.schema).parquet(path)
+    a = storage.staged(_alerts(spark, sf_dir), "all-alerts")
+    first, last = a.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    for k in range(4):  # four deliveries, each a micro-batch of its own: the state is carried on
+        quarter = F.floor((F.unix_micros("ts") - F.lit(first)) * 4 / F.lit(max(1, last - first + 1)))
+        a.where(quarter == k).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(path)
     kept = ingest.drain(al.stream_kept_alerts(stream, ["asset"]), spark)
     return kept.select("asset", to_ms(F.col("ts")).alias("ts_ms"))
 

@@ -93,13 +93,18 @@ def class_shares(df: DataFrame, column: str, groups: Sequence[str] = ()) -> Data
 def retrain_check(drift: DataFrame, row_counts: DataFrame, groups: Sequence[str], min_rows: int = 200) -> DataFrame:
     """Per series: significant drifts, the strongest one, rows against the retrain threshold.
 
-    ``row_counts`` carries ``rows`` and ``retrain_bar_threshold``.
+    ``row_counts`` carries ``rows`` and ``retrain_bar_threshold``.  A series with less than ``min_rows``
+    keeps its row, with status ``too_few_rows`` and no verdict on its drift.
     """
     groups = list(groups)
     significant = F.col("severity") == "significant"
     per = drift.groupBy(*groups).agg(
         F.count(F.when(significant, 1)).alias("significant_features"),
         F.max_by("feature", F.struct("psi", "feature")).alias("top_feature"), F.max("psi").alias("top_psi"))
-    return (row_counts.where(F.col("rows") >= min_rows).join(per, groups)
-            .withColumns({"retrain_recommended": F.col("significant_features") > 0,
-                          "enough_new_bars": F.col("rows") >= F.col("retrain_bar_threshold")}))
+    enough = F.col("rows") >= min_rows
+    found = row_counts.join(per, groups, "left").withColumns({
+        c: F.when(enough, F.col(c)) for c in ("significant_features", "top_feature", "top_psi")})
+    return found.withColumns({
+        "status": F.when(enough, "checked").otherwise("too_few_rows"),
+        "retrain_recommended": F.col("significant_features") > 0,
+        "enough_new_bars": F.col("rows") >= F.col("retrain_bar_threshold")})

@@ -26,7 +26,8 @@ def alert_payload(scorecard: Column | None = None, references: dict[str, Column]
     """The alert of a prediction row as a struct.
 
     Reads ``ts, model_id, asset, timeframe, signal, p_down, p_sideways, p_up, quality,
-    regime, cycle``; ``scorecard`` is a map of texts.
+    regime, cycle``; ``scorecard`` is a map of texts; ``references`` may hold the price levels
+    (0 where absent) and ``liquidation_buffer_pct`` (NULL where absent).
     """
     refs = references or {}
     card = F.struct(*[
@@ -43,17 +44,19 @@ def alert_payload(scorecard: Column | None = None, references: dict[str, Column]
         *[F.coalesce(refs[k], F.lit(0.0)).alias(k) if k in refs else F.lit(0.0).alias(k)
           for k in ("entry_reference", "stop_reference", "tp1_reference", "tp2_reference", "tp3_reference")],
         F.lit(2.0).alias("estimated_rr"), F.lit(1.0).alias("risk_per_trade_pct"), F.lit(1).alias("leverage"),
+        refs.get("liquidation_buffer_pct", F.lit(None)).cast("double").alias("liquidation_buffer_pct"),
         card.alias("scorecard"), F.array(*[F.lit(w) for w in WARNINGS]).alias("warnings"), F.lit(COOLDOWN_MINUTES).alias("cooldown_minutes"))
 
 
 def gate_reason(signal: Column, confidence: Column, quality: Column, stale: Column | None = None, coverage_ok: Column | None = None,
                 minutes_since_last: Column | None = None, min_confidence: float = MIN_CONFIDENCE, min_quality: float = MIN_QUALITY,
                 cooldown: int = COOLDOWN_MINUTES) -> Column:
-    """Why an alert is held back, or ``all gates passed``; gates apply in order."""
+    """Why an alert is held back, or ``all gates passed``; gates apply in order (fixed values: the reason texts)."""
     no = F.lit(False)
     since = minutes_since_last if minutes_since_last is not None else F.lit(None).cast("double")
     text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
-    four = lambda x: F.format_string("%.4f", x)
+    # the payload's values have four decimals; printed without closing zeros, but with one decimal at least
+    four = lambda x: F.regexp_replace(F.regexp_replace(F.format_string("%.4f", x), "0+$", ""), r"\.$", ".0")
     return (
         F.when(~signal.isin(*ACTIONABLE) | signal.isNull(), text("signal '", F.coalesce(signal, F.lit("None")), "' is non-alerting"))
         .when(stale if stale is not None else no, "model is stale")
