@@ -73,6 +73,11 @@ def roll(agg: str, x: str, n: int, *, shift: int = 0, key: str = "symbol") -> st
     return f"CASE WHEN count({x}) {frame} >= {n} THEN {agg}({x}) {frame} END"
 
 
+def uniform_sql(text: str, seed: int = 42) -> str:
+    """A uniform number from the first 32 bits of an MD5 of ``text`` and the seed."""
+    return f"(('0x' || substr(md5({text} || '|{seed}'), 1, 8))::UBIGINT)::DOUBLE / 4294967296.0::DOUBLE"
+
+
 def lagged(x: str, k: int = 1, key: str = "symbol") -> str:
     return f"lag({x}, {k}) OVER (PARTITION BY {key} ORDER BY i)"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.catalog.base import fragment, query, r6, sql
+from seriesmill.catalog.base import fragment, query, r6, sql, uniform_sql
 from seriesmill.catalog.dataset import INPUTS, KEYS, labels, matrix, ms
 from seriesmill.catalog.features import HOURLY
 from seriesmill.catalog.trading import CURVE, PROFIT_FACTOR, metrics, trades
@@ -99,7 +99,13 @@ def e5(spark, sf_dir):
     return b.select(F.col("majority").cast("bigint").alias("majority"), rnd("accuracy").alias("accuracy"), rnd("macro_f1").alias("macro_f1"), "n")
 
 
-@query("e5_random_baseline")
+@query("e5_random_baseline", sql(["pred"], f"""
+, g AS MATERIALIZED (SELECT y, CAST(floor({uniform_sql("event_id")} * 3) AS INTEGER) AS c FROM pred)
+SELECT {r6('a.accuracy', 'accuracy')}, {r6('f.f1', 'macro_f1')}, CAST(a.n AS BIGINT) AS n
+FROM (SELECT count(*) FILTER (y = c)::DOUBLE / count(*) AS accuracy, count(*) AS n FROM g) a,
+     (SELECT avg(f1) FILTER (s > 0) AS f1 FROM (SELECT k, tp + fp + fn AS s, coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
+        FROM (SELECT k, count(*) FILTER (y = k AND c = k) AS tp, count(*) FILTER (y <> k AND c = k) AS fp, count(*) FILTER (y = k AND c <> k) AS fn
+              FROM range(3) r(k), g GROUP BY 1))) f""").replace("\n, g AS", ", g AS"))
 def e5_random(spark, sf_dir):
     df = classified(spark, sf_dir).withColumn("guess", F.floor(sig.random_choice("event_id") * 3).cast("int"))
     s = ev.summary(df, "y", "guess")

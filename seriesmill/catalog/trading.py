@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.catalog.base import fragment, query, r6, shared, sql
+from seriesmill.catalog.base import fragment, query, r6, shared, sql, uniform_sql
 from seriesmill.catalog.dataset import KEYS, ms
 from seriesmill.catalog.features import HOURLY
 from seriesmill.functions.scalar import rnd, to_ms
@@ -138,9 +138,13 @@ def m7(spark, sf_dir):
                      F.col("ema_trend.reason").alias("reason"))
 
 
-@query("m8_random_strategy")
+@query("m8_random_strategy", sql(["b"], f"""
+SELECT symbol, ts_ms, CAST(CASE WHEN u < 0.33::DOUBLE THEN 1 WHEN u < 0.66::DOUBLE THEN -1 ELSE 0 END AS BIGINT) AS side,
+       CASE WHEN u < 0.66::DOUBLE THEN 0.33::DOUBLE ELSE 0.34::DOUBLE END AS confidence,
+       CASE WHEN u < 0.33::DOUBLE THEN 'random long' WHEN u < 0.66::DOUBLE THEN 'random short' ELSE 'random flat' END AS reason
+FROM (SELECT symbol, ts_ms, {uniform_sql("symbol || '|' || ts_ms")} AS u FROM b)"""))
 def m8(spark, sf_dir):
-    df = bars(spark, sf_dir).withColumn("s", sig.random_signal("symbol", "ts"))
+    df = bars(spark, sf_dir).withColumn("s", sig.random_signal("symbol", F.unix_millis("ts")))
     return df.select("symbol", ms(), F.col("s.side").cast("bigint").alias("side"), rnd("s.confidence").alias("confidence"), "s.reason")
 
 

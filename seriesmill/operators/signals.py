@@ -149,12 +149,16 @@ def rsi_macd() -> Column:
                    (0, 0.0, "no rsi/macd setup"))
 
 
-def random_choice(*ids: str, seed: int = 42) -> Column:
-    """Uniform number from the row's ids: the same on every run and partitioning."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+def random_choice(*ids: str | Column, seed: int = 42) -> Column:
+    """Uniform number in [0, 1) from the row's ids: the first 32 bits of an MD5 of their texts and the seed.
+
+    The same on every run, partitioning and engine.
+    """
+    text = F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in ids], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def random_signal(*ids: str, seed: int = 42) -> Column:
+def random_signal(*ids: str | Column, seed: int = 42) -> Column:
     u = random_choice(*ids, seed=seed)
     return _choose([(u < 0.33, 1, 0.33, "random long"), (u < 0.66, -1, 0.33, "random short")], (0, 0.34, "random flat"))
 
