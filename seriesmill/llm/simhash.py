@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from seriesmill.llm.common import settle
+from seriesmill.llm.common import settle, unused
 from seriesmill.llm.components import components
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
@@ -78,15 +78,15 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, print``: the fingerprint of every whole text, as a signed long."""
+    """``doc_id, mark, print``: a hash and the fingerprint of every whole text, as signed longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "print"])
+            values = np.array([fingerprint(t) for t in batch.column(2).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(values, pa.int64())], ["doc_id", "mark", "print"])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, print bigint")
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"),
+                       F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, mark bigint, print bigint")
 
 
 # --- keys -------------------------------------------------------------------------------
@@ -209,7 +209,7 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, print, component_id`` of every row; the component is the least id reachable by links."""
+    """``doc_id, mark, print, component_id`` of every row; the component is the least id reachable by links."""
     prints = settle(fingerprints(docs, doc_id, text), "fingerprints")
     nodes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
     tied = components(links(prints.select("print")))
@@ -218,4 +218,17 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     named = settle(named, "named")
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = named.join(roots, "root").select("of", "component_id")
-    return prints.join(by_print, F.col("print") == F.col("of")).select("doc_id", "print", "component_id")
+    return prints.join(by_print, F.col("print") == F.col("of")).select("doc_id", "mark", "print", "component_id")
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the one with its least id.
+
+    Rows without an id stay unless they are linked to one with an id; of repeated rows one stays.
+    """
+    of, of_mark, mark = unused(docs.columns, "of", "of_mark", "mark")
+    gone = near_groups(docs, doc_id, text).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias(of), F.col("mark").alias(of_mark)).distinct()
+    left = docs.withColumn(mark, F.xxhash64(F.col(text))).join(
+        gone, F.col(doc_id).eqNullSafe(F.col(of)) & (F.col(mark) == F.col(of_mark)), "left_anti")
+    return left.dropDuplicates([doc_id, mark]).select(*docs.columns)

@@ -92,6 +92,16 @@ def test_groups_of_texts(spark):
     assert simhash.near_groups(df.where("false")).count() == 0
 
 
+def test_one_of_each_group_stays(spark):
+    rows = [(3, "a b c d", 1), (9, "A B c d", 2), (4, "other words here now", 3), (4, "other words here now", 3), (None, "a b c d", 4),
+            (None, "no id at all", 5), (12, None, 6), (11, " ", 7)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, mark int")
+    got = simhash.representatives(df)
+    assert got.columns == df.columns
+    assert sorted((str(r["doc_id"]), r["mark"]) for r in got.collect()) == [("11", 7), ("3", 1), ("4", 3), ("None", 5)]
+    assert simhash.representatives(df.where("false")).count() == 0
+
+
 def test_components_of_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (7, None), (3, 4)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
