@@ -52,8 +52,8 @@ def test_cooldown_on_a_stream(spark, stamps, tmp_path):
     ("range_wait", 0.9, 0.9, False, True, None, "signal 'range_wait' is non-alerting"),
     ("long_bias", 0.9, 0.9, True, True, None, "model is stale"),
     ("long_bias", 0.9, 0.9, False, False, None, "data coverage below acceptable threshold"),
-    ("long_bias", 0.6, 0.9, False, True, None, "direction confidence 0.6000 < 0.65"),
-    ("short_bias", 0.9, 0.5, False, True, None, "trade quality 0.5000 < 0.6"),
+    ("long_bias", 0.6, 0.9, False, True, None, "direction confidence 0.6 < 0.65"),
+    ("short_bias", 0.9, 0.5, False, True, None, "trade quality 0.5 < 0.6"),
     ("long_bias", 0.9, 0.9, False, True, 30.0, "cooldown active (30 < 60 min)"),
     ("long_bias", 0.9, 0.9, False, True, 60.0, "all gates passed"),
 ])
