@@ -43,7 +43,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
 
-@query("op2_chat_template")
+def escapes(text: str, role: bool = False) -> str:
+    """SQL: how many backslashes the template puts into a text."""
+    colons = f" + length({text}) - length(replace({text}, ':', ''))" if role else ""
+    return (f"(length({text}) - length(replace({text}, '\\', ''))){colons} + (length({text}) - length(replace({text}, '</turn>', ''))) // 7"
+            f" + length({text}) - length(regexp_replace({text}, '#{{3,}}', '', 'g'))")
+
+
+@query("op2_chat_template", f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, k, r, '{CONTROL_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(k, r)),
+s AS (SELECT *, 15 + length(role) + {escapes('role', True)} + length(text) + {escapes('text')} AS written FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(written) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that is full of control strings, as written and read back."""
     spark = ready(spark)
@@ -65,16 +82,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     # each document gives its head to the one before it: links by row number, on ids only
     links = order.select(F.col("doc_id").alias("giver"), F.pmod(F.col("row") - 1, F.lit(max(n, 1))).alias("row")).join(
         order.select(F.col("doc_id").alias("taker"), F.floor(F.col("n") / 4).cast("int").alias("want"), "row"), "row")
-    own = docs.withColumn("fingerprint", winnow.hashes(winnow.winnowed(F.col("text"))))
+    same = F.col("n") - F.floor(F.col("n") / 4).cast("int")  # what an edit leaves of a text
+    own = docs.select("doc_id", "text", F.char_length("text").alias("n"), winnow.winnowed(F.col("text")).alias("packed")).select(
+        "doc_id", "text", F.array_append(winnow.hashes(F.col("packed")), F.size(F.filter(
+            winnow.positions(F.col("packed")), lambda p: p <= winnow.settled_by(same)))).alias("carried"))
+    # how many hashes an edit leaves travels behind them: both readers of the shuffle then need the
+    # same columns and share it, so no text is fingerprinted or sent twice
+    hashes = F.slice("carried", F.lit(1), F.size("carried") - 1)
     given = own.join(links.hint("merge"), F.col("doc_id") == F.col("giver")).select(
-        "taker", "want", F.expr("left(text, want)").alias("head"), F.col("fingerprint").alias("next"))
+        "taker", "want", F.expr("left(text, want)").alias("head"), hashes.alias("next"))
     met = own.hint("merge").join(given, F.col("doc_id") == F.col("taker"))
     edited = met.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), "fingerprint", "next",
+        "doc_id", F.char_length("text").alias("n"), hashes.alias("fingerprint"), F.element_at("carried", -1).alias("stay"), "next", "want",
         F.concat(F.expr("left(text, char_length(text) - want)"), F.col("head")).alias("edited"))
     whole = edited.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "next",
-        winnow.hashes(winnow.winnowed(F.col("edited"))).alias("edited_fingerprint"))
+        "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "next",
+        winnow.amended(F.slice("fingerprint", F.lit(1), F.col("stay")), F.col("n") - F.col("want"), F.col("edited"))
+        .alias("edited_fingerprint"))
     return whole.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         winnow.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

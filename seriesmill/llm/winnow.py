@@ -4,14 +4,14 @@ Every k-gram of code points has a rolling hash; of each window of w hashes the s
 selected, the rightmost on ties, with its position.  Texts that share w + k - 1 code points
 share a selected hash.
 
-The hash is the shift-xor polynomial of per-character codes, H(i) = sum over j of
-code(i + j) * x^(k-1-j).  SQL has no running state, so neighbouring sums are joined instead
-of updating one sum: H over 2m characters is H over m, shifted, plus H over m of the next
-m characters.  k and w are powers of two; each step is one pass over the array.
+The hash is a shift-xor polynomial over codes of up to four characters.  SQL has no running
+state, so neighbouring sums are joined instead of updating one sum: H over 2m characters
+is H over m, shifted, plus H over m of the next m characters; every hash is shared by all
+grams it lies in.  k and w are powers of two; each step is one pass over the array.
 
 Defined results
     null counts as the empty text; no characters give an empty fingerprint; a text of fewer
-    than k characters is one gram; fewer than w grams are one window; hashes have 31 bits;
+    than k characters is one gram; fewer than w grams are one window; hashes have 33 bits;
     positions count code points from 0 and may go up to 2^31 - 1.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-K, WINDOW = 16, 32
+K, WINDOW = 8, 32
 LAST = (1 << 31) - 1
 
 
@@ -31,18 +31,18 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _packed(code: Column, position: Column) -> Column:
-    """Top 31 bits of a hash, then the position counted from the end: the least value is rightmost."""
-    return F.shiftleft(F.shiftrightunsigned(code, 33), 31).bitwiseOR(F.lit(LAST).cast("long") - position.cast("long"))
+    """The hash above, below it the position counted from the end: the least value is rightmost."""
+    return code.bitwiseOR(F.lit(LAST).cast("long")).bitwiseXOR(position.cast("long"))
 
 
 def _longer(m: int) -> Callable[[Column], Column]:
-    """From hashes over m characters to hashes over 2m; NULL where the text ends before."""
+    """From hashes over m characters to hashes over 2m."""
     return lambda a: F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseXOR(F.get(a, i + m)))
 
 
-def _wider(m: int, step: int) -> Callable[[Column], Column]:
-    """From least values of m neighbours to least values of m * step."""
-    return lambda a: F.transform(a, lambda x, i: F.least(x, *[F.get(a, i + j * m) for j in range(1, step)]))
+def _wider(m: int) -> Callable[[Column], Column]:
+    """From least values of m neighbours to least values of 2m; neighbours beyond the end do not count."""
+    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + m)))
 
 
 def winnowed(text: Column, k: int = K, window: int = WINDOW) -> Column:
@@ -51,14 +51,19 @@ def winnowed(text: Column, k: int = K, window: int = WINDOW) -> Column:
         raise ValueError("k (32 at most) and window must be powers of two")
     whole = F.coalesce(text, F.lit(""))
     n = F.char_length(whole)
-    codes = F.transform(F.split(whole, ""), lambda c: F.xxhash64(c))
-    for m in [1 << b for b in range(k.bit_length() - 1)]:
-        codes = bound(codes, _longer(m))
-    least, m = F.transform(codes, _packed), 1
+    first = min(k, 4)
+    least = bound(F.split(whole, ""), lambda a: F.transform(a, lambda c, i: F.xxhash64(c, *[F.get(a, i + j) for j in range(1, first)])))
+    m = first
+    while m < k:
+        least = bound(least, _longer(m))
+        m *= 2
+    least = F.transform(least, _packed)
+    # a text with less than one full window: only whole grams count
+    least = bound(least, lambda a: F.when(n < k + window - 1, F.slice(a, F.lit(1), F.greatest(n - (k - 1), F.lit(1)))).otherwise(a))
+    m = 1
     while m < window:
-        step = 4 if m * 4 <= window else 2
-        least = bound(least, _wider(m, step))
-        m *= step
+        least = bound(least, _wider(m))
+        m *= 2
     windows = F.greatest(n - (k + window - 2), F.lit(1))
     selected = F.array_distinct(F.slice(least, F.lit(1), windows))
     return (F.when(n == 0, F.array().cast("array<bigint>"))
@@ -67,8 +72,8 @@ def winnowed(text: Column, k: int = K, window: int = WINDOW) -> Column:
 
 
 def hashes(packed: Column) -> Column:
-    """The selected hashes by position, repeats included."""
-    return F.transform(packed, lambda x: F.shiftright(x, 31).cast("int"))
+    """The selected hashes by position, repeats included: 32 bits of the 33 that were compared."""
+    return F.transform(packed, lambda x: F.shiftright(x, 32).cast("int"))
 
 
 def positions(packed: Column) -> Column:
@@ -76,6 +81,25 @@ def positions(packed: Column) -> Column:
     return F.transform(packed, lambda x: (F.lit(LAST).cast("long") - x.bitwiseAND(F.lit(LAST).cast("long"))).cast("int"))
 
 
+def settled_by(length: Column, k: int = K, window: int = WINDOW) -> Column:
+    """The last position whose selection depends on the first ``length`` characters alone; negative if none."""
+    return length - F.lit(k + window - 1)
+
+
+def amended(before: Column, unchanged: Column, text: Column, k: int = K, window: int = WINDOW) -> Column:
+    """Hashes of ``text``, which begins like an earlier text whose hashes are known.
+
+    ``unchanged`` is how many first characters are the same, ``before`` the earlier text's hashes
+    at positions up to ``settled_by(unchanged)``.  They stay; only the windows that reach
+    beyond the unchanged part are looked at.  Equal to ``hashes(winnowed(text))``.
+    """
+    last = settled_by(unchanged, k, window)
+    start = F.greatest(last - (window - 2), F.lit(0))
+    tail = winnowed(F.substring(text, start + 1, F.char_length(text) - start), k, window)
+    later = F.filter(tail, lambda x: F.lit(LAST).cast("long") - x.bitwiseAND(F.lit(LAST).cast("long")) > last - start)
+    return F.concat(before, hashes(later))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of common hashes among all hashes of two fingerprints; two empty ones are alike."""
     both = F.size(F.array_intersect(a, b))
