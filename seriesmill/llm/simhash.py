@@ -22,7 +22,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -221,13 +221,14 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return prints.join(by_print, F.col("print") == F.col("of")).select("doc_id", "mark", "print", "component_id")
 
 
-def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    groups: Callable[[DataFrame, str, str], DataFrame] = near_groups) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the one with its least id.
 
-    Rows without an id stay unless they are linked to one with an id; of repeated rows one stays.
+    ``groups`` gives ``doc_id, mark, component_id`` of every row.  Rows without an id stay unless they are linked to one with an id; of repeated rows one stays.
     """
     of, of_mark, mark = unused(docs.columns, "of", "of_mark", "mark")
-    gone = near_groups(docs, doc_id, text).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    gone = groups(docs, doc_id, text).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias(of), F.col("mark").alias(of_mark)).distinct()
     left = docs.withColumn(mark, F.xxhash64(F.col(text))).join(
         gone, F.col(doc_id).eqNullSafe(F.col(of)) & (F.col(mark) == F.col(of_mark)), "left_anti")
