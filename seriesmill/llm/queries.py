@@ -76,22 +76,30 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_document_fingerprints")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text and of its edited text, whose end comes from the next document."""
-    docs = documents(spark, sf_dir, "doc_id", "text").select("doc_id", empty_if_null("text").alias("text"))
-    order, n = numbered(docs.select("doc_id", F.char_length("text").alias("n")), [F.col("doc_id")], "row")
-    # each document gives its head to the one before it: links by row number, on ids only
-    links = order.select(F.col("doc_id").alias("giver"), F.pmod(F.col("row") - 1, F.lit(max(n, 1))).alias("row")).join(
-        order.select(F.col("doc_id").alias("taker"), F.floor(F.col("n") / 4).cast("int").alias("want"), "row"), "row")
+    """Fingerprints of every text and of its edited text, whose end comes from the next document.
+
+    Every row gives one row.  Rows are in the order of their id (null first) and a hash of their
+    text, equal rows next to each other; the row after the last is the first.
+    """
+    docs = documents(spark, sf_dir, "doc_id", "text").select("doc_id", empty_if_null("text").alias("text")).select(
+        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("mark"), "text")
+    name = ["id", "none", "mark"]  # of a text: rows that agree in these are equal
+    order, n = numbered(docs.select(*name, F.char_length("text").alias("n")), [F.col("none").desc(), F.col("id"), F.col("mark")], "row")
+    # each row gives its head to the one before it: links by row number, on names only
+    links = order.select(*[F.col(c).alias(f"giver_{c}") for c in name], F.pmod(F.col("row") - 1, F.lit(max(n, 1))).alias("row")).join(
+        order.select(*[F.col(c).alias(f"taker_{c}") for c in name], F.floor(F.col("n") / 4).cast("int").alias("want"), "row"), "row")
     same = F.col("n") - F.floor(F.col("n") / 4).cast("int")  # what an edit leaves of a text
-    own = docs.select("doc_id", "text", F.char_length("text").alias("n"), winnow.winnowed(F.col("text")).alias("packed")).select(
-        "doc_id", "text", F.array_append(winnow.hashes(F.col("packed")), F.size(F.filter(
-            winnow.positions(F.col("packed")), lambda p: p <= winnow.settled_by(same)))).alias("carried"))
+    # a name has one text, however many rows: the joins give as many rows as there are links
+    own = docs.select(*name, "text", F.char_length("text").alias("n"), winnow.winnowed(F.col("text")).alias("packed")).select(
+        *name, "text", F.array_append(winnow.hashes(F.col("packed")), F.size(F.filter(
+            winnow.positions(F.col("packed")), lambda p: p <= winnow.settled_by(same)))).alias("carried")).dropDuplicates(name)
     # how many hashes an edit leaves travels behind them: both readers of the shuffle then need the
     # same columns and share it, so no text is fingerprinted or sent twice
     hashes = F.slice("carried", F.lit(1), F.size("carried") - 1)
-    given = own.join(links.hint("merge"), F.col("doc_id") == F.col("giver")).select(
-        "taker", "want", F.expr("left(text, want)").alias("head"), hashes.alias("next"))
-    met = own.hint("merge").join(given, F.col("doc_id") == F.col("taker"))
+    given = own.join(links.hint("merge"), [F.col(c) == F.col(f"giver_{c}") for c in name]).select(
+        *[f"taker_{c}" for c in name], "want", F.expr("left(text, want)").alias("head"), hashes.alias("next"))
+    met = own.hint("merge").join(given, [F.col(c) == F.col(f"taker_{c}") for c in name]).withColumn(
+        "doc_id", F.when(~F.col("none"), F.col("id")))
     edited = met.select(
         "doc_id", F.char_length("text").alias("n"), hashes.alias("fingerprint"), F.element_at("carried", -1).alias("stay"), "next", "want",
         F.concat(F.expr("left(text, char_length(text) - want)"), F.col("head")).alias("edited"))
