@@ -1,8 +1,6 @@
 import os
 import sys
 
-import numpy as np
-import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -15,26 +13,3 @@ def spark():
     session = build_session("tests", master="local[8]", shuffle_partitions=8)
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def walk(n, seed, symbol="AAA", start="2024-01-01"):
-    """A random-walk hourly bar frame."""
-    rng = np.random.default_rng(seed)
-    close = 30_000 * np.exp(np.cumsum(rng.normal(0, 0.01, n)))
-    open_ = np.concatenate([[30_000.0], close[:-1]])
-    return pd.DataFrame({
-        "source": "s", "market_type": "spot", "symbol": symbol, "timeframe": "1h",
-        "ts": pd.date_range(start, periods=n, freq="h"), "open": open_,
-        "high": np.maximum(open_, close) * (1 + rng.uniform(0, 0.003, n)),
-        "low": np.minimum(open_, close) * (1 - rng.uniform(0, 0.003, n)),
-        "close": close, "volume": rng.uniform(1, 100, n)})
-
-
-def frame(spark, pdf):
-    from pyspark.sql import functions as F
-    df = spark.createDataFrame(pdf)
-    return df.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in pdf else df
-
-
-def collected(df, by=("symbol", "ts")):
-    return df.toPandas().sort_values(list(by)).reset_index(drop=True)

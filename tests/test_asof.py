@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import collected, frame, walk
+from series import collected, frame, walk
 
 from seriesmill.operators.asof import asof_columns
 

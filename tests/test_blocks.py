@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import collected, frame, walk
+from series import collected, frame, walk
 from pyspark.sql import functions as F
 
 from seriesmill.operators import indicators as ind, labels as lab, patterns as pat, structure as stc

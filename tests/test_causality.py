@@ -1,7 +1,7 @@
 """Features at a bar never depend on later bars."""
 
 import numpy as np
-from conftest import collected, frame, walk
+from series import collected, frame, walk
 
 from seriesmill.operators.matrix import feature_columns, feature_matrix
 from seriesmill.plans.blocks import Layout

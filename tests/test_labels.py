@@ -1,6 +1,6 @@
 import pandas as pd
 import pytest
-from conftest import collected, frame
+from series import collected, frame, walk
 from pyspark.sql import functions as F
 
 from seriesmill.operators import labels as lab
@@ -45,7 +45,6 @@ def test_quality_without_bars(spark):
 
 
 def test_direction_equals_a_loop(spark):
-    from conftest import walk
     pdf = walk(200, 11)
     df = frame(spark, pdf).withColumn("atr", F.lit(400.0))
     got = collected(from_blocks(lab.add_direction(to_blocks(df, L), L, 1.5, 20, 20)))

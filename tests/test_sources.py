@@ -4,7 +4,7 @@ import zipfile
 
 import pandas as pd
 import pytest
-from conftest import collected, frame, walk
+from series import collected, frame, walk
 from pyspark.sql import functions as F
 
 from seriesmill.sources import catalogue as cat, feeds, klines, storage
