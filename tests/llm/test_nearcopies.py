@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from seriesmill.llm import nearcopies
+from seriesmill.llm.common import settle
+from seriesmill.llm.components import components
 
 
 def plain_set(text):
@@ -71,3 +73,62 @@ def test_planted_copies_are_found(spark):
     left = corpus_pipeline.near_dedup(spark, df, "")
     assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == sorted(want.values())
     assert nearcopies.groups(df.where("false")).count() == 0
+
+
+def _rows(spark, texts):
+    """Nodes and their rows under shared keys, every node its own component."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    nodes = settle(nearcopies.signatures(df).dropDuplicates(["node"]), "test-nodes")
+    return nodes, settle(nearcopies.shared_rows(nodes), "test-rows")
+
+
+def test_pairs_under_a_hot_key_of_unlike_texts_grow_with_the_rows(spark):
+    """Texts that share a passage of three quarters of their words: all below 0.8, under few keys."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(60))
+    seen = []
+    for n in (150, 600):
+        texts = [passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(18)) for _ in range(n)]
+        nodes, rows = _rows(spark, texts)
+        pairs = nearcopies.crossing_pairs(rows.withColumn("root", F.col("node")), nodes)
+        most = rows.groupBy("key").count().agg(F.max("count")).first()[0]
+        assert most > nearcopies.FEW * 2  # the keys are hot
+        seen.append(pairs.count() / n)
+    assert seen[1] < 3 * seen[0] and seen[1] < 600 / 4  # a square would be four times as many per text
+
+
+def test_a_hot_group_of_copies_needs_few_pairs_a_text(spark):
+    rng = random.Random(4)
+    hot = " ".join(f"h{k}" for k in range(150))
+    texts = list({edited(rng, hot, 0.85, 0.98) for _ in range(300)})
+    nodes, rows = _rows(spark, texts)
+    rows = rows.withColumn("root", F.col("node"))
+    assert nearcopies.nearest(rows, nodes).count() <= len(texts)
+    looked = []
+
+    def sets(wanted, nodes):
+        looked.append(wanted.count())
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        return nearcopies.sets_of(wanted, nodes, df, "doc_id", "text")
+
+    tied = components(nearcopies.links(settle(nearcopies.signatures(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id bigint, text string")), "test-signed"), sets))
+    assert tied.select("root").distinct().count() == 1 and tied.count() == len(texts)
+    assert looked[0] <= len(texts) and sum(looked) < 2.5 * len(texts)
+
+
+def test_recall_by_similarity_among_unlike_texts_with_a_shared_passage(spark):
+    """Refined keys still find the pairs: each text here shares a passage with all and has one copy."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(60))
+    bands = [(0.8, 0.85), (0.85, 0.9), (0.9, 0.95)]
+    texts, want = [], []
+    for k in range(240):
+        texts.append(passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(20)))
+        texts.append(edited(rng, texts[-1], *bands[k % 3]))
+        want.append((len(texts) - 2, len(texts) - 1, k % 3))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    root = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(df).collect()}
+    for band in range(3):
+        found = [root[a] == root[b] for a, b, k in want if k == band]
+        assert sum(found) / len(found) >= 0.97

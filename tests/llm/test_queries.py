@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from test_mixing import targets
+from test_nearcopies import plain_groups
 from test_simhash import plain_components, plain_print
 
 import corpus_pipeline
@@ -141,7 +142,7 @@ def test_pipeline_stages(spark, docs):
     low = lambda t: (t or "").encode().lower()
     want = good.assign(key=good.text.map(low)).groupby("key").doc_id.max()
     assert sorted(exact.doc_id) == sorted(want)
-    label = plain_components(np.array([plain_print(t) for t in exact.text], dtype=np.uint64))
+    label = plain_groups(exact.text.tolist())
     assert sorted(near.doc_id) == sorted(exact.doc_id.groupby(label).min())
     assert set(mix.doc_id) <= set(near.doc_id) and mix.groupby("doc_id").size().max() <= 2
     taken, sizes = mix.text.map(words).sum(), near.text.map(words).sum()
