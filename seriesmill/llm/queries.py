@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from seriesmill.llm import chat, digests, importance, langid, mixing, packing, shards, simhash, urlrules, winnow
+from seriesmill.llm import (chat, digests, importance, langid, mixing, packing, periods, phrases, shards, simhash, substrings,
+                            urlrules, winnow)
 from seriesmill.llm.common import documents, numbered, ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +223,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequence and offset."""
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset").cast("bigint").alias("offset"))
+
+
+# --- 11: periodic runs ------------------------------------------------------------------
+
+def tailed() -> Column:
+    """The texts' words with a periodic tail for one document in ten, decided by its id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.when(h % 10 == 0, F.floor(h / 10).cast("bigint"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal runs of words in every document, one in ten of which gets a periodic tail first."""
+    docs = documents(spark, sf_dir, "doc_id", "text").select("doc_id", "text", tailed().alias("tail"))
+    runs = F.col("runs")
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return periods.collapsed(docs, tail="tail").withColumn("best", periods.strongest(runs)).select(
+        "doc_id", F.size(runs).cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(runs, lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+# --- 12: collocations -------------------------------------------------------------------
+
+_PIECES = r"[.,;:!?\x0A-\x0D]"
+_lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op12_son_collocations", f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_lower}, '{_PIECES}')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, unnest(ws) AS phrase, 1 AS words FROM w
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM w
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])), 3 FROM w),
+c AS MATERIALIZED (SELECT lang, phrase, words, count(*) AS f, string_split(phrase, ' ') AS s FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM c WHERE words = 1 GROUP BY 1),
+k AS (SELECT *, f AS a FROM c WHERE words > 1 AND f >= 10),
+cuts AS (
+  SELECT k.lang, k.phrase, k.words, k.s, k.a, cut, l.f AS l, r.f AS r, CAST(1000000::HUGEINT * k.a * k.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS cut FROM k) k
+  JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(k.s[1:cut], ' ')
+  JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(k.s[cut + 1:], ' ')),
+b AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, phrase, max(f) AS most FROM (
+  SELECT lang, s[1] || ' ' || s[2] AS phrase, f FROM k WHERE words = 3 UNION ALL SELECT lang, s[2] || ' ' || s[3], f FROM k WHERE words = 3) GROUP BY ALL),
+left_ AS (SELECT b.* FROM b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase WHERE coalesce(100 * i.most < 50 * b.a, TRUE))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score
+FROM left_ JOIN t USING (lang) QUALIFY rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words of each language."""
+    return phrases.collocations(documents(spark, sf_dir, "text", "lang"))
+
+
+# --- 13: repeated substrings ------------------------------------------------------------
+
+@query("op13_suffix_repeats")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its bytes in strings of 400 bytes that occur elsewhere too."""
+    left = substrings.without_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["begin"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
