@@ -248,24 +248,23 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 12: collocations -------------------------------------------------------------------
 
-_PIECES = r"[.,;:!?\x0A-\x0D]"
 _lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 @query("op12_son_collocations", f"""
-WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_lower}, '{_PIECES}')) AS piece FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split(translate({_lower}, '.,;:!?' || chr(11) || chr(12) || chr(13), repeat(chr(10), 9)), chr(10))) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split(translate(piece, chr(9), ' '), ' '), lambda x: x <> '') AS ws FROM p),
 g AS (SELECT lang, unnest(ws) AS phrase, 1 AS words FROM w
   UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM w
   UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])), 3 FROM w),
-c AS MATERIALIZED (SELECT lang, phrase, words, count(*) AS f, string_split(phrase, ' ') AS s FROM g GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, phrase, words, count(*) AS f, string_split(phrase, ' ') AS s, lang || chr(10) || phrase AS name FROM g GROUP BY ALL),
 t AS (SELECT lang, sum(f) AS n FROM c WHERE words = 1 GROUP BY 1),
 k AS (SELECT *, f AS a FROM c WHERE words > 1 AND f >= 10),
 cuts AS (
   SELECT k.lang, k.phrase, k.words, k.s, k.a, cut, l.f AS l, r.f AS r, CAST(1000000::HUGEINT * k.a * k.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
   FROM (SELECT *, unnest(range(1, words)) AS cut FROM k) k
-  JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(k.s[1:cut], ' ')
-  JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(k.s[cut + 1:], ' ')),
+  JOIN c l ON l.name = k.lang || chr(10) || array_to_string(k.s[1:cut], ' ')
+  JOIN c r ON r.name = k.lang || chr(10) || array_to_string(k.s[cut + 1:], ' ')),
 b AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inner_ AS (SELECT lang, phrase, max(f) AS most FROM (
   SELECT lang, s[1] || ' ' || s[2] AS phrase, f FROM k WHERE words = 3 UNION ALL SELECT lang, s[2] || ' ' || s[3], f FROM k WHERE words = 3) GROUP BY ALL),
