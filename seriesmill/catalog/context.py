@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.catalog.base import fl, fragment, lagged, out_columns, query, r6, roll, running, sql
-from seriesmill.catalog.features import DAILY, HOURLY
+from seriesmill.catalog.features import DAILY, HOURLY, MATRIX_SQL
 from seriesmill.functions.scalar import last_anchor, to_ms
+from seriesmill.keys import ANCHOR_DATES
 from seriesmill.operators import context as ctx, indicators as ind
 from seriesmill.operators.asof import asof_columns
 from seriesmill.operators.matrix import feature_matrix
@@ -40,6 +41,7 @@ fragment("anchor_days", (), "anchor_days AS (SELECT * FROM (VALUES (TIMESTAMP '1
 
 
 def flow_query(name, columns, steps, exprs, before=51):
+    MATRIX_SQL.update({c: (("cx",), "cx", exprs[c]) for c in columns})
     text = sql(["fb"], f"SELECT symbol, ts_ms, {', '.join(r6(exprs[c], c, 8) for c in columns)} FROM fb")
 
     @query(name, text)
@@ -215,21 +217,76 @@ def f46(spark, sf_dir):
 # --- composer -----------------------------------------------------------------------
 
 def hourly_matrix(spark, sf_dir):
-    """The full matrix on hourly bars with the derivative feeds."""
-    return feature_matrix(bars(spark, sf_dir), HOURLY, given.derivative_feeds(spark, sf_dir))
-
-
-_picked = {"ema_200": ("ema", "ema_200"), "rsi_14": ("rsi", "rsi_14"), "macd_hist": ("macd", "macd_hist"),
-           "atr": ("atr", "atr"), "bb_upper": ("bb", "upper"), "deriv_funding_rate": ("fb", "fr"),
-           "last_swing_high": ("swx", "lsh")}
+    """The full matrix on hourly bars with every feed and a spot table."""
+    rows = bars(spark, sf_dir)
+    feeds = given.derivative_feeds(spark, sf_dir) | given.context_series(spark, sf_dir)
+    return feature_matrix(rows, HOURLY, feeds, given.spot_bars(rows))
+
+
+fragment("h6", (), """
+h6 AS MATERIALIZED (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS ts, last(value ORDER BY ts, event_id) AS v FROM events GROUP BY 1)""")
+_series = [*ctx.ONCHAIN_BTC, *ctx.ONCHAIN_ETH, *(f"macro_{m}" for m in ctx.MACRO), *ctx.DOMINANCE]
+_feeds_sql = [f"(SELECT ts + INTERVAL {k} HOUR AS ts, {f'CASE WHEN day(ts) % 7 <> 0 THEN v * {k + 1.0} END' if c == 'eth_supply' else f'v * {k + 1.0}'} AS {c} FROM h6)"
+              for k, c in enumerate(_series)]
+_feeds_sql.append("(SELECT ts, CAST(floor(v)::BIGINT % 101 AS DOUBLE) AS fear_greed FROM h6)")
+fragment("cx", ("fb", "h6"), "cx AS MATERIALIZED (SELECT fb.*, " + ", ".join([*_series, "fear_greed", "spot"]) + " FROM fb "
+         + " ".join(f"ASOF LEFT JOIN {f} f{k} ON fb.ts >= f{k}.ts" for k, f in enumerate(_feeds_sql))
+         + " ASOF LEFT JOIN (SELECT symbol, ts, open AS spot FROM b WHERE (epoch(ts)::BIGINT // 3600) % 3 = 0) s ON fb.symbol = s.symbol AND fb.ts >= s.ts)")
+_of_context = {c: c for c in [*_series, "fear_greed"]} | {"basis_futures_vs_spot": "(close - spot) / nullif(spot, 0)"} | _deriv
+for _m in ctx.ONCHAIN_BTC:
+    _of_context |= {f"{_m}_zscore_30": _z(_m, 30), f"{_m}_delta": f"{_m} - {lagged(_m)}"}
+_of_context |= {f"macro_{m}_ret": _pc(f"macro_{m}") for m in ctx.MACRO_RETURNS}
+_of_context |= {"fear_greed_zscore_30": _z("fear_greed", 30), "fear_greed_delta": f"fear_greed - {lagged('fear_greed')}",
+                "fear_greed_extreme_fear": fl("fear_greed < 20"), "fear_greed_extreme_greed": fl("fear_greed > 80")}
+_anchor = "greatest(" + ", ".join(f"CASE WHEN TIMESTAMP '{a}' <= ts THEN TIMESTAMP '{a}' END" for a in ANCHOR_DATES) + ")"
+_of_context["cycle_months_since_halving"] = f"floor((epoch(ts) - epoch({_anchor})) / 86400) / 30.4375"
+MATRIX_SQL.update({c: (("cx",), "cx", e) for c, e in _of_context.items()} | {c: (("b",), "b", c) for c in ("open", "high", "low", "close", "volume")})
+
+# The columns of the matrix.
+MATRIX_COLUMNS = (
+    "open", "high", "low", "close", "volume", *_deriv, *_series[:12], "fear_greed", *_series[12:], "swing_high_flag", "swing_low_flag",
+    "taker_delta_proxy", "taker_imbalance", "obv", "last_swing_high", "last_swing_low", "distance_from_ath_pct", "distance_from_atl_pct",
+    "distance_to_last_swing_high", "distance_to_last_swing_low", "swing_hh_flag", "swing_lh_flag", "swing_hl_flag", "swing_ll_flag",
+    "smc_choch_up_proxy", "smc_choch_down_proxy", "cvd_proxy", "market_structure_score",
+    *(f"distance_from_{k}_{s}" for k in ("52w_24h", "52w_1h", "52w_4h") for s in ("high", "low")), "returns_1", "log_returns_1",
+    "sma_50", "sma_200", "bb_mid", "bb_upper", "bb_lower", "true_range", "volume_log", "volume_zscore_20", "volume_zscore_50", "vwap_24", "vwap_72",
+    "range_20_high", "range_20_low", "range_50_high", "range_50_low", "smc_fvg_up_proxy", "smc_fvg_down_proxy", "candle_body_pct",
+    "candle_upper_wick_pct", "candle_lower_wick_pct", "candle_bullish", "candle_bearish", "doji", "hammer", "shooting_star", "pin_bar",
+    "bullish_engulfing", "bearish_engulfing", "inside_bar", "outside_bar", "fear_greed_zscore_30", "fear_greed_delta",
+    "fear_greed_extreme_fear", "fear_greed_extreme_greed", *(f"{m}_{s}" for m in ctx.ONCHAIN_BTC for s in ("zscore_30", "delta")),
+    *(f"macro_{m}_ret" for m in ctx.MACRO_RETURNS), "cycle_months_since_halving", "funding_rate", "funding_rate_zscore_50",
+    "funding_extreme_high", "funding_extreme_low", "funding_rate_8h_delta", "open_interest", "open_interest_change_pct",
+    "open_interest_zscore_50", *(f"price_{p}_oi_{o}" for p in ("up", "down") for o in ("up", "down")), "global_long_short_zscore_50",
+    "basis_futures_vs_spot", "ema_9", "ema_21", "ema_50", "ema_120", "ema_200", "atr", "ema_stack_score", "price_above_ema_200",
+    "price_above_ema_120", "ema_120_cycle_signal", "golden_cross", "death_cross", "rsi_14", "macd_line", "bb_pct_b", "bb_bandwidth",
+    "bb_mean_reversion_signal", "atr_pct", "volume_spike", "realized_volatility_20", "realized_volatility_50", "realized_volatility_100",
+    "realized_volatility", *(f"range_{n}_{s}" for n in (20, 50) for s in ("pct", "breakout_up", "breakout_down", "inside", "sweep_up", "sweep_down")),
+    "smc_order_block_up_proxy", "smc_order_block_down_proxy", "funding_oi_governor_risk", "macd_signal", "rsi_14_slope", "rsi_14_overbought",
+    "rsi_14_oversold", "rsi_14_zscore_50", "macd_hist", "macd_hist_slope", "macd_cross_up", "macd_cross_down")
+
+
+def _matrix_sql() -> None:
+    """CTE ``fmx``: keys and every matrix column, one part per table the columns come from."""
+    tables: dict[str, tuple[list[str], list[str]]] = {}
+    for c in MATRIX_COLUMNS:
+        deps, table, expr = MATRIX_SQL[c]
+        needs, exprs = tables.setdefault(table, ([], []))
+        needs.extend(deps)
+        exprs.append(f"CAST({expr} AS DOUBLE) AS {c}")
+    parts = []
+    for k, (table, (needs, exprs)) in enumerate(tables.items()):
+        fragment(f"fp{k}", tuple(dict.fromkeys(needs)), f"fp{k} AS MATERIALIZED (SELECT symbol, i, {', '.join(exprs)} FROM {table})")
+        parts.append(f"fp{k}")
+    fragment("fmx", ("b", *parts), "fmx AS MATERIALIZED (SELECT b.symbol, b.i, b.n, b.ts, b.ts_ms, " + ", ".join(MATRIX_COLUMNS)
+             + " FROM (SELECT symbol, i, n, ts, ts_ms FROM b) b " + " ".join(f"JOIN {p} USING (symbol, i)" for p in parts) + ")")
+
+
+_matrix_sql()
 fragment("swx", ("sw",), "swx AS MATERIALIZED (SELECT *, last_value(sh IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY i "
                          "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lsh FROM sw)")
 
 
-@query("f47_feature_matrix", sql(["b", "ema", "rsi", "macd", "atr", "bb", "fb", "swx"], f"""
-SELECT b.symbol, b.ts_ms, {', '.join(r6(f'{t}.{x}', c, 8) for c, (t, x) in _picked.items())}
-FROM b JOIN ema USING (symbol, i) JOIN rsi USING (symbol, i) JOIN macd USING (symbol, i) JOIN atr USING (symbol, i)
-JOIN bb USING (symbol, i) JOIN fb USING (symbol, i) JOIN swx USING (symbol, i)"""))
+@query("f47_feature_matrix", sql(["fmx"], f"SELECT symbol, ts_ms, {', '.join(r6(c, c, 8) for c in MATRIX_COLUMNS)} FROM fmx"))
 def f47(spark, sf_dir):
-    """All blocks composed; the check reads one column of each block."""
-    return out_columns(hourly_matrix(spark, sf_dir), list(_picked), digits=8)
+    """All blocks composed, every column."""
+    return out_columns(hourly_matrix(spark, sf_dir), MATRIX_COLUMNS, digits=8)

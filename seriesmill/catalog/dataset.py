@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seriesmill.catalog.base import fl, fragment, out_columns, query, r6, roll, running, shared, sql
-from seriesmill.catalog.context import hourly_matrix
+from seriesmill.catalog.context import MATRIX_COLUMNS, hourly_matrix
 from seriesmill.catalog.features import DAILY, HOURLY
 from seriesmill.catalog.labels import hourly_labels
 from seriesmill.functions.scalar import classify, map_ids, rnd, to_ms
@@ -15,8 +17,10 @@ from seriesmill.operators.matrix import feature_columns
 from seriesmill.sources.ticks import bars, daily_bars, events
 
 KEYS = list(SERIES_KEYS)
-# a narrow set of inputs with long warm-ups, gaps and constants among them
-INPUTS = ["returns_1", "rsi_14", "atr_pct", "bb_pct_b", "volume_zscore_20", "sma_200"]
+INPUTS = list(MATRIX_COLUMNS)
+SEQUENCE, CONTEXT = rows.split_columns(INPUTS)
+#: Steps of a window on hourly bars.
+LENGTH = ds.SEQUENCE_LENGTHS["1h"]
 
 
 def ms():
@@ -34,7 +38,7 @@ def labels(spark, sf_dir):
 def joined(spark, sf_dir):
     """Features and labels of usable rows (what datasets are cut from)."""
     build = lambda s, d: ds.join_labels(
-        matrix(s, d).select(*KEYS, "ts", "close", "volume", *INPUTS), labels(s, d), KEYS)
+        matrix(s, d), labels(s, d), KEYS)
     return shared(spark, sf_dir, "joined", build)
 
 
@@ -61,7 +65,8 @@ def p4(spark, sf_dir):
     return rows.binary_target(labels(spark, sf_dir)).select("symbol", ms(), F.col("y").cast("bigint").alias("y"))
 
 
-@query("p5_column_roles")
+@query("p5_column_roles", sql(["fmx"], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS non_null, '{'context' if c in CONTEXT else 'sequence'}' AS role FROM fmx" for c in INPUTS)))
 def p5(spark, sf_dir):
     """Every numeric matrix column with its role and how many values it has."""
     m = matrix(spark, sf_dir)
@@ -125,19 +130,11 @@ def _case(x: str, steps) -> str:
 
 
 _z = lambda x, n: f"({x} - ({roll('avg', x, n)})) / nullif({roll('stddev_pop', x, n)}, 0)"
-fragment("fm", ("b", "ema_state", "rsi", "macd", "atr", "bb", "fb", "swf"), f"""
+fragment("fm", ("fmx",), """
 fm AS MATERIALIZED (
-  SELECT b.symbol, b.i, b.n, b.ts, b.ts_ms, b.close, b.volume, e.ema_stack_score, CASE WHEN b.close > e.ema_120 THEN 1.0 ELSE -1.0 END AS ema_120_cycle_signal,
-         e.ema_9, e.ema_21, r.rsi_14, r.returns_1, m.macd_hist, a.atr, a.atr_pct, CASE WHEN b.close > bb.upper THEN -1.0 WHEN b.close < bb.lower THEN 1.0 ELSE 0.0 END AS bbs,
-         (b.close - bb.lower) / nullif(bb.upper - bb.lower, 0) AS bb_pct_b, x.*, s.mss
-  FROM b JOIN ema_state e USING (symbol, i) JOIN rsi r USING (symbol, i) JOIN macd m USING (symbol, i) JOIN atr a USING (symbol, i)
-  JOIN bb USING (symbol, i)
-  JOIN (SELECT symbol AS s1, i AS i1, fr, gr, oi / nullif({"lag(oi) OVER (PARTITION BY symbol ORDER BY i)"}, 0) - 1 AS oic, buy - sell AS td,
-               CASE WHEN buy IS NOT NULL THEN {running('sum', '(buy - sell)')} END AS cvd, close / nullif({running('max', 'close')}, 0) - 1 AS ath,
-               {roll('avg', 'close', 50)} AS sma_50, {roll('avg', 'close', 200)} AS sma_200, {_z('volume', 20)} AS volume_zscore_20,
-               {fl(f"coalesce(fr > 0.0003::DOUBLE, FALSE) OR coalesce(fr < -0.0003::DOUBLE, FALSE) OR abs(coalesce({_z('oi', 50)}, 0)) > 2.0::DOUBLE + 1e-12", 'gov')},
-               CASE WHEN close <> 0 THEN 0.0 END AS basis FROM fb) x ON x.s1 = b.symbol AND x.i1 = b.i
-  JOIN (SELECT symbol, i, greatest(least({running('max', 'hh')} + {running('max', 'hl')} - {running('max', 'lh')} - {running('max', 'll')}, 2.0), -2.0) AS mss FROM swf) s USING (symbol, i))""")
+  SELECT *, bb_mean_reversion_signal AS bbs, funding_rate AS fr, deriv_global_long_short_ratio AS gr, open_interest_change_pct AS oic,
+         taker_delta_proxy AS td, cvd_proxy AS cvd, distance_from_ath_pct AS ath, funding_oi_governor_risk AS gov,
+         basis_futures_vs_spot AS basis, market_structure_score AS mss FROM fmx)""")
 _show = lambda x, name: f"CASE WHEN {x} IS NULL THEN 'unavailable' ELSE printf('%.8f', ROUND(CAST({x} AS DOUBLE), 8) + 0.0) END AS {name}"
 _trade = {
     "market_structure_score": _show("mss", "market_structure_score"), "structure_state": _case("mss", sc.STRUCTURE) + " AS structure_state",
@@ -150,8 +147,8 @@ _trade = {
     "funding_oi_governor": "CASE WHEN gov = 1 THEN 'elevated' ELSE 'normal' END AS funding_oi_governor",
     "taker_delta_proxy": _show("td", "taker_delta_proxy"), "cvd_proxy": _show("cvd", "cvd_proxy"),
     "basis_futures_vs_spot": _show("basis", "basis_futures_vs_spot"), "long_short_ratio": _show("gr", "long_short_ratio"),
-    "fear_greed": "'unavailable' AS fear_greed", "fear_greed_state": "'unavailable' AS fear_greed_state",
-    "btc_dominance": "'unavailable' AS btc_dominance", "atr": _show("atr", "atr"), "atr_pct": _show("atr_pct", "atr_pct"),
+    "fear_greed": _show("fear_greed", "fear_greed"), "fear_greed_state": _case("fear_greed", sc.FEAR_GREED) + " AS fear_greed_state",
+    "btc_dominance": _show("btc_dominance_pct", "btc_dominance"), "atr": _show("atr", "atr"), "atr_pct": _show("atr_pct", "atr_pct"),
     "current_price": _show("close", "current_price"), "min_rr_target": "2.0::DOUBLE AS min_rr_target",
     "max_risk_per_trade_pct": "1.0::DOUBLE AS max_risk_per_trade_pct", "max_daily_loss_pct": "4.0::DOUBLE AS max_daily_loss_pct",
 }
@@ -159,9 +156,10 @@ _buy = {
     "current_price": _show("close", "current_price"), "distance_from_ath_pct": _show("ath", "distance_from_ath_pct"),
     "ema_120_cycle_state": _case("ema_120_cycle_signal", sc.CYCLE_LINE) + " AS ema_120_cycle_state", "sma_50": _show("sma_50", "sma_50"),
     "sma_200": _show("sma_200", "sma_200"), "rsi_14": _show("rsi_14", "rsi_14"), "macd_hist": _show("macd_hist", "macd_hist"),
-    "trend_direction": _case("ema_stack_score", sc.TREND) + " AS trend_direction", "fear_greed": "'unavailable' AS fear_greed",
-    "btc_active_addresses": "'unavailable' AS btc_active_addresses", "btc_hash_rate": "'unavailable' AS btc_hash_rate",
-    "btc_miner_revenue_usd": "'unavailable' AS btc_miner_revenue_usd", "dca_suggested": "'unavailable' AS dca_suggested",
+    "trend_direction": _case("ema_stack_score", sc.TREND) + " AS trend_direction", "fear_greed": _show("fear_greed", "fear_greed"),
+    "btc_active_addresses": _show("btc_active_addresses", "btc_active_addresses"), "btc_hash_rate": _show("btc_hash_rate", "btc_hash_rate"),
+    "btc_miner_revenue_usd": _show("btc_miner_revenue_usd", "btc_miner_revenue_usd"),
+    "dca_suggested": "CASE WHEN fear_greed > 60 THEN 'true' WHEN fear_greed IS NOT NULL THEN 'false' ELSE 'unavailable' END AS dca_suggested",
     "risk_disclaimer": f"'{sc.DISCLAIMER}' AS risk_disclaimer",
 }
 
@@ -275,25 +273,47 @@ def d5(spark, sf_dir):
     return out_columns(scaled_rows(spark, sf_dir), INPUTS)
 
 
-def samples(spark, sf_dir, length=16):
-    return ds.sequence_windows(scaled_rows(spark, sf_dir), HOURLY, INPUTS, ["sma_200"], length)
+def scaled_samples(spark, sf_dir):
+    """Scaled rows of all splits with ids and targets: windows are read from them, never stored."""
+    return shared(spark, sf_dir, "samples", lambda s, d: ds.targets(scaled_rows(s, d)))
 
 
-@query("d6_sequence_windows", sql(["js", "scaled"], f"""
-SELECT symbol, ts_ms, split, CAST(len(w) AS BIGINT) AS steps, {r6('list_sum(w)', 'total')}, {r6('w[1]', 'oldest')}
-FROM (SELECT s.symbol, s.ts_ms, s.split, s.p, list(z) OVER (PARTITION BY s.symbol ORDER BY s.p ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS w
-      FROM scaled s WHERE feature = 'rsi_14') WHERE p >= 15 AND split IS NOT NULL"""))
-def d6(spark, sf_dir):
-    k = INPUTS.index("rsi_14")
-    one = F.transform("x_seq", lambda step: step[k])
-    return samples(spark, sf_dir).select(
-        "symbol", ms(), "split", F.size("x_seq").cast("bigint").alias("steps"),
-        rnd(F.aggregate(one, F.lit(0.0), lambda a, x: a + x)).alias("total"), rnd(one[0]).alias("oldest"))
+def samples(spark, sf_dir):
+    return ds.sample_rows(scaled_rows(spark, sf_dir), HOURLY, LENGTH)
+
 
+_sequence_list = ", ".join(f"'{c}'" for c in SEQUENCE)
 
-@query("d7_stacked_training_set", sql(["js"], """
+
+@query("d6_sequence_windows", sql(["scaled"], f"""
+SELECT symbol, ts_ms, split, CAST(LEAST(p + 1, {LENGTH}) AS BIGINT) AS steps, {r6('sum(rsi) OVER w', 'total')}, {r6('first_value(rsi) OVER w', 'oldest')}, {r6('sum(every) OVER w', 'total_all')}
+FROM (SELECT symbol, ts_ms, split, p, max(z) FILTER (feature = 'rsi_14') AS rsi, sum(z) FILTER (feature IN ({_sequence_list})) AS every FROM scaled GROUP BY ALL)
+WINDOW w AS (PARTITION BY symbol ORDER BY p ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW)
+QUALIFY p >= {LENGTH - 1} AND split IS NOT NULL"""))
+def d6(spark, sf_dir):
+    """Every sample's window of all columns, reduced to the sums that the check compares."""
+    k = SEQUENCE.index("rsi_14")
+    carry = ["symbol", "ts", "split"]
+
+    def each(windows):
+        ones = np.zeros((windows.length, windows.rows.shape[1], 2))
+        ones[:, :, 0], ones[:, k, 1] = 1.0, 1.0
+        sums, out = windows.project(ones), windows.carried
+        first = windows.rows[windows.ends - windows.length + 1, k]
+        for name, value in (("steps", np.full(len(windows.ends), windows.length)), ("total", sums[:, 1]), ("oldest", first), ("total_all", sums[:, 0])):
+            out = out.append_column(name, pa.array(value))
+        return out
+
+    df = scaled_rows(spark, sf_dir)
+    blocks = ds.window_blocks(df, HOURLY, SEQUENCE, LENGTH, carry)
+    found = ds.over_windows(blocks, HOURLY, SEQUENCE, LENGTH, carry, each,
+                            "symbol string, ts timestamp, split string, steps bigint, total double, oldest double, total_all double")
+    return found.select("symbol", ms(), "split", "steps", *[rnd(c).alias(c) for c in ("total", "oldest", "total_all")])
+
+
+@query("d7_stacked_training_set", sql(["js"], f"""
 SELECT split, CAST(direction AS BIGINT) AS y_direction, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT symbol) AS BIGINT) AS series
-FROM js WHERE p >= 15 AND split IS NOT NULL GROUP BY 1, 2"""))
+FROM js WHERE p >= {LENGTH - 1} AND split IS NOT NULL GROUP BY 1, 2"""))
 def d7(spark, sf_dir):
     """Samples of all series in one table."""
     return samples(spark, sf_dir).groupBy("split", F.col("y_direction").cast("bigint").alias("y_direction")).agg(
@@ -310,9 +330,9 @@ def d8(spark, sf_dir):
     return w.select(F.col("label").cast("bigint").alias("label"), F.col("rows").cast("bigint").alias("rows"), rnd("weight").alias("weight"))
 
 
-@query("d9_dataset_spec", sql(["js"], """
-SELECT symbol, CAST(count(*) FILTER (split = 'train' AND p >= 15) AS BIGINT) AS train_rows, CAST(count(*) FILTER (split = 'val' AND p >= 15) AS BIGINT) AS val_rows,
-       CAST(count(*) FILTER (split = 'test' AND p >= 15) AS BIGINT) AS test_rows, CAST(16 AS BIGINT) AS seq_len, CAST(10 AS BIGINT) AS embargo_bars,
-       CAST(6 AS BIGINT) AS feature_count_seq, CAST(1 AS BIGINT) AS feature_count_context FROM js GROUP BY 1"""))
+@query("d9_dataset_spec", sql(["js"], "SELECT symbol, " + ", ".join(
+    f"CAST(count(*) FILTER (split = '{part}' AND p >= {LENGTH - 1}) AS BIGINT) AS {part}_rows" for part in ("train", "val", "test")) + f""",
+       CAST({LENGTH} AS BIGINT) AS seq_len, CAST(10 AS BIGINT) AS embargo_bars, CAST({len(SEQUENCE)} AS BIGINT) AS feature_count_seq,
+       CAST({len(CONTEXT)} AS BIGINT) AS feature_count_context FROM js GROUP BY 1 HAVING max(p) >= {LENGTH - 1}"""))
 def d9(spark, sf_dir):
-    return ds.dataset_spec(samples(spark, sf_dir), ["symbol"], len(INPUTS), 1, 16)
+    return ds.dataset_spec(samples(spark, sf_dir), ["symbol"], len(SEQUENCE), len(CONTEXT), LENGTH)

@@ -142,16 +142,15 @@ psi_out AS MATERIALIZED (SELECT {g}, CASE WHEN any_value(ne) < 3 OR any_value(nr
 
 
 _sev = "CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'significant' END"
-DRIFTING = [*INPUTS, "close", "volume"]
 _sample = "CASE WHEN i < floor(n * 0.7::DOUBLE) THEN 'ref' WHEN i >= floor(n * 0.85::DOUBLE) THEN 'cur' END"
 fragment("dl", ("fm",), "dl AS MATERIALIZED (" + " UNION ALL ".join(
-    f"SELECT symbol, '{c}' AS feature, {_sample} AS sample, round({c}, 9) AS v FROM fm" for c in DRIFTING) + ")")
+    f"SELECT symbol, '{c}' AS feature, {_sample} AS sample, round({c}, 9) AS v FROM fm" for c in INPUTS) + ")")
 fragment("dpsi", ("dl",), psi_sql("dl", "symbol, feature"))
 
 
 def sampled(spark, sf_dir):
     # nine decimals: equal values must stay equal whatever order they were summed in
-    m = matrix(spark, sf_dir).select(*KEYS, "ts", *[F.round(c, 9).alias(c) for c in DRIFTING])
+    m = matrix(spark, sf_dir).select(*KEYS, "ts", *[F.round(c, 9).alias(c) for c in INPUTS])
     return drift.mark_samples(m, HOURLY)
 
 
@@ -165,7 +164,7 @@ def e7(spark, sf_dir):
 
 def drift_by_series(spark, sf_dir):
     from seriesmill.catalog.base import shared
-    return shared(spark, sf_dir, "drift", lambda s, d: drift.drift_table(sampled(s, d), DRIFTING, KEYS))
+    return shared(spark, sf_dir, "drift", lambda s, d: drift.drift_table(sampled(s, d), INPUTS, KEYS))
 
 
 @query("e8_severity", sql(["dpsi"], f"SELECT {_sev} AS severity, CAST(count(*) AS BIGINT) AS features FROM psi_out GROUP BY 1"))

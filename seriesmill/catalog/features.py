@@ -19,8 +19,14 @@ HOURLY = Layout(step_ms=3_600_000)
 DAILY = Layout(step_ms=86_400_000)
 
 
+#: SQL of the matrix columns on hourly bars: column -> (CTEs, table, expression).
+MATRIX_SQL: dict[str, tuple[tuple[str, ...], str, str]] = {}
+
+
 def bar_query(name, columns, steps, deps, exprs, *, before=0, source=bars, layout=HOURLY, table="b"):
     """Register a feature query: bars in, ``symbol, ts_ms, columns`` out."""
+    on_hours = ("b",) if source is daily_bars else tuple(deps)
+    MATRIX_SQL.update({c: (on_hours, "b" if source is daily_bars else table, exprs[c]) for c in columns})
     select = ", ".join(r6(exprs[c], c) for c in columns)
     text = sql(deps, f"SELECT symbol, ts_ms, {select} FROM {table}")
 

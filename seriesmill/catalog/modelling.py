@@ -5,37 +5,42 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.catalog.base import fragment, query, r6, shared, sql
-from seriesmill.catalog.dataset import INPUTS, KEYS, matrix, ms, samples, split_rows
+from seriesmill.catalog.dataset import CONTEXT, INPUTS, KEYS, LENGTH, SEQUENCE, matrix, ms, scaled_samples, split_rows
+from seriesmill.catalog.features import HOURLY
 from seriesmill.functions.scalar import rnd
 from seriesmill.operators import models, rows, selection as sel
 from seriesmill.operators.matrix import feature_columns
 from seriesmill.plans.gram import correlations
 
-CHECKED = [*INPUTS, "macd_hist", "deriv_funding_rate"]
-fragment("fx", ("fm",), "fx AS MATERIALIZED (SELECT symbol, i, ts_ms, " + ", ".join(
-    f"{'fr' if c == 'deriv_funding_rate' else c} AS {c}" for c in CHECKED) + " FROM fm)")
+fragment("fx", ("fm",), "fx AS MATERIALIZED (SELECT symbol, i, ts_ms, " + ", ".join(INPUTS) + " FROM fm)")
 
 
 def _each(expr: str, alias: str, source: str = "fx") -> str:
-    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {expr.format(c=c)} AS {alias} FROM {source}" for c in CHECKED)
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {expr.format(c=c)} AS {alias} FROM {source}" for c in INPUTS)
 
 
 @query("x1_null_ratio", sql(["fx"], f"SELECT feature, {r6('ratio', 'ratio')}, ratio >= 0.85 AS kept FROM ({_each('avg(({c} IS NOT NULL)::INT)', 'ratio')})"))
 def x1(spark, sf_dir):
-    return sel.null_ratios(matrix(spark, sf_dir), CHECKED).select("feature", rnd("ratio").alias("ratio"), "kept")
+    return sel.null_ratios(matrix(spark, sf_dir), INPUTS).select("feature", rnd("ratio").alias("ratio"), "kept")
 
 
 @query("x2_low_variance", sql(["fx"], f"SELECT feature, {r6('variance', 'variance')}, coalesce(variance > 1e-6, FALSE) AS kept FROM ({_each('var_pop({c})', 'variance')})"))
 def x2(spark, sf_dir):
-    return sel.variances(matrix(spark, sf_dir), CHECKED).select("feature", rnd("variance").alias("variance"), "kept")
+    return sel.variances(matrix(spark, sf_dir), INPUTS).select("feature", rnd("variance").alias("variance"), "kept")
 
 
-_pairs = [(a, b) for k, a in enumerate(CHECKED) for b in CHECKED[k + 1:]]
+fragment("xl", ("fx",), "xl AS MATERIALIZED (" + " UNION ALL ".join(
+    f"SELECT symbol, i, {k} AS k, '{c}' AS f, {c} AS v FROM fx WHERE {c} IS NOT NULL" for k, c in enumerate(INPUTS)) + ")")
+# a column without variance over the shared rows has no correlation
+fragment("xc", ("xl",), """
+xc AS MATERIALIZED (SELECT a, b, ka, kb, CASE WHEN isfinite(r) THEN r END AS r FROM (
+  SELECT x.f AS a, y.f AS b, x.k AS ka, y.k AS kb, CASE WHEN min(x.v) < max(x.v) AND min(y.v) < max(y.v) THEN corr(x.v, y.v) END AS r
+  FROM xl x JOIN xl y ON x.symbol = y.symbol AND x.i = y.i AND x.k < y.k GROUP BY ALL))""")
 
 
-@query("x3_correlation_matrix", sql(["fx"], " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})', 'r')} FROM fx" for a, b in _pairs)))
+@query("x3_correlation_matrix", sql(["xc"], f"SELECT a, b, {r6('r', 'r')} FROM xc"))
 def x3(spark, sf_dir):
-    return correlations(matrix(spark, sf_dir), CHECKED).select("a", "b", rnd("r").alias("r"))
+    return correlations(matrix(spark, sf_dir), INPUTS).select("a", "b", rnd("r").alias("r"))
 
 
 @query("x3_correlation_drops")
@@ -48,7 +53,7 @@ def x3_drops(spark, sf_dir):
 
 fragment("mil", ("fx", "tb"), "mil AS MATERIALIZED (SELECT feature, y, round(v, 9) AS v FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, (direction = 2)::INT AS y, coalesce(fx.{c}, 0) AS v FROM fx JOIN (SELECT symbol, i, direction FROM tb WHERE direction IN (0, 2)) t USING (symbol, i)"
-    for c in CHECKED) + "))")
+    for c in INPUTS) + "))")
 _cuts = ", ".join(f"quantile_cont(v, {k / 10})" for k in range(1, 10))
 
 
@@ -60,8 +65,8 @@ FROM (SELECT *, sum(n) OVER (PARTITION BY feature) AS t, sum(n) OVER (PARTITION
 def x4(spark, sf_dir):
     from seriesmill.catalog.dataset import labels
     target = rows.binary_target(labels(spark, sf_dir)).select(*KEYS, "ts", "y")
-    data = matrix(spark, sf_dir).select(*KEYS, "ts", *[F.round(c, 9).alias(c) for c in CHECKED]).join(target, [*KEYS, "ts"])
-    return sel.mutual_information(data, CHECKED, "y").select("feature", rnd("score").alias("score"))
+    data = matrix(spark, sf_dir).select(*KEYS, "ts", *[F.round(c, 9).alias(c) for c in INPUTS]).join(target, [*KEYS, "ts"])
+    return sel.mutual_information(data, INPUTS, "y").select("feature", rnd("score").alias("score"))
 
 
 def _parts(spark, sf_dir):
@@ -76,7 +81,7 @@ def _parts(spark, sf_dir):
 @query("x5_permutation_importance")
 def x5(spark, sf_dir):
     _, val = _parts(spark, sf_dir)
-    return sel.permutation_importance(val, CHECKED, "y", ["symbol", "ts"], trees=20)
+    return sel.permutation_importance(val, INPUTS, "y", ["symbol", "ts"], trees=20)
 
 
 @query("x6_select_features")
@@ -88,9 +93,8 @@ def x6(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     def build(s, d):
-        flat, inputs = models.flat_inputs(samples(s, d), INPUTS)
-        trained = models.train_heads(flat.where("split = 'train'"), inputs)
-        return models.score(flat, trained).drop("x_seq", "x_context")
+        rows_ = scaled_samples(s, d)
+        return models.score(rows_, HOURLY, models.train_heads(rows_, HOURLY, SEQUENCE, CONTEXT, LENGTH))
     return shared(spark, sf_dir, "scored", build)
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seriesmill.functions.scalar import is_finite
+from seriesmill.plans import wide
 from seriesmill.plans.blocks import POS, TOTAL, Layout, with_positions
-from seriesmill.plans.materialize import sized, with_scalars
-from seriesmill.plans.quantiles import exact_quantiles, unpivot
+from seriesmill.plans.materialize import settle, sized, with_scalars
+from seriesmill.plans.quantiles import exact_quantiles
 
 EPSILON, MODERATE, SIGNIFICANT = 1e-6, 0.10, 0.25
 
@@ -60,9 +61,28 @@ def psi_long(long: DataFrame, groups: Sequence[str], bins: int = 10) -> DataFram
 
 
 def drift_table(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (), bins: int = 10) -> DataFrame:
-    """PSI and severity per numeric column (and group); ``df`` carries a ``sample`` column."""
-    long = unpivot(df.where(F.col("sample").isNotNull()), [*groups, "sample"], columns)
-    return psi_long(long, [*groups, "feature"], bins).withColumn("severity", severity(F.col("psi")))
+    """PSI and severity per numeric column (and group); ``df`` carries a ``sample`` column.
+
+    All columns are looked at together: their reference quantiles by radix selection, then one count of both samples
+    between the edges.  A column without a finite reference value in a group has no row.
+    """
+    groups, columns = list(groups), list(columns)
+    data = df.where(F.col("sample").isNotNull()).select(
+        *groups, "sample", *[F.when(is_finite(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
+    quantiles = wide.quantiles(data.where("sample = 'ref'"), groups, columns, [k / bins for k in range(bins + 1)])
+    edges = quantiles.groupBy(*groups, "feature").agg(F.array_sort(F.collect_set("q")).alias("_e"))
+    inner = F.slice("_e", F.lit(2), F.greatest(F.size("_e") - 2, F.lit(0)))
+    edges = settle(edges.select(*groups, "feature", F.size("_e").alias("_n_edges"), inner.alias("edges")))
+    counts = settle(wide.bin_counts(data, groups, columns, edges, {"_r": "sample = 'ref'", "_c": "sample = 'cur'"}))
+    at = [*groups, "feature"]
+    totals = counts.groupBy(*at).agg(F.sum("_r").alias("_nr"), F.sum("_c").alias("_nc"))
+    share = lambda x, n: F.greatest(F.col(x) / F.greatest(F.col(n), F.lit(1)), F.lit(EPSILON))
+    known = totals.join(edges.drop("edges"), at)
+    r, c = share("_r", "_nr"), share("_c", "_nc")
+    psi = F.sum((c - r) * F.ln(c / r))
+    usable = (F.col("_n_edges") >= 3) & (F.col("_nr") >= 2) & (F.col("_nc") >= 2)
+    found = counts.join(known, at).groupBy(*at, "_n_edges", "_nr", "_nc").agg(psi.alias("_psi"))
+    return found.select(*at, F.when(usable, F.col("_psi")).otherwise(0.0).alias("psi")).withColumn("severity", severity(F.col("psi")))
 
 
 def shift_histogram(long: DataFrame, groups: Sequence[str], bins: int = 30) -> DataFrame:

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from seriesmill.plans import wide
 from seriesmill.plans.blocks import POS, TOTAL, with_positions
 from seriesmill.plans.gram import correlations
 from seriesmill.plans.materialize import settle, sized, with_scalars
-from seriesmill.plans.quantiles import exact_quantiles, unpivot
 
 # Stage thresholds and the features every selection keeps when present.
 MIN_NON_NULL, MIN_VARIANCE, MAX_CORRELATION = 0.85, 1e-6, 0.95
@@ -52,21 +52,25 @@ def correlated_drops(pairs: DataFrame, threshold: float = MAX_CORRELATION, alway
 def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins: int = 10) -> DataFrame:
     """Mutual information (nats) of each column, cut at its quantiles, with the label.
 
-    A missing value counts as 0, as in the ranking this stands for.
+    A missing value counts as 0, as in the ranking this stands for.  The label has few values, as classes do.
     """
+    columns = list(columns)
     filled = df.select(F.col(label).alias("_y"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    long = unpivot(filled, ["_y"], columns)
-    cuts = exact_quantiles(long, ["feature"], "value", [k / bins for k in range(1, bins)])
-    edges = sized(cuts.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("_e")))
-    binned = long.join(edges, ["feature"]).withColumn("_bin", F.size(F.filter("_e", lambda e: e <= F.col("value"))))
-    cells = binned.groupBy("feature", "_bin", "_y").agg(F.count(F.lit(1)).alias("_n"))
-    by_bin = cells.groupBy("feature", "_bin").agg(F.sum("_n").alias("_nb"))
-    by_label = cells.groupBy("feature", "_y").agg(F.sum("_n").alias("_ny"))
-    total = cells.groupBy("feature").agg(F.sum("_n").alias("_nt"))
-    joined = cells.join(by_bin, ["feature", "_bin"]).join(by_label, ["feature", "_y"]).join(total, ["feature"])
-    p = F.col("_n") / F.col("_nt")
-    term = p * F.ln(F.col("_n") * F.col("_nt") / (F.col("_nb") * F.col("_ny")))
-    return joined.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("score"))
+    cuts = wide.quantiles(filled, [], columns, [k / bins for k in range(1, bins)])
+    edges = settle(cuts.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("edges")))
+    labels = sorted(r["_y"] for r in filled.select("_y").distinct().collect() if r["_y"] is not None)
+    marks = {f"_y{k}": f"_y = {y!r}" for k, y in enumerate(labels)}
+    cells = settle(wide.bin_counts(filled, [], columns, edges, marks))
+    counts = F.array(*[F.col(m).cast("double") for m in marks])
+    at = Window.partitionBy("feature")  # at most ``bins`` rows per feature
+    placed = cells.select("feature", "bin", counts.alias("_n")).withColumns({
+        "_nb": F.aggregate("_n", F.lit(0.0), lambda a, x: a + x),
+        "_ny": F.array(*[F.sum(F.col("_n")[k]).over(at) for k in range(len(labels))])})
+    total = F.aggregate("_ny", F.lit(0.0), lambda a, x: a + x)
+    terms = F.transform(F.arrays_zip("_n", "_ny"), lambda e: F.when(
+        e["_n"] > 0, e["_n"] / total * F.ln(e["_n"] * total / (F.col("_nb") * e["_ny"]))).otherwise(0.0))
+    one = placed.select("feature", F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias("_t"))
+    return one.groupBy("feature").agg(F.greatest(F.sum("_t"), F.lit(0.0)).alias("score"))
 
 
 def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, ids: Sequence[str], repeats: int = 5,

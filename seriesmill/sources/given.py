@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmill.operators.asof import keep_last
+from seriesmill.operators.context import DOMINANCE, MACRO, ONCHAIN_BTC, ONCHAIN_ETH
 from seriesmill.sources.ticks import events
 
 
@@ -56,6 +57,34 @@ def fear_greed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_series(spark, sf_dir).withColumn("value", (F.floor("value") % 101).cast("double"))
 
 
+def six_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(ts, value)``: the last event's value of every six hours."""
+    step = 6 * 3_600_000
+    bucket = F.timestamp_millis(F.floor(F.unix_millis("ts") / F.lit(step)) * F.lit(step))
+    return events(spark, sf_dir).groupBy(bucket.alias("bucket")).agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")).select(
+        F.col("bucket").alias("ts"), "value")
+
+
+def context_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every single-value context feed in the time range of the events.
+
+    Feed k comes k hours later and k + 1 times as large; one feed has missing values and one is an index from 0 to 100.
+    """
+    base, feeds = six_hourly(spark, sf_dir), {}
+    for k, name in enumerate((*ONCHAIN_BTC, *ONCHAIN_ETH, *MACRO, *DOMINANCE)):
+        value = F.col("value") * float(k + 1)
+        if name == "eth_supply":
+            value = F.when(F.dayofmonth("ts") % 7 != 0, value)
+        feeds[name] = base.select((F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(k))).alias("ts"), value.alias("value"))
+    feeds["fear_greed"] = base.select("ts", (F.floor("value") % 101).cast("double").alias("value"))
+    return feeds
+
+
+def spot_bars(bars: DataFrame) -> DataFrame:
+    """Every third bar, closed at its open: the spot table of the same instruments."""
+    return bars.where(F.pmod(F.floor(F.unix_seconds("ts") / 3600), F.lit(3)) == 0).withColumn("close", F.col("open"))
+
+
 def predictions(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     """Per event: class probabilities, quality and true class from the event id."""
     key = F.col("event_id") + shift
