@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from seriesmill.plans.materialize import stored_bytes
 from seriesmill.session import ensure_checkpoint_dir, prepare
 
 #: Rows per Arrow batch: long texts must not meet in one batch by the ten thousand.
@@ -61,6 +62,15 @@ def bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """Mark a settled table for broadcast if its rows are counted and its files measured small.
+
+    Files are compressed, so they may take a quarter of what a broadcast may take.
+    """
+    small = stored_bytes(df) * 4 <= BROADCAST_BYTES and df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(df) if small else df
+
+
 def unused(taken: Iterable[str], *names: str) -> list[str]:
     """The names, each with underscores in front until no column has it."""
     seen, out = {t.lower() for t in taken}, []

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from seriesmill.llm.common import bounded, settle
+from seriesmill.llm.common import measured, settle
 
 SUPPORT, LONGEST, SHARDS, SEED = 10, 3, 4, 42
 #: Bits of a bitmap of frequent phrases, as a power of two; tokens that are counted in one go.
@@ -182,7 +182,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", support: int
     totals = settle(per.groupBy("lang", "all").agg(F.sum("part").alias("total")), "phrase-totals")
     least = settle(per.join(totals.select("all", "total"), "all").select(
         "group", "all", F.ceil(F.lit(support) * F.col("part").cast("decimal(20,0)") / F.col("total")).cast("bigint").alias("least")), "phrase-support")
-    least = bounded(least, 40)
+    least = measured(least)
     frequent = words.join(least, "group").where("n >= least").select(F.xxhash64("phrase").alias("hash"), "group")
     known, candidates = _bitmap(frequent, F.col("hash").bitwiseXOR(F.col("group"))), []
     for size in range(2, longest + 1):
@@ -190,9 +190,9 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", support: int
         frequent = settle(mined.join(least, "group").where("n >= least").select("hash", "group", "all"), f"phrase-local-{size}")
         known = _bitmap(frequent, F.col("hash").bitwiseXOR(F.col("group")))
         candidates.append(_bitmap(frequent, F.col("hash").bitwiseXOR(F.col("all"))))
-    singles = words.join(bounded(names.select("group", "lang"), 60), "group").groupBy("lang", "phrase").agg(F.sum("n").alias("n")).select(
+    singles = words.join(measured(settle(names.select("group", "lang"), "phrase-names")), "group").groupBy("lang", "phrase").agg(F.sum("n").alias("n")).select(
         "lang", "phrase", F.lit(1).alias("words"), "n")
-    langs = bounded(settle(names.select(F.col("all").alias("group"), "lang").distinct(), "phrase-langs"), 60)
+    langs = measured(settle(names.select(F.col("all").alias("group"), "lang").distinct(), "phrase-langs"))
     longer = overall.mapInArrow(_counted(longest, candidates, every), "group bigint, phrase string, words int, n bigint").groupBy(
         "group", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= support).join(langs, "group").select("lang", "phrase", "words", "n")
     found = settle(singles.where(F.col("n") >= support).unionByName(longer), "phrase-counts")
@@ -233,5 +233,5 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     # tasks keep no more than ``top`` rows of a language before the shuffle
     ranked = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.join(bounded(settle(totals, "phrase-n"), 60), "lang").select(
+    return ranked.join(measured(settle(totals, "phrase-n")), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score")

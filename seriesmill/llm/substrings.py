@@ -34,11 +34,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from seriesmill.llm.common import bounded, settle
+from seriesmill.llm.common import measured, settle
 
 LENGTH, GRAM, SEED = 400, 32, 42
-#: Most distinct stretches that are sorted under one key; bytes that are sorted in one go.
-CROWD, SORTED = 256, 1 << 19
+#: Most distinct stretches that are sorted under one key; bytes that are sorted in one go; bytes dealt to a task.
+CROWD, SORTED, DEALT = 256, 1 << 19, 1 << 21
 #: Windows of one text that are looked at in one go.
 PART = 1 << 20
 _random = np.random.default_rng(13)
@@ -254,7 +254,9 @@ def _repeated(rows: DataFrame, level: int, crowd: int) -> DataFrame:
     whole = distinct.where("n > 1").select("key", "piece", every.alias("hits"))  # at several places as a whole
     several = settle(distinct.join(kinds, F.col("key") == F.col("of")).drop("of"), f"several-{level}")
     fits = several.where(F.col("kinds") <= crowd).select("key", "piece", "body")
-    found = whole.unionByName(fits.repartition("key").sortWithinPartitions("key").mapInArrow(
+    # as many tasks as the bytes need: sorting costs far more than reading
+    tasks = max(1, -(-int(fits.agg(F.sum(F.length("body"))).first()[0] or 0) // DEALT))
+    found = whole.unionByName(fits.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(
         _sorted_groups, f"key bigint, piece binary, hits {_HITS}"))
     crowded = several.where(F.col("kinds") > crowd)
     if not crowded.limit(1).count():
@@ -334,7 +336,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ranges, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
                  pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "removed", "kept"])
 
-    met = named.join(bounded(known, 64), F.col("mark") == F.col("of_mark"), "left").select(
+    met = named.join(measured(known), F.col("mark") == F.col("of_mark"), "left").select(
         "doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
     kind = docs.schema[doc_id].dataType.simpleString()
     return met.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, removed array<struct<begin: bigint, end: bigint>>, kept binary")
