@@ -38,7 +38,11 @@ xc AS MATERIALIZED (SELECT a, b, ka, kb, CASE WHEN isfinite(r) THEN r END AS r F
   FROM xl x JOIN xl y ON x.symbol = y.symbol AND x.i = y.i AND x.k < y.k GROUP BY ALL))""")
 
 
-@query("x3_correlation_matrix", sql(["xc"], f"SELECT a, b, {r6('r', 'r')} FROM xc"))
+fragment("xn", (), "xn AS (SELECT f, k FROM (VALUES " + ", ".join(f"('{c}', {k})" for k, c in enumerate(INPUTS)) + ") v(f, k))")
+
+
+@query("x3_correlation_matrix", sql(["xc", "xn"], f"""
+SELECT x.f AS a, y.f AS b, {r6('r', 'r')} FROM xn x JOIN xn y ON x.k < y.k LEFT JOIN xc ON xc.ka = x.k AND xc.kb = y.k"""))
 def x3(spark, sf_dir):
     return correlations(matrix(spark, sf_dir), INPUTS).select("a", "b", rnd("r").alias("r"))
 
