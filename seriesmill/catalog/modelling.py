@@ -85,14 +85,14 @@ def _parts(spark, sf_dir):
 @query("x5_permutation_importance")
 def x5(spark, sf_dir):
     _, val = _parts(spark, sf_dir)
-    return sel.permutation_importance(val, INPUTS, "y", ["symbol", "ts"], trees=20)
+    return sel.permutation_importance(val, INPUTS, "y", ["symbol", "ts"])
 
 
 @query("x6_select_features")
 def x6(spark, sf_dir):
     train, val = _parts(spark, sf_dir)
     columns = [c for c in feature_columns(train) if c != "y"]
-    return sel.select_features(train, val, columns, "y", ["symbol", "ts"], repeats=1, trees=10)
+    return sel.select_features(train, val, columns, "y", ["symbol", "ts"])
 
 
 def _scored(spark, sf_dir):

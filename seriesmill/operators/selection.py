@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from seriesmill.plans import wide
 from seriesmill.plans.blocks import POS, TOTAL, with_positions
 from seriesmill.plans.gram import correlations
-from seriesmill.plans.materialize import settle, sized, with_scalars
+from seriesmill.plans.materialize import settle
+from seriesmill.session import ensure_checkpoint_dir
 
 # Stage thresholds and the features every selection keeps when present.
 MIN_NON_NULL, MIN_VARIANCE, MAX_CORRELATION = 0.85, 1e-6, 0.95
@@ -73,38 +78,109 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str, bins:
     return one.groupBy("feature").agg(F.greatest(F.sum("_t"), F.lit(0.0)).alias("score"))
 
 
+@dataclass
+class Trees:
+    """Boosted regression trees as arrays: one row per tree, one entry per node (node 0 is the root)."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    weights: np.ndarray
+    depth: int
+
+    @classmethod
+    def of(cls, model: GBTClassificationModel) -> Trees:
+        """From the node table that the model writes when it is saved."""
+        spark = SparkSession.active()
+        path = f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+        model.write().save(path)
+        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()  # 2^depth nodes a tree
+        shape = len(model.treeWeights), 1 + max((r["id"] for r in nodes), default=0)
+        out = cls(np.full(shape, -1), np.zeros(shape), np.zeros(shape, dtype=int), np.zeros(shape, dtype=int), np.zeros(shape),
+                  np.array(model.treeWeights), max((t.depth for t in model.trees), default=0))
+        for r in nodes:
+            at = r["treeID"], r["id"]
+            out.value[at] = r["prediction"]
+            if r["leftChild"] >= 0:
+                out.feature[at], out.threshold[at] = r["split"]["featureIndex"], r["split"]["leftCategoriesOrThreshold"][0]
+                out.left[at], out.right[at] = r["leftChild"], r["rightChild"]
+        return out
+
+    def uses(self, column: int) -> np.ndarray:
+        """The trees that split on a column."""
+        return np.flatnonzero((self.feature == column).any(axis=1))
+
+    def margins(self, x: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Weighted predictions of some trees: trees x rows."""
+        out = np.zeros((len(which), len(x)))
+        for k, t in enumerate(which):
+            node = np.zeros(len(x), dtype=int)
+            for _ in range(self.depth):
+                split = self.feature[t, node]
+                goes = np.where(x[np.arange(len(x)), np.maximum(split, 0)] <= self.threshold[t, node], self.left[t, node], self.right[t, node])
+                node = np.where(split >= 0, goes, node)
+            out[k] = self.weights[t] * self.value[t, node]
+        return out
+
+
+def swapped_hits(trees: Trees, x: np.ndarray, other: np.ndarray, columns: Sequence[int], y: np.ndarray) -> dict[int, int]:
+    """Right predictions when each of the ``columns`` in turn takes its values from ``other`` (rows x columns).
+
+    Only the trees that split on the column are looked at again.
+    """
+    every = trees.margins(x, np.arange(len(trees.weights)))
+    whole, hits = every.sum(axis=0), {}
+    for k, c in enumerate(columns):
+        which = trees.uses(c)
+        changed = x.copy()
+        changed[:, c] = other[:, k]
+        margin = whole - every[which].sum(axis=0) + trees.margins(changed, which).sum(axis=0)
+        hits[c] = int(((margin > 0) == (y > 0)).sum())
+    return hits
+
+
 def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, ids: Sequence[str], repeats: int = 5,
                            seed: int = 42, trees: int = 80, depth: int = 3) -> DataFrame:
     """Mean loss of accuracy when a column is shuffled, for a boosted-tree model fit on ``df``.
 
-    One shuffle per repeat: rows are numbered in two orders (by id hash) and joined, then
-    the variants of a row, one per swapped column, are scored in the same pass.
+    One join per repeat: rows are numbered in two orders (by id hash), so a row meets one other row.  All columns are
+    swapped inside the tasks, against the broadcast trees; no row is copied per column.  A column no tree splits on
+    scores 0.
     """
     columns = list(columns)
     data = settle(df.select(*ids, F.col(label).cast("double").alias("_y"),
                             *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]))
     assemble = VectorAssembler(inputCols=columns, outputCol="features")
     model = GBTClassifier(labelCol="_y", maxIter=trees, maxDepth=depth, seed=seed).fit(assemble.transform(data))
+    known = Trees.of(model)
+    used = [c for c in range(len(columns)) if len(known.uses(c))]
+    shared = data.sparkSession.sparkContext.broadcast(known)
 
     def numbered(salt: int) -> DataFrame:
         h = F.xxhash64(*[F.col(c) for c in ids], F.lit(salt))
         return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), 44), ["_h", *ids]).drop(TOTAL, "_h")
 
-    rows, names = numbered(seed), F.array(*[F.lit(c) for c in columns])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, y = batch[[f"_x{i}" for i in range(len(columns))]].to_numpy(float), batch["_y"].to_numpy()
+            other = batch[[f"_o{i}" for i in used]].to_numpy(float)
+            base = int(((shared.value.margins(x, np.arange(len(shared.value.weights))).sum(axis=0) > 0) == (y > 0)).sum())
+            hits = {c: base for c in range(len(columns))} | swapped_hits(shared.value, x, other, used, y)
+            yield pd.DataFrame({"c": list(hits), "hits": list(hits.values()), "base": base, "n": len(batch)})
+
+    rows = numbered(seed).select(POS, "_y", *[F.col(c).alias(f"_x{i}") for i, c in enumerate(columns)])
     parts = []
     for k in range(repeats):
-        other = numbered(seed + 1 + k).select(POS, *[F.col(c).alias(f"_o_{c}") for c in columns])
-        # one row per swapped column, never all variants of a row at once
-        which = rows.join(other, POS).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))))
-        parts.append(which.select("_y", names[F.col("_k")].alias("feature"), *[
-            F.when(F.col("_k") == i, F.col(f"_o_{c}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(columns)]))
+        other = numbered(seed + 1 + k).select(F.col(POS).alias("_at"), *[F.col(columns[i]).alias(f"_o{i}") for i in used])
+        parts.append(rows.join(other, F.col(POS) == F.col("_at")).drop("_at"))
     shuffled = parts[0]
     for part in parts[1:]:
         shuffled = shuffled.unionByName(part)
-    hit = (F.col("prediction") == F.col("_y")).cast("double")
-    base = model.transform(assemble.transform(data)).agg(F.avg(hit).alias("_base"))
-    scored = model.transform(assemble.transform(shuffled)).groupBy("feature").agg(F.avg(hit).alias("_acc"))
-    return with_scalars(scored, base).select("feature", (F.col("_base") - F.col("_acc")).alias("score"))
+    counted = shuffled.mapInPandas(run, "c int, hits bigint, base bigint, n bigint").groupBy("c").agg(
+        *[F.sum(c).alias(c) for c in ("hits", "base", "n")])
+    return counted.select(F.array(*[F.lit(c) for c in columns])[F.col("c")].alias("feature"), ((F.col("base") - F.col("hits")) / F.col("n")).alias("score"))
 
 
 def select_features(train: DataFrame, validation: DataFrame, columns: Sequence[str], label: str, ids: Sequence[str],
