@@ -29,7 +29,7 @@ from seriesmill.llm.common import measured, settle
 
 SUPPORT, LONGEST, SHARDS, SEED = 10, 3, 4, 42
 #: Bits of a bitmap of frequent phrases, as a power of two; tokens that are counted in one go.
-BITS, TOKENS = 25, 1_500_000
+BITS, TOKENS = 25, 400_000
 #: A cut phrase's score is in millionths.
 SCALE = 1_000_000
 _END = b"\xff"  # parts pieces; UTF-8 has no such byte
