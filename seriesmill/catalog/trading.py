@@ -228,29 +228,58 @@ def t4(spark, sf_dir):
         "exit_reason", rnd("realized_pnl", 4).alias("realized_pnl"), rnd("rr_realized", 4).alias("rr_realized"))
 
 
+SIDES = ("model", *STRATEGIES, "random")
+
+
 def trades(spark, sf_dir):
-    """Fixed-exit trades of three strategies (Bollinger reversion stands for the model)."""
+    """Exit-ladder trades of the model (Bollinger reversion stands for it), all rule strategies and the random one."""
     def build(s, d):
-        df = strategy_bars(s, d).drop("_pos")
-        sides = {"model": F.col("bb_mean_reversion_signal").cast("int"), "ema_trend": F.col("ema_trend.side"),
-                 "rsi_macd": F.col("rsi_macd.side")}
-        long = df.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(k).alias("strategy"), v.alias("side")) for k, v in sides.items()])))
-        long = long.select(*KEYS, "ts", "high", "low", "close", "atr", F.col("_s.strategy").alias("strategy"), F.col("_s.side").alias("side"))
-        layout = Layout(step_ms=3_600_000, keys=(*KEYS, "strategy"))
-        done = ind.on_bars(long, layout, out.fixed_exit, after=8)
-        return done.where((F.col("side") != 0) & F.col("close_ts").isNotNull() & F.col("rr_realized").isNotNull()).drop("high", "low")
+        df = strategy_bars(s, d).drop("_pos").withColumn("random", sig.random_signal("symbol", F.unix_millis("ts")))
+        sides = {"model": F.col("bb_mean_reversion_signal")} | {k: F.col(f"{k}.side") for k in SIDES[1:]}
+        done = ind.on_bars(df, HOURLY, lambda x, L: out.strategy_trades(x, L, 48, sides), after=48)
+        return done.where(F.col("exit_reason").isNotNull()).drop("open", "high", "low", "volume", *SIDES[1:])
     return shared(spark, sf_dir, "trades", build)
 
 
-fragment("tr", ("fm", "bb"), f"""
-tr AS MATERIALIZED (
-  SELECT *, (outp - close) * side / (1.5 * atr) AS rr, size * (close + outp) * 0.0004 AS fees,
-         size * (close * ({_slip('atr', 'close')}) + outp * ({_slip('atr', 'outp')})) / 10000 AS drag
-  FROM (SELECT symbol, i, ts, ts_ms, strategy, side, close, atr, 100.0 / nullif(1.5 * atr, 0) AS size, outp, close_ts, epoch_ms(close_ts) AS close_ms
-        FROM (SELECT fm.*, lead(close, 8) OVER (PARTITION BY symbol ORDER BY i) AS outp, lead(ts, 8) OVER (PARTITION BY symbol ORDER BY i) AS close_ts FROM fm)
-        CROSS JOIN LATERAL (VALUES ('model', CAST(bbs AS INT)), ('ema_trend', {_ema_side}), ('rsi_macd', {_rm_side})) v(strategy, side))
-  WHERE side <> 0 AND outp IS NOT NULL AND size IS NOT NULL)""")
-fragment("trp", ("tr",), "trp AS MATERIALIZED (SELECT *, (outp - close) * side * size - fees - drag AS pnl FROM tr)")
+_rand_side = f"CASE WHEN {uniform_sql(chr(34) + 'symbol' + chr(34) + " || '|' || ts_ms")} < 0.33::DOUBLE THEN 1 WHEN {uniform_sql(chr(34) + 'symbol' + chr(34) + " || '|' || ts_ms")} < 0.66::DOUBLE THEN -1 ELSE 0 END"
+fragment("ents", ("fm",), f"""
+ents AS MATERIALIZED (
+  SELECT *, entry - side * 1.5 * atr AS stop, 100.0 / (1.5 * atr) AS size FROM (
+    SELECT symbol, i, n - 1 AS last_i, ts_ms, close, atr, strategy, side, close * (1 + side * ({_slip('atr', 'close')}) / 10000) AS entry
+    FROM fm CROSS JOIN LATERAL (VALUES ('model', CAST(bbs AS INT)), ('buy_and_hold', (i = 0)::INT), ('ema_trend', {_ema_side}),
+      ('rsi_macd', {_rm_side}), ('majority_class', 0), ('no_trade', 0), ('random', {_rand_side})) v(strategy, side)
+    WHERE side <> 0 AND atr > 0))""")
+_cost = lambda p, sh: f"abs({_px(p)}) * 0.0004 * ({sh})"
+_drag = lambda p, sh: f"abs({_px(p)} - ({p})) * ({sh})"
+
+
+def _parts(f):
+    """A sum over what a bar closes: the stop, the targets and the rest of an expired trade."""
+    return (f"CASE WHEN stopped THEN {f('stop', 'lft')} ELSE {f('entry + side * 1.5 * atr', 'sh1')} + {f('entry + side * 3 * atr', 'sh2')}"
+            f" + {f('entry + side * 4.5 * atr', 'sh3')} + CASE WHEN expd AND NOT p3 THEN {f('fclose', '(lft - sh1 - sh2)')} ELSE 0 END END")
+
+
+fragment("lads", ("ents", "b"), f"""
+lads AS (
+  SELECT strategy, symbol, i, ts_ms, side, close, entry, atr, size, stop AS s0, 0 AS k, 1.0::DOUBLE AS lft, stop, 0 AS done, 0.0::DOUBLE AS pnl,
+         0.0::DOUBLE AS fees, 0.0::DOUBLE AS drag, NULL::VARCHAR AS reason, last_i FROM ents
+  UNION ALL
+  SELECT strategy, symbol, i, ts_ms, side, close, entry, atr, size, s0, k + 1,
+         CASE WHEN stopped OR (expd AND NOT p3) OR p3 THEN 0 ELSE lft - sh1 - sh2 END,
+         CASE WHEN stopped THEN stop WHEN p2 THEN entry + side * 1.5 * atr WHEN p1 AND done = 0 THEN entry ELSE stop END,
+         CASE WHEN p3 THEN 3 WHEN p2 THEN 2 WHEN p1 THEN 1 ELSE done END, pnl + {_parts(_net)}, fees + {_parts(_cost)}, drag + {_parts(_drag)},
+         CASE WHEN stopped THEN 'stop' WHEN p3 THEN 'tp3' WHEN expd THEN 'vertical_barrier' WHEN i + k + 1 = last_i THEN 'end_of_data' END, last_i
+  FROM (SELECT *, CASE WHEN p1 THEN 0.33 ELSE 0 END::DOUBLE AS sh1, CASE WHEN p2 THEN 0.33 ELSE 0 END::DOUBLE AS sh2, CASE WHEN p3 THEN 0.34 ELSE 0 END::DOUBLE AS sh3,
+               (k + 1 >= 47 OR i + k + 1 = last_i) AS expd
+        FROM (SELECT l.*, NOT stopped AND done <= 0 AND h1 AS p1, NOT stopped AND done <= 1 AND h2 AS p2, NOT stopped AND done <= 2 AND h3 AS p3
+              FROM (SELECT l.*, f.close AS fclose, CASE WHEN side > 0 THEN f.low <= l.stop ELSE f.high >= l.stop END AS stopped,
+                           {_hit(1)} AS h1, {_hit(2)} AS h2, {_hit(3)} AS h3
+                    FROM lads l JOIN b f ON f.symbol = l.symbol AND f.i = l.i + l.k + 1 WHERE l.reason IS NULL) l)))""")
+fragment("trp", ("lads", "b"), """
+trp AS MATERIALIZED (
+  SELECT l.strategy, l.symbol, l.i, o.ts, l.ts_ms, l.side, l.pnl * size AS pnl, l.pnl / abs(entry - s0) AS rr, size * entry * 0.0004 + l.fees * size AS fees,
+         abs(entry - l.close) * size + l.drag * size AS drag, c.ts AS close_ts, c.ts_ms AS close_ms
+  FROM lads l JOIN b c ON c.symbol = l.symbol AND c.i = l.i + l.k JOIN b o ON o.symbol = l.symbol AND o.i = l.i WHERE reason IS NOT NULL)""")
 # without a losing trade the factor is infinite, without any gain or loss zero
 PROFIT_FACTOR = ("CASE WHEN count(*) FILTER (pnl < 0) > 0 THEN coalesce(sum(pnl) FILTER (pnl > 0), 0) / -sum(pnl) FILTER (pnl < 0) "
                  "WHEN count(*) FILTER (pnl > 0) > 0 THEN 'Infinity'::DOUBLE ELSE 0 END")
@@ -323,15 +352,21 @@ def t10(spark, sf_dir):
     return kept.select("strategy", "symbol", ms())
 
 
-@query("t11_strategy_comparison", sql(["eq"], f"""
+@query("t11_strategy_comparison", sql(["eq", "b"], f"""
 SELECT symbol, strategy, {r6('ret', 'total_return_pct', 4)}, {r6('best', 'best_baseline_return_pct', 4)},
-       CASE WHEN own IS NULL OR best IS NULL THEN 'no comparison' WHEN own > best THEN 'model beats best baseline' ELSE 'model does not beat the best baseline' END AS verdict
+       CASE WHEN own > best THEN 'model beats best baseline' ELSE 'model does not beat the best baseline' END AS verdict
 FROM (SELECT *, max(ret) FILTER (strategy <> 'model') OVER (PARTITION BY symbol) AS best, max(ret) FILTER (strategy = 'model') OVER (PARTITION BY symbol) AS own
-      FROM (SELECT symbol, strategy, (arg_max(equity, k) / 10000 - 1) * 100 AS ret FROM eq GROUP BY 1, 2))"""))
+      FROM (SELECT g.symbol, g.strategy, coalesce(ret, 0) AS ret
+            FROM (SELECT DISTINCT symbol, unnest([{', '.join(f"'{k}'" for k in SIDES)}]) AS strategy FROM b) g
+            LEFT JOIN (SELECT symbol, strategy, (arg_max(equity, k) / 10000 - 1) * 100 AS ret FROM eq GROUP BY 1, 2) e ON e.symbol = g.symbol AND e.strategy = g.strategy))"""))
 def t11(spark, sf_dir):
-    df = out.compare_strategies(metrics(spark, sf_dir), ["symbol"])
-    return df.select("symbol", "strategy", rnd("total_return_pct", 4).alias("total_return_pct"),
-                     rnd("best_baseline_return_pct", 4).alias("best_baseline_return_pct"), "verdict")
+    """The model against every baseline; a strategy without trades returns 0."""
+    every = bars(spark, sf_dir).select("symbol").distinct().withColumn("strategy", F.explode(F.array(*[F.lit(k) for k in SIDES])))
+    known = every.join(metrics(spark, sf_dir).select("symbol", "strategy", "total_return_pct"), ["symbol", "strategy"], "left").fillna(0.0, ["total_return_pct"])
+    c = out.compare_strategies(known, ["symbol"])
+    return c.select("symbol", "strategy", rnd("total_return_pct", 4).alias("total_return_pct"),
+                    rnd("best_baseline_return_pct", 4).alias("best_baseline_return_pct"), "verdict")
+
 
 
 @query("j8_predictions_join_bars", sql(["pred", "b"], f"""

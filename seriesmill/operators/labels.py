@@ -27,9 +27,9 @@ def barrier_params(timeframe: Column, table: Mapping[str, tuple[float, int]] = B
     return lookup(0), lookup(1)
 
 
-def horizon(L: Layout, bars: int) -> Column:
-    """The next ``bars`` bars in order, shorter at the end of the series."""
-    return F.collect_list(F.struct("high", "low", "close")).over(L.frame(1, bars))
+def horizon(L: Layout, bars: int, *more: str) -> Column:
+    """The next ``bars`` bars in order (with ``more`` columns), shorter at the end of the series."""
+    return F.collect_list(F.struct("high", "low", "close", *more)).over(L.frame(1, bars))
 
 
 def first_index(bars: Column, hit) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -54,8 +54,21 @@ def add_ladder(df: DataFrame, L: Layout, max_holding: int) -> DataFrame:
     after the first and to the first target after the second; what is left exits at the
     close of the last allowed bar, or of the series.
     """
+    return _walked(df.withColumn("_h", horizon(L, max_holding - 1, L.ts)), L, max_holding)
+
+
+def strategy_trades(df: DataFrame, L: Layout, max_holding: int, sides: Mapping[str, Column]) -> DataFrame:
+    """Ladder trades of several strategies, one row per strategy and bar with a side.
+
+    The bars ahead are gathered once per bar; only bars with a side become trades.
+    """
+    chosen = F.array(*[F.struct(F.lit(k).alias("strategy"), v.cast("int").alias("side")) for k, v in sides.items()])
+    df = df.withColumn("_h", horizon(L, max_holding - 1, L.ts)).withColumn("_s", F.explode(F.filter(chosen, lambda s: s["side"] != 0)))
+    return _walked(add_entry(df.withColumns({"strategy": F.col("_s.strategy"), "side": F.col("_s.side")}).drop("_s")), L, max_holding)
+
+
+def _walked(df: DataFrame, L: Layout, max_holding: int) -> DataFrame:
     ahead = max_holding - 1  # the entry bar counts as the first bar held
-    df = df.withColumn("_h", horizon(L, ahead))
     trades = (F.col("side") != 0) & (F.col("atr") > 0) & (F.size("_h") > 0) & F.col("size").isNotNull()
     s, entry, atr = F.col("side").cast("double"), F.col("entry_price"), F.col("atr")
     levels = [F.col("tp1"), F.col("tp2"), F.col("tp3")]
@@ -104,6 +117,7 @@ def add_ladder(df: DataFrame, L: Layout, max_holding: int) -> DataFrame:
     size = F.col("size")
     return df.withColumns({
         "bars_held": F.col("_o.k"),
+        "close_ts": F.when(F.col("_o.k") > 0, F.try_element_at(F.col("_h"), F.col("_o.k"))[L.ts]),
         "exit_reason": F.when(F.col("_o").isNotNull(), F.coalesce("_o.reason", F.lit("end_of_data"))),
         "exit_price": slip_price(F.coalesce("_o.exit", final), atr, -s),
         "realized_pnl": (F.col("_o.pnl") + gain(final, still)) * size,
@@ -112,22 +126,6 @@ def add_ladder(df: DataFrame, L: Layout, max_holding: int) -> DataFrame:
     }).withColumn("rr_realized", F.try_divide(F.col("realized_pnl"), F.abs(entry - F.col("stop_price")) * size)).drop("_h", "_o")
 
 
-def fixed_exit(df: DataFrame, L: Layout, bars: int = 8) -> DataFrame:
-    """Trades closed a fixed number of bars later (NULL outcome where the series ends first)."""
-    w = L.window()
-    out = F.lead("close", bars).over(w)
-    unit = F.col("atr") * STOP_ATR
-    size = F.try_divide(F.lit(INITIAL_EQUITY * RISK_PCT / 100.0), unit)
-    fees = fee(size * F.col("close")) + fee(size * out)
-    drag = size * (F.col("close") * slip_bps(F.col("atr"), F.col("close")) + out * slip_bps(F.col("atr"), out)) / 10_000.0
-    return df.withColumns({
-        "close_ts": F.lead(L.ts, bars).over(w), "exit_price": out,
-        "rr_realized": F.try_divide((out - F.col("close")) * F.col("side"), unit),
-        "fees_paid": fees, "slippage_cost": drag,
-        "realized_pnl": (out - F.col("close")) * F.col("side") * size - fees - drag,
-    })
-
-
 def trade_metrics(trades: DataFrame, groups: Sequence[str], total_bars: Column | int = 0, bar_ms: int = 3_600_000,
                   open_ts: str = "ts", close_ts: str = "close_ts") -> DataFrame:
     """Counts, win rates, R statistics, profit factor, costs and exposure per group."""
