@@ -11,8 +11,9 @@ escaped with backslashes, so a reader that takes tokens from the left finds the
 that were written.  The text of assistant turns is the loss mask.
 
 Defined results
-    null texts and roles count as empty; text that is no JSON object, or whose fields fit no
-    mapping, is reported with status `malformed` or `unknown` and no turns; empty optional
+    null texts and roles count as empty; text that is no JSON object or nests more than
+    ``DEPTH`` times, or whose fields fit no mapping, is reported with status `malformed` or `unknown`
+    and no turns; half of a surrogate pair (an escape in JSON) becomes U+FFFD; empty optional
     parts give no turn; turns of a conversation are ordered by the order column (nulls
     first), then their place in the record, role and text, so repeated rows stay repeated;
     fields and columns no mapping names are ignored; an empty table gives no conversation.
@@ -30,6 +31,10 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+#: Most objects and arrays within each other.
+DEPTH = 100
+_HALF = re.compile("[\ud800-\udfff]")
+
 # --- layouts ----------------------------------------------------------------------------
 
 
@@ -103,16 +108,30 @@ def _values(value, path: str) -> list:
 
 
 def _text(value) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    """A value as text; half of a surrogate pair, which no UTF-8 text can hold, becomes U+FFFD."""
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return _HALF.sub("\ufffd", text)
+
+
+def _deep(value, most: int = DEPTH) -> bool:
+    """Whether objects and arrays lie in each other more than ``most`` times."""
+    open_ = [(value, 1)]
+    while open_:
+        now, depth = open_.pop()
+        if isinstance(now, (dict, list)):
+            if depth > most:
+                return True
+            open_ += [(v, depth + 1) for v in (now.values() if isinstance(now, dict) else now)]
+    return False
 
 
 def canonical(record: str | None) -> tuple[str, str, list[tuple[str, str]]]:
     """(schema fingerprint, mapping name or status, turns) of one record."""
     try:
         value = json.loads(record or "")
-    except ValueError:
+    except (ValueError, RecursionError):
         value = None
-    if not isinstance(value, dict):
+    if not isinstance(value, dict) or _deep(value):
         return "", "malformed", []
     mark = fingerprint(field_paths(value))
     mapping = SELECT.get(mark)

@@ -21,7 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-K, WINDOW = 8, 32
+K, WINDOW = 16, 32
 LAST = (1 << 31) - 1
 
 
@@ -86,18 +86,30 @@ def settled_by(length: Column, k: int = K, window: int = WINDOW) -> Column:
     return length - F.lit(k + window - 1)
 
 
-def amended(before: Column, unchanged: Column, text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """Hashes of ``text``, which begins like an earlier text whose hashes are known.
+def amended_packed(before: Column, unchanged: Column, text: Column, k: int = K, window: int = WINDOW) -> Column:
+    """Selected grams of ``text``, which begins like an earlier text whose grams are known.
 
-    ``unchanged`` is how many first characters are the same, ``before`` the earlier text's hashes
+    ``unchanged`` is how many first characters are the same, ``before`` the earlier text's packed grams
     at positions up to ``settled_by(unchanged)``.  They stay; only the windows that reach
-    beyond the unchanged part are looked at.  Equal to ``hashes(winnowed(text))``.
+    beyond the unchanged part are looked at.  Equal to ``winnowed(text)``.
     """
     last = settled_by(unchanged, k, window)
     start = F.greatest(last - (window - 2), F.lit(0))
     tail = winnowed(F.substring(text, start + 1, F.char_length(text) - start), k, window)
     later = F.filter(tail, lambda x: F.lit(LAST).cast("long") - x.bitwiseAND(F.lit(LAST).cast("long")) > last - start)
-    return F.concat(before, hashes(later))
+    return F.concat(before, F.transform(later, lambda x: x - start.cast("long")))  # positions count from the end
+
+
+def amended(before: Column, unchanged: Column, text: Column, k: int = K, window: int = WINDOW) -> Column:
+    """The hashes of ``amended_packed``, with ``before`` as hashes: equal to ``hashes(winnowed(text))``."""
+    none = F.array().cast("array<bigint>")
+    return F.concat(before, hashes(amended_packed(none, unchanged, text, k, window)))
+
+
+def written(packed: Column) -> Column:
+    """A fingerprint as text: ``hash:position`` of every selected gram, by position."""
+    pairs = F.zip_with(hashes(packed), positions(packed), lambda h, p: F.concat_ws(":", h, p))
+    return F.array_join(pairs, " ")
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -69,3 +69,18 @@ def test_table_of_mixed_layouts(spark):
         assert (got[k]["n_turns"], got[k]["turns_sha256"], got[k]["loss_chars"]) == (len(t), digest(t), len(masked))
         assert got[k]["loss_sha256"] == hashlib.sha256(masked.encode()).hexdigest()
     assert chat.digests(chat.formatted(chat.turns(df.where("false"), "id", "pos", "raw"))).count() == 0
+
+
+def test_records_that_no_reader_expects(spark):
+    """Deep nesting and halves of surrogate pairs end as rows, not as errors."""
+    deep = '{"role": "user", "text": ' + "[" * 90 + "1" + "]" * 90 + "}"
+    rows = [(1, 0, "[" * 100_000), (2, 0, '{"a": ' * 3000 + "1" + "}" * 3000), (3, 0, '{"role": "user", "text": "a\\ud800b"}'),
+            (4, 0, '{"role": "us\\udfffer", "text": "x"}'), (5, 0, deep), (6, 0, '{"role": "user", "text": "\\ud83d\\ude00"}'),
+            (7, 0, "{" + '"k": [' * 500 + "]" * 500 + "}")]
+    records = spark.createDataFrame(rows, "conv_id bigint, turn bigint, record string")
+    got = {r["conv_id"]: r for r in chat.digests(chat.formatted(chat.turns(records, "conv_id", "turn", "record"))).collect()}
+    turns = {r["conv_id"]: r for r in chat.turns(records, "conv_id", "turn", "record").collect()}
+    assert {i: chat.canonical(t)[1] for i, _, t in rows} == {1: "malformed", 2: "malformed", 3: "turn", 4: "turn", 5: "unknown", 6: "turn", 7: "malformed"}
+    assert turns and set(got) <= set(range(1, 8))
+    assert chat.canonical(rows[2][2])[2] == [("user", "a�b")] and chat.canonical(rows[3][2])[2] == [("us�er", "x")]
+    assert chat.canonical(rows[5][2])[2] == [("user", "\U0001f600")]

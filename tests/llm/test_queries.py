@@ -64,19 +64,23 @@ def test_op2(spark):
 def test_op3(spark, docs):
     got = run(spark, "op3_document_fingerprints").sort_values("doc_id").reset_index(drop=True)
     texts = docs.text.fillna("").tolist()
-    prints = [set(p) for p in got.fingerprint]
+    hashes = lambda p: {w.partition(":")[0] for w in p.split()}
+    prints = [hashes(p) for p in got.fingerprint]
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     for k, (r, t) in enumerate(zip(got.itertuples(), texts)):
         after = (k + 1) % len(texts)
         edited = t[:len(t) - len(t) // 4] + texts[after][:len(t) // 4]
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert r.near_edited == pytest.approx(like(prints[k], set(r.edited_fingerprint)))
+        assert r.near_edited == pytest.approx(like(prints[k], hashes(r.edited_fingerprint)))
         assert r.near_next == pytest.approx(like(prints[k], prints[after]))
-    long = got[got.n_chars > 200]
+    long = got[got.n_chars > 400]  # several windows of 47 characters on either side of the edit
     assert long.near_edited.min() > 0.2 and long.near_edited.mean() > 0.5 and long.near_next.mean() < 0.05
     by_text = {}
-    for t, p in zip(texts, got.fingerprint):
-        assert by_text.setdefault(t, tuple(p)) == tuple(p)
+    for t, p, e in zip(texts, got.fingerprint, got.edited_fingerprint):
+        assert isinstance(p, str) and by_text.setdefault(t, p) == p
+        for print_ in (p, e):  # positions ascend and lie in the text
+            at = [int(w.partition(":")[2]) for w in print_.split()]
+            assert at == sorted(at) and all(0 <= x < len(t) for x in at)
 
 
 def test_op4(spark, docs):
