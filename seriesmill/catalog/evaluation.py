@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from seriesmill.catalog.base import fragment, query, r6, sql, uniform_sql
@@ -12,6 +14,7 @@ from seriesmill.functions.scalar import rnd, to_ms
 from seriesmill.keys import RETRAIN_MIN_BARS
 from seriesmill.operators import drift, evaluate as ev, monitor, outcomes as out, signals as sig
 from seriesmill.plans.materialize import with_scalars
+from seriesmill.session import ensure_checkpoint_dir
 from seriesmill.sources import given
 from seriesmill.sources.ticks import bars
 
@@ -262,6 +265,20 @@ def e16(spark, sf_dir):
                     "retrain_recommended", "enough_new_bars", "status")
 
 
+@query("e16_running_check")
+def e16_running(spark, sf_dir):
+    """A drift check that gets the bars week by week: each week is counted once, the last one is held against the others."""
+    m = matrix(spark, sf_dir)
+    week = F.floor(F.unix_seconds("ts") / F.lit(7 * 86_400)).cast("int")
+    weeks = sorted(r["w"] for r in m.select(week.alias("w")).distinct().collect())
+    state = drift.DriftState(spark, f"{ensure_checkpoint_dir(spark)}/drift-{uuid.uuid4().hex}", INPUTS, ["symbol"])
+    for w in weeks:
+        state.add(m.where(week == w), week)
+    found = state.check(F.col("period") < weeks[-1], F.col("period") == weeks[-1])
+    return found.select("symbol", "feature", rnd("psi").alias("psi"), "severity")
+
+
+
 # --- shadow and promotion -----------------------------------------------------------
 
 fragment("shadow", (), """

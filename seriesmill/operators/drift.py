@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from seriesmill.functions.scalar import is_finite
 from seriesmill.plans import wide
@@ -128,3 +128,44 @@ def retrain_check(drift: DataFrame, row_counts: DataFrame, groups: Sequence[str]
         "status": F.when(enough, "checked").otherwise("too_few_rows"),
         "retrain_recommended": F.col("significant_features") > 0,
         "enough_new_bars": F.col("rows") >= F.col("retrain_bar_threshold")})
+
+
+class DriftState:
+    """Drift of new bars against a reference without reading old bars again.
+
+    The state is a table of histograms per series, period and column on the leading bits of the values
+    (64 steps per power of two).  They add up: a new period is counted once and stored beside the others, a period
+    that is delivered again replaces itself, and a check adds the periods it needs.  Bin edges lie on the steps, so
+    PSI differs a little from ``drift_table``, but not between a state built at once and one built bit by bit.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, columns: Sequence[str], groups: Sequence[str]):
+        self.spark, self.path, self.columns, self.groups = spark, path, list(columns), list(groups)
+
+    def add(self, bars: DataFrame, period: Column) -> None:
+        """Count the rows of ``bars``, whole periods of them, and store what they add."""
+        named = bars.withColumn("period", period)
+        wide.histograms(named, [*self.groups, "period"], self.columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("period").parquet(self.path)
+
+    def check(self, reference: Column, current: Column, bins: int = 10) -> DataFrame:
+        """``groups..., feature, psi, severity`` of the periods that satisfy ``reference`` and ``current``."""
+        at = [*self.groups, "feature"]
+        stored = self.spark.read.parquet(self.path).where(reference | current)
+        steps = stored.groupBy(*at, "digit").agg(F.sum(F.when(reference, F.col("n")).otherwise(0)).alias("_r"),
+                                                 F.sum(F.when(current, F.col("n")).otherwise(0)).alias("_c"))
+        per, upto = Window.partitionBy(*at), Window.partitionBy(*at).orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+        placed = steps.withColumns({"_nr": F.sum("_r").over(per), "_nc": F.sum("_c").over(per), "_upto": F.sum("_r").over(upto)})
+        ranks = F.array(*[F.floor(F.lit(k / bins) * (F.col("_nr") - 1)) for k in range(bins + 1)])
+        # a step is an edge if a wanted rank of the reference lies in it
+        edge = (F.col("_r") > 0) & F.exists(ranks, lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - F.col("_r")))
+        marked = placed.withColumn("_edge", edge.cast("int")).withColumns({
+            "_edges": F.sum("_edge").over(per), "_number": F.sum("_edge").over(upto)})
+        # the first edge opens the first bin and the last one the last: both ends are open
+        place = F.least(F.greatest(F.col("_number") - 1, F.lit(0)), F.greatest(F.col("_edges") - 2, F.lit(0)))
+        cells = marked.groupBy(*at, "_edges", "_nr", "_nc", place.alias("_bin")).agg(F.sum("_r").alias("_r"), F.sum("_c").alias("_c"))
+        share = lambda x, n: F.greatest(F.col(x) / F.greatest(F.col(n), F.lit(1)), F.lit(EPSILON))
+        r, c = share("_r", "_nr"), share("_c", "_nc")
+        found = cells.groupBy(*at, "_edges", "_nr", "_nc").agg(F.sum((c - r) * F.ln(c / r)).alias("_psi"))
+        usable = (F.col("_edges") >= 3) & (F.col("_nr") >= 2) & (F.col("_nc") >= 2)
+        return found.where("_nr > 0").select(*at, F.when(usable, F.col("_psi")).otherwise(0.0).alias("psi")).withColumn("severity", severity(F.col("psi")))

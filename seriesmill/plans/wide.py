@@ -95,6 +95,25 @@ def _digit_counts(columns: int, bits: int, kept: Mapping[tuple[int, int], np.nda
     return run
 
 
+def histograms(df: DataFrame, groups: Sequence[str], columns: Sequence[str], bits: int = BITS[0]) -> DataFrame:
+    """``groups..., feature, digit, n``: how many values of every column share their leading ``bits``.
+
+    Histograms of parts of the rows add up to the histogram of all rows.
+    """
+    groups, columns = list(groups), list(columns)
+    parts = []
+    for pack in packs(df, groups, 64 * max(1, len(columns))):
+        rows = pack.rows.select("_g", *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+        counts = rows.mapInArrow(_digit_counts(len(columns), bits, None, 0), "_g int, c int, digit bigint, n bigint").groupBy("_g", "c", "digit").agg(F.sum("n").alias("n"))
+        parts.append(counts.join(F.broadcast(pack.names), "_g").select(*groups, F.array(*[F.lit(c) for c in columns])[F.col("c")].alias("feature"), "digit", "n"))
+    if not parts:
+        return df.select(*groups, F.lit("").alias("feature"), F.lit(0).cast("bigint").alias("digit"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _value(bits: np.ndarray) -> np.ndarray:
     return (bits ^ (bits >> 63 & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64)
 
