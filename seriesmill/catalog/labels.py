@@ -89,10 +89,14 @@ def hourly_labels(spark, sf_dir, with_regime=True):
 SELECT a.symbol, a.ts_ms, CAST(count(f.i) AS BIGINT) AS bars_ahead, {r6('max(f.high)', 'top')}, {r6('min(f.low)', 'bottom')}
 FROM b a LEFT JOIN b f ON f.symbol = a.symbol AND f.i BETWEEN a.i + 1 AND a.i + 24 GROUP BY 1, 2"""))
 def j6(spark, sf_dir):
-    df = ind.on_bars(bars(spark, sf_dir), HOURLY, lambda d, L: d.withColumn("h", lab.horizon(L, 24)), after=24)
-    return df.select("symbol", to_ms(F.col("ts")).alias("ts_ms"), F.size("h").cast("bigint").alias("bars_ahead"),
-                     rnd(F.array_max(F.transform("h", lambda b: b["high"]))).alias("top"),
-                     rnd(F.array_min(F.transform("h", lambda b: b["low"]))).alias("bottom"))
+    """What the next 24 bars reach, from frames over the blocks: no bar holds a list of others."""
+    def ahead(d, L):
+        next_ = L.frame(1, 24)
+        return d.withColumns({"n": F.count(F.lit(1)).over(next_), "top": F.max("high").over(next_), "bottom": F.min("low").over(next_)})
+
+    df = ind.on_bars(bars(spark, sf_dir), HOURLY, ahead, after=24)
+    return df.select("symbol", to_ms(F.col("ts")).alias("ts_ms"), F.col("n").cast("bigint").alias("bars_ahead"),
+                     rnd("top").alias("top"), rnd("bottom").alias("bottom"))
 
 
 @query("l1_triple_barrier", sql(["tb"], f"""

@@ -14,6 +14,7 @@ from seriesmill.plans.blocks import (
     POS, TOTAL, Layout, Running, from_blocks, pct_change, to_blocks, with_long_rolling, with_running,
 )
 from seriesmill.plans.materialize import settle, sized
+from seriesmill.plans.passage import Band, with_passage
 from seriesmill.plans.quantiles import quantile_table, unpivot
 
 LONG_MEAN_BARS = 1400
@@ -32,49 +33,42 @@ def horizon(L: Layout, bars: int, *more: str) -> Column:
     return F.collect_list(F.struct("high", "low", "close", *more)).over(L.frame(1, bars))
 
 
-def first_index(bars: Column, hit) -> Column:
-    """1-based index of the first bar that satisfies ``hit``, 0 if none."""
-    return F.array_position(F.transform(bars, hit), F.lit(True))
-
-
 def add_direction(df: DataFrame, L: Layout, multiple: Column | float, ahead: Column | int, max_ahead: int,
                   atr: str = "atr") -> DataFrame:
-    """First barrier hit within the horizon: 2 up, 0 down, 1 neither, -1 both or no ATR."""
+    """First barrier hit within the horizon: 2 up, 0 down, 1 neither, -1 both or no ATR.
+
+    ``max_ahead`` is what the layout's copies must reach.
+    """
+    if L.after < max_ahead:
+        raise ValueError("the layout does not reach the horizon")
     width = F.lit(multiple) * F.col(atr) if not isinstance(multiple, Column) else multiple * F.col(atr)
-    span = ahead if isinstance(ahead, Column) else F.lit(ahead)
-    df = df.withColumns({"_h": F.slice(horizon(L, max_ahead), F.lit(1), span), "_w": width})
-    up = lambda b: b["high"] >= F.col("close") + F.col("_w")
-    down = lambda b: b["low"] <= F.col("close") - F.col("_w")
-    df = df.withColumn("_at", first_index(F.col("_h"), lambda b: up(b) | down(b)))
-    hit = F.try_element_at(F.col("_h"), F.col("_at").cast("int"))
-    usable = F.coalesce((F.col(atr) > 0) & (F.size("_h") > 0), F.lit(False))
-    found = F.col("_at") > 0
-    both, rises = up(hit) & down(hit), up(hit)
-    final = F.try_element_at(F.col("_h"), F.lit(-1))["close"]
+    df = with_passage(df.withColumn("_w", width), L, {"_b": Band(F.col("close") + F.col("_w"), F.col("close") - F.col("_w"), ahead)})
+    usable = F.coalesce((F.col(atr) > 0) & (F.col("_b_seen") > 0), F.lit(False))
+    found, both, rises = F.col("_b_at") > 0, F.col("_b_up") & F.col("_b_down"), F.col("_b_up")
     df = df.withColumns({
         "direction": F.when(~usable, -1).when(~found, 1).when(both, -1).when(rises, 2).otherwise(0).cast("tinyint"),
-        "barrier_hit_offset": F.when(usable, F.when(found, F.col("_at")).otherwise(F.size("_h"))).cast("double"),
-        "barrier_rr": F.when(usable, F.when(~found, safe_div(final - F.col("close"), F.col("_w")))
+        "barrier_hit_offset": F.when(usable, F.when(found, F.col("_b_at")).otherwise(F.col("_b_seen"))).cast("double"),
+        "barrier_rr": F.when(usable, F.when(~found, safe_div(F.col("_b_last") - F.col("close"), F.col("_w")))
                              .when(both, 0.0).when(rises, 1.0).otherwise(-1.0)),
     })
-    return df.drop("_h", "_w", "_at")
+    return df.drop("_w", *[f"_b_{c}" for c in ("at", "up", "down", "seen", "last")])
 
 
 def add_trade_quality(df: DataFrame, L: Layout, ahead: Column | int, max_ahead: int, atr: str = "atr",
                       target_rr: float = 2.0, cost: float = COST_PER_ROUND_TRIP) -> DataFrame:
     """1 when the direction's target is reached before the 1-ATR stop, and pays after costs."""
-    span = ahead if isinstance(ahead, Column) else F.lit(ahead)
-    side = F.when(F.col("direction") == 2, 1).when(F.col("direction") == 0, -1)
-    df = df.withColumns({"_h": F.slice(horizon(L, max_ahead), F.lit(1), span), "_side": side})
-    unit, entry, s = F.col(atr), F.col("close"), F.col("_side")
+    if L.after < max_ahead:
+        raise ValueError("the layout does not reach the horizon")
+    unit, entry = F.col(atr), F.col("close")
+    df = df.withColumn("_side", F.when(F.col("direction") == 2, 1).when(F.col("direction") == 0, -1))
+    s = F.col("_side")
     stop, target = entry - s * unit, entry + s * target_rr * unit
-    stopped = lambda b: F.when(s > 0, b["low"] <= stop).otherwise(b["high"] >= stop)
-    reached = lambda b: F.when(s > 0, b["high"] >= target).otherwise(b["low"] <= target)
-    df = df.withColumns({"_stop": first_index(F.col("_h"), stopped), "_goal": first_index(F.col("_h"), reached)})
-    first = (F.col("_goal") > 0) & ((F.col("_stop") == 0) | (F.col("_goal") < F.col("_stop")))
+    df = with_passage(df, L, {"_q": Band(F.greatest(stop, target), F.least(stop, target), ahead)})
+    # the first bar that hits anything hits the target and not the stop
+    goal, out = F.when(s > 0, F.col("_q_up")).otherwise(F.col("_q_down")), F.when(s > 0, F.col("_q_down")).otherwise(F.col("_q_up"))
     pays = target_rr - safe_div(cost * entry, unit) > 0
-    good = s.isNotNull() & (unit > 0) & first & pays
-    return df.withColumn("trade_quality", flag(good).cast("tinyint")).drop("_h", "_side", "_stop", "_goal")
+    good = s.isNotNull() & (unit > 0) & (F.col("_q_at") > 0) & goal & ~out & pays
+    return df.withColumn("trade_quality", flag(good).cast("tinyint")).drop("_side", *[f"_q_{c}" for c in ("at", "up", "down", "seen", "last")])
 
 
 def quality_from_outcome(direction: Column, rr: Column, cost: float = COST_PER_ROUND_TRIP) -> Column:
