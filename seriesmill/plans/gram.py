@@ -42,6 +42,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     n = F.col("n")
     va = n * F.col("saa") - F.col("sa") * F.col("sa")
     vb = n * F.col("sbb") - F.col("sb") * F.col("sb")
-    r = F.try_divide(n * F.col("sab") - F.col("sa") * F.col("sb"), F.sqrt(F.greatest(va, F.lit(0.0))) * F.sqrt(F.greatest(vb, F.lit(0.0))))
+    # what is left of the second moment below rounding is no variance: a column that is constant over the shared rows has no r
+    spread = lambda v, square: F.when(v > 1e-12 * n * F.col(square), F.sqrt(v))
+    r = F.try_divide(n * F.col("sab") - F.col("sa") * F.col("sb"), spread(va, "saa") * spread(vb, "sbb"))
     names = F.array(*[F.lit(c) for c in columns])
     return total.select(names[F.col("a")].alias("a"), names[F.col("b")].alias("b"), F.col("a").alias("_a"), F.col("b").alias("_b"), r.alias("r"))
