@@ -22,7 +22,7 @@ HEADLINE = [
     "g6_bars_from_ticks", "f2_ema", "f9_macd", "f15_vwap", "f18_distance_from_year_extremes", "f22_market_structure_score",
     "j1_asof_join", "f42_onchain", "f47_feature_matrix", "l1_triple_barrier", "l3_regime", "l4_cycle", "l7_label_all",
     "d5_scaled_features", "m6_threshold_search", "t4_exit_ladder", "t8_sharpe_sortino", "e3_roc_auc", "e9_feature_drift",
-    "x3_correlation_matrix", "x4_mutual_information", "g5_cooldown",
+    "x3_correlation_matrix", "x4_mutual_information", "g5_cooldown", "d6_sequence_windows", "m1_train_heads",
 ]
 
 
