@@ -23,3 +23,11 @@ def test_equals_merge_asof(spark, keyed, grid):
     want = pd.merge_asof(left.sort_values("ts"), right.sort_values("ts"), on="ts", by="symbol" if keyed else None)
     want = want.sort_values(["symbol", "ts"]).reset_index(drop=True)
     np.testing.assert_allclose(got.x.astype(float), want.x, equal_nan=True)
+
+
+def test_dense_feeds_of_the_registered_join_are_reduced_before_they_meet_the_bars(spark, monkeypatch):
+    from seriesmill.catalog import QUERIES, context
+    seen, join = [], context.ctx.join_derivatives
+    monkeypatch.setattr(context.ctx, "join_derivatives", lambda bars, feeds, **options: seen.append(options) or join(bars, feeds, **options))
+    QUERIES["j1_asof_join"](spark, "/root/testdata/sf0.001")
+    assert seen == [{"grid_ms": context.HOURLY.step_ms}]
