@@ -2,12 +2,12 @@
 
 All heads read every step of a sample's window, its context and its ids.  One pass over the rows gives the
 gradient of all heads: a task reads blocks of rows, forms windows as views and leaves one gradient per block; these are
-added up in two steps by Spark, so what reaches the driver is a few gradients whatever the number of samples.
+added up in three steps by Spark, so what reaches the driver is one gradient per pass whatever the number of samples.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,8 +22,9 @@ from seriesmill.plans.blocks import Layout
 
 HEADS = {"direction": ("y_direction", 3), "regime": ("y_regime", 6), "cycle": ("y_cycle", 4), "quality": ("y_trade_quality", 2)}
 LABELS = [label for label, _ in HEADS.values()]
-#: Sums of gradients that reach the driver per pass.
+#: Tasks that add up the gradients of all others; one more adds up theirs, so one sum reaches the driver per pass.
 PARTS = 8
+GRADIENT = "loss double, n bigint, sums binary"
 
 
 @dataclass
@@ -107,6 +108,22 @@ def train_heads(samples: DataFrame, layout: Layout, sequence: Sequence[str], con
     return model
 
 
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    loss, n, total = 0.0, 0, None
+    for batch in batches:
+        for row in batch.itertuples():
+            part = np.frombuffer(row.sums)
+            loss, n, total = loss + row.loss, n + row.n, part.copy() if total is None else total + part
+    if total is not None:
+        yield pd.DataFrame({"loss": [loss], "n": [n], "sums": [total.tobytes()]})
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """One row, the sum of all rows of ``parts`` (none for none): first inside the tasks, then in a few tasks, then in one."""
+    few = parts.mapInPandas(_added, GRADIENT).repartition(PARTS).mapInPandas(_added, GRADIENT)
+    return few.repartition(1).mapInPandas(_added, GRADIENT)
+
+
 def _one_pass(blocks: DataFrame, layout: Layout, model: Heads, carry: Sequence[str], weights: Sequence[float]) -> tuple[float, int, list[np.ndarray]]:
     shared = blocks.sparkSession.sparkContext.broadcast(model)
     shapes = [p.shape for p in model.parameters()]
@@ -115,23 +132,11 @@ def _one_pass(blocks: DataFrame, layout: Layout, model: Heads, carry: Sequence[s
         loss, n, grads = gradient(shared.value, windows, weights)
         return pa.table({"loss": [loss], "n": [n], "sums": pa.array([np.concatenate([g.ravel() for g in grads]).tobytes()], pa.binary())})
 
-    def added(batches):
-        loss, n, total = 0.0, 0, None
-        for batch in batches:
-            for row in batch.itertuples():
-                part = np.frombuffer(row.sums)
-                loss, n, total = loss + row.loss, n + row.n, part.copy() if total is None else total + part
-        if total is not None:
-            yield pd.DataFrame({"loss": [loss], "n": [n], "sums": [total.tobytes()]})
-
-    schema = "loss double, n bigint, sums binary"
-    parts = over_windows(blocks, layout, model.sequence, model.length, carry, each, schema)
-    # first inside the tasks, then in a few tasks
-    found = parts.mapInPandas(added, schema).repartition(PARTS).mapInPandas(added, schema).collect()
+    one = summed(over_windows(blocks, layout, model.sequence, model.length, carry, each, GRADIENT)).first()
     shared.unpersist()
-    total = sum((np.frombuffer(r["sums"]) for r in found), np.zeros(sum(int(np.prod(s)) for s in shapes)))
+    total = np.frombuffer(one["sums"]) if one else np.zeros(sum(int(np.prod(s)) for s in shapes))
     cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-    return sum(r["loss"] for r in found), sum(r["n"] for r in found), [g.reshape(s) for g, s in zip(np.split(total, cuts), shapes)]
+    return one["loss"] if one else 0.0, one["n"] if one else 0, [g.reshape(s) for g, s in zip(np.split(total, cuts), shapes)]
 
 
 def score(samples: DataFrame, layout: Layout, model: Heads) -> DataFrame:

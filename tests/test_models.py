@@ -124,3 +124,13 @@ def test_permutation_scores_equal_swapped_columns(spark):
         assert hits[c] == int((p.to_numpy() == y).sum())
     score = {r["feature"]: r["score"] for r in sel.permutation_importance(df, columns, "y", ["i"], repeats=3, trees=6).collect()}
     assert score["flat"] == 0 and score["s"] > 0.2 > score["t"] > abs(score["noise"])
+
+
+def test_one_gradient_reaches_the_driver_whatever_the_number_of_parts(spark):
+    from seriesmill.operators import models
+    for n in (0, 1, 40):
+        rows = [(1.0, 2, np.array([float(k), 1.0]).tobytes()) for k in range(n)]
+        found = models.summed(spark.createDataFrame(rows, models.GRADIENT).repartition(8)).collect()
+        assert len(found) == min(n, 1)
+        for r in found:
+            assert (r["loss"], r["n"], np.frombuffer(r["sums"]).tolist()) == (float(n), 2 * n, [n * (n - 1) / 2, float(n)])
