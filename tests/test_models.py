@@ -134,3 +134,12 @@ def test_one_gradient_reaches_the_driver_whatever_the_number_of_parts(spark):
         assert len(found) == min(n, 1)
         for r in found:
             assert (r["loss"], r["n"], np.frombuffer(r["sums"]).tolist()) == (float(n), 2 * n, [n * (n - 1) / 2, float(n)])
+
+
+def test_counting_samples_fits_no_scaler(spark, monkeypatch):
+    from seriesmill.catalog import QUERIES, dataset
+    monkeypatch.setattr(dataset.ds, "fit_scaler", None)
+    counted = {(r["split"], r["y_direction"]): r["samples"] for r in QUERIES["d7_stacked_training_set"](spark, "/root/testdata/sf0.01").collect()}
+    spec = QUERIES["d9_dataset_spec"](spark, "/root/testdata/sf0.01").collect()
+    for part in ("train", "val", "test"):
+        assert sum(n for (split, _), n in counted.items() if split == part) == sum(r[f"{part}_rows"] for r in spec) > 0
