@@ -22,14 +22,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesmill.llm.common import measured, settle
 
 SUPPORT, LONGEST, SHARDS, SEED = 10, 3, 4, 42
-#: Bits of a bitmap of frequent phrases, as a power of two; tokens that are counted in one go.
-BITS, TOKENS = 25, 400_000
+#: Bits of a bitmap of frequent phrases, as a power of two; bytes of text that are counted in one go.
+BITS, BYTES = 25, 5_000_000
 #: A cut phrase's score is in millionths.
 SCALE = 1_000_000
 _END = b"\xff"  # parts pieces; UTF-8 has no such byte
@@ -42,13 +43,14 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 class Tokens:
     """The words of a stretch of rows as numbers, with the group each word belongs to."""
 
-    def __init__(self, tokens: list[bytes], lengths: list[int], groups: list[int]):
-        coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    def __init__(self, tokens: pa.Array, lengths: np.ndarray, groups: list[int]):
+        coded = tokens.dictionary_encode()
+        self.dictionary = coded.dictionary
         self.words: list[bytes] = coded.dictionary.to_pylist()
         self.codes = coded.indices.to_numpy().astype(np.int64)
         hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in self.words], dtype=np.uint64)
         self.hashes = hashes[self.codes]
-        self.inside = np.array([w != _END for w in self.words])[self.codes]
+        self.inside = self.codes != (self.words.index(_END) if _END in self.words else -1)
         #: Which of the distinct groups a word is in.
         self.names, which = np.unique(np.array(groups, dtype=np.int64), return_inverse=True)
         self.group = np.repeat(which, lengths)
@@ -72,27 +74,39 @@ class Tokens:
         return ((hashes ^ salts[self.group[:len(hashes)]]) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], limit: int = TOKENS) -> Iterator[Tokens]:
-    """Rows of ``text, group`` as tokens, a limited number at a time."""
-    tokens: list[bytes] = []
-    lengths: list[int] = []
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int = BYTES) -> Iterator[Tokens]:
+    """Rows of ``text, group`` as tokens, a limited number of bytes at a time; every text ends with an end of a piece."""
+    texts: list[bytes] = []
     groups: list[int] = []
+    size = 0
     for batch in batches:
-        for text, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = _split(text)
-            tokens += found
-            tokens.append(_END)
-            lengths.append(len(found) + 1)
+        for text, group in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            texts.append(text or b"")
             groups.append(group)
-            if len(tokens) >= limit:
-                yield Tokens(tokens, lengths, groups)
-                tokens, lengths, groups = [], [], []
-    if tokens:
-        yield Tokens(tokens, lengths, groups)
-
-
-def _split(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_TABLE).replace(_END, b" " + _END + b" ").split()
+            size += len(texts[-1]) + 1
+            if size >= limit:
+                yield Tokens(*_split(texts), groups)
+                texts, groups, size = [], [], 0
+    if texts:
+        yield Tokens(*_split(texts), groups)
+
+
+def _split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words and ends of pieces of all texts, and how many of them each text has."""
+    raw = np.frombuffer((_END.join(texts) + _END).translate(_TABLE), dtype=np.uint8)
+    end, filled = raw == _END[0], (raw != 0x20) & (raw != 0x09)
+    # a token starts after a gap, at an end and after one
+    fresh = filled & end
+    fresh[0] |= filled[0]
+    fresh[1:] |= filled[1:] & (~filled[:-1] | end[:-1])
+    starts = np.flatnonzero(fresh[filled])
+    data = raw[filled]
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    tokens = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    # how many tokens start up to the end of each text
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64)) - 1
+    upto = np.searchsorted(np.flatnonzero(fresh), ends, side="right")
+    return tokens, np.diff(upto, prepend=0)
 
 
 def _has(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -105,8 +119,14 @@ def _batch(**columns) -> pa.RecordBatch:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in _gathered(batches):
-        key, n = np.unique((t.group * len(t.words) + t.codes)[t.inside], return_counts=True)
-        yield _batch(group=pa.array(t.names[key // len(t.words)]), phrase=pa.array([t.words[k] for k in (key % len(t.words)).tolist()], pa.binary()).cast(pa.string()),
+        key = (t.group * len(t.words) + t.codes)[t.inside]
+        if len(t.names) * len(t.words) <= 8 * len(t.codes):  # a place for every word of every group
+            every = np.bincount(key)
+            key = np.flatnonzero(every)
+            n = every[key]
+        else:
+            key, n = np.unique(key, return_counts=True)
+        yield _batch(group=pa.array(t.names[key // len(t.words)]), phrase=t.dictionary.take(pa.array(key % len(t.words))).cast(pa.large_string()).cast(pa.string()),
                      n=pa.array(n.astype(np.int64)))
 
 
@@ -134,19 +154,22 @@ def _counted(longest: int, known: Sequence, salts: dict[int, int]):
     """Counts ``group, phrase, words, n`` of the candidates of two words or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _gathered(batches):
-            # phrases are numbered length by length, so that equal numbers are equal phrases
+            # words side by side in one number while they fit, else phrases are numbered length by length: equal numbers are equal phrases
             number, words = t.group * len(t.words) + t.codes, len(t.words)
+            most = len(t.names) * words
             for size in range(2, longest + 1):
                 if len(number) < 2:
                     break
-                joined = number[:-1] * words + t.codes[size - 1:]
+                if most * words >= 1 << 63:
+                    number = np.unique(number, return_inverse=True)[1]
+                    most = len(number)
+                number, most = number[:-1] * words + t.codes[size - 1:], most * words
                 at = np.flatnonzero(t.whole(size) & _has(np.frombuffer(known[size - 2].value, dtype=np.uint8), t.places(t.phrases(size), _salts(t, salts))))
-                _, first, n = np.unique(joined[at], return_index=True, return_counts=True)
+                _, first, n = np.unique(number[at], return_index=True, return_counts=True)
                 where = at[first]
-                text = [b" ".join([t.words[c] for c in row]) for row in np.stack([t.codes[where + k] for k in range(size)], axis=1).tolist()]
-                yield _batch(group=pa.array(t.names[t.group[where]]), phrase=pa.array(text, pa.binary()).cast(pa.string()),
+                text = pc.binary_join_element_wise(*[t.dictionary.take(pa.array(t.codes[where + k])) for k in range(size)], pa.scalar(b" ", pa.large_binary()))
+                yield _batch(group=pa.array(t.names[t.group[where]]), phrase=text.cast(pa.large_string()).cast(pa.string()),
                              words=pa.array(np.full(len(where), size, dtype=np.int32)), n=pa.array(n.astype(np.int64)))
-                number = np.unique(joined, return_inverse=True)[1] if size < longest else joined
     return run
 
 

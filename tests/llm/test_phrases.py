@@ -69,6 +69,32 @@ def test_small_buffers_change_nothing(spark, monkeypatch):
     assert count(whole) == count(parts)
 
 
+def test_words_are_cut_in_one_go_as_text_by_text():
+    texts = ["", " ", "\t\t a. b", "\x0bx\x0c", "é ü. Ab\r\nc\x1fd", " lead", "trail ", ".", "...", "NEW york", "\xa0 \x00"]
+    raw = [t.encode() for t in texts]
+    tokens, lengths = phrases._split(raw)
+    want = [re.findall(rb"\xff|[^\xff ]+", re.sub(rb"[.,;:!?\n-\r]", b"\xff", t.replace(b"\t", b" ")) + b"\xff") for t in raw]
+    lower = lambda w: re.sub(rb"[A-Z]", lambda m: m.group().lower(), w)
+    assert lengths.tolist() == [len(w) for w in want]
+    assert tokens.to_pylist() == [lower(w) for ws in want for w in ws]
+
+
+def test_phrases_are_numbered_where_words_do_not_fit_one_number(monkeypatch):
+    """Five words of 20 000 distinct ones pass 63 bits: counts stay exact."""
+    texts = [" ".join(f"w{k}" for k in range(20_000)), "a b c d e f " * 3]
+    bits = type("Bits", (), {"value": b"\xff" * (1 << phrases.BITS - 3)})
+    found = Counter()
+    for batch in phrases._counted(5, [bits] * 4, {7: 1})(iter([pa_batch(texts)])):
+        for group, phrase, words, n in zip(*[c.to_pylist() for c in batch.columns]):
+            found[phrase] += n
+    plainly = Counter()
+    for text in texts:
+        words = text.split()
+        for size in range(2, 6):
+            plainly.update(" ".join(w) for w in zip(*[words[k:] for k in range(size)]))
+    assert found == plainly
+
+
 def pa_batch(texts):
     import pyarrow as pa
     return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([7] * len(texts), pa.int64())], ["text", "group"])
