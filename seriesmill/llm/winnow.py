@@ -106,10 +106,31 @@ def amended(before: Column, unchanged: Column, text: Column, k: int = K, window:
     return F.concat(before, hashes(amended_packed(none, unchanged, text, k, window)))
 
 
+def carried(packed: Column, n: Column, unchanged: Column, k: int = K, window: int = WINDOW) -> Column:
+    """A fingerprint for a shuffle, in six bytes a gram instead of eight: ``h`` hashes, positions as ``near`` (16 bits)
+    where all ``n`` characters have such positions, else as ``far``, and ``stay``: how many grams ``unchanged`` characters settle.
+    """
+    last = F.lit(LAST).cast("long")
+    least = last - settled_by(unchanged, k, window).cast("long")  # positions count from the end
+    return F.struct(
+        hashes(packed).alias("h"), F.when(n <= 32_768, F.transform(packed, lambda x: (last - x.bitwiseAND(last)).cast("smallint"))).alias("near"),
+        F.when(n > 32_768, positions(packed)).alias("far"),
+        F.size(F.filter(packed, lambda x: x.bitwiseAND(last) >= least)).alias("stay"))
+
+
+def places(sent: Column) -> Column:
+    """The positions of a ``carried`` fingerprint."""
+    return F.coalesce(sent["near"].cast("array<int>"), sent["far"])
+
+
 def written(packed: Column) -> Column:
     """A fingerprint as text: ``hash:position`` of every selected gram, by position."""
-    pairs = F.zip_with(hashes(packed), positions(packed), lambda h, p: F.concat_ws(":", h, p))
-    return F.array_join(pairs, " ")
+    return spelled(hashes(packed), positions(packed))
+
+
+def spelled(hashes: Column, positions: Column) -> Column:
+    """``written`` from hashes and positions."""
+    return F.array_join(F.zip_with(hashes, positions, lambda h, p: F.concat_ws(":", h, p)), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -95,3 +95,18 @@ def test_likeness_and_bad_parameters(spark):
         1.0, 0.0, pytest.approx(1 / 3))
     with pytest.raises(ValueError):
         winnow.winnowed(F.lit("x"), 12, 32)
+
+
+def test_a_carried_fingerprint_has_six_bytes_a_gram_and_loses_nothing(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "short text", "".join(chr(97 + k * k % 23) for k in range(32_768)), "".join(chr(97 + k * 7 % 25 + k % 2) for k in range(40_001))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumns({"n": F.char_length("text"), "packed": winnow.winnowed(F.col("text"))})
+    half = F.floor(F.col("n") / 2).cast("int")
+    got = df.withColumn("c", winnow.carried(F.col("packed"), F.col("n"), half)).select(
+        "n", "c.*", winnow.places(F.col("c")).alias("p"), winnow.positions(F.col("packed")).alias("want_p"),
+        winnow.hashes(F.col("packed")).alias("want_h"), winnow.settled_by(half).alias("last"))
+    assert [f.dataType.simpleString() for f in got.schema.fields[1:3]] == ["array<int>", "array<smallint>"]
+    for r in got.collect():
+        assert r.p == r.want_p and r.h == r.want_h and r.stay == sum(p <= r["last"] for p in r.want_p)
+        assert (r.near is None) == (r.n > 32_768) and (r.far is None) == (r.n <= 32_768)
