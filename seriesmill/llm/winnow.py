@@ -26,48 +26,66 @@ LAST = (1 << 31) - 1
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    """``body`` of a value that is computed once however often the body uses it, and not copied."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda a, _: a, body)
 
 
-def _packed(code: Column, position: Column) -> Column:
-    """The hash above, below it the position counted from the end: the least value is rightmost."""
-    return code.bitwiseOR(F.lit(LAST).cast("long")).bitwiseXOR(position.cast("long"))
+def _later(a: Column, m: int, kind: str = "bigint") -> Column:
+    """The array moved by m places to the right."""
+    return F.flatten(F.array(F.array(*[F.lit(None)] * m).cast(f"array<{kind}>"), a)) if m else a
+
+
+def _codes(first: int) -> Callable[[Column], Column]:
+    """Hashes of ``first`` characters, at the last of them."""
+    def moved(a: Column, m: int, seen: list[Column]) -> Column:
+        if m:
+            return bound(_later(a, m, "string"), lambda b: moved(a, m - 1, [*seen, b]))
+        return F.transform(a, lambda c, i: F.xxhash64(*[F.get(b, i) for b in seen], c))
+    return lambda a: moved(a, first - 1, [])
 
 
 def _longer(m: int) -> Callable[[Column], Column]:
-    """From hashes over m characters to hashes over 2m."""
-    return lambda a: F.transform(a, lambda x, i: F.shiftleft(x, m).bitwiseXOR(F.get(a, i + m)))
+    """From hashes over m characters to hashes over 2m, at their last characters."""
+    return lambda a: F.zip_with(_later(a, m), a, lambda x, y: F.shiftleft(x, m).bitwiseXOR(y))
 
 
 def _wider(m: int) -> Callable[[Column], Column]:
-    """From least values of m neighbours to least values of 2m; neighbours beyond the end do not count."""
-    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + m)))
+    """From least values of m neighbours to least values of 2m, at the last one; neighbours before the start do not count."""
+    return lambda a: F.zip_with(_later(a, m), a, lambda x, y: F.least(x, y))
+
+
+def _packed(code: Column, position: Column) -> Column:
+    """The hash above, below it the position counted from the end: the least value is rightmost."""
+    return code.bitwiseOR(F.lit(LAST).cast("long")).bitwiseXOR(position)
 
 
 def winnowed(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """Selected grams as packed longs, by position; see ``hashes`` and ``positions``."""
+    """Selected grams as packed longs, by position; see ``hashes`` and ``positions``.
+
+    Grams and windows are found at their last characters, by joining an array with itself moved to the right:
+    adding to an index, or copying an array, costs more than the hashes do.
+    """
     if k & (k - 1) or window & (window - 1) or not 1 <= k <= 32:
         raise ValueError("k (32 at most) and window must be powers of two")
     whole = F.coalesce(text, F.lit(""))
     n = F.char_length(whole)
     first = min(k, 4)
-    least = bound(F.split(whole, ""), lambda a: F.transform(a, lambda c, i: F.xxhash64(c, *[F.get(a, i + j) for j in range(1, first)])))
+    least = bound(F.split(whole, ""), _codes(first))
     m = first
     while m < k:
         least = bound(least, _longer(m))
         m *= 2
-    least = F.transform(least, _packed)
-    # a text with less than one full window: only whole grams count
-    least = bound(least, lambda a: F.when(n < k + window - 1, F.slice(a, F.lit(1), F.greatest(n - (k - 1), F.lit(1)))).otherwise(a))
+    # no gram ends before the k-th character: no position there, thus no value
+    least = F.zip_with(least, _later(F.sequence(F.lit(0).cast("long"), F.greatest(n - 1, F.lit(0)).cast("long")), k - 1), _packed)
     m = 1
     while m < window:
         least = bound(least, _wider(m))
         m *= 2
+    # a text with less than one full window has one, which ends with the text
     windows = F.greatest(n - (k + window - 2), F.lit(1))
-    selected = F.array_distinct(F.slice(least, F.lit(1), windows))
+    selected = F.array_distinct(F.slice(least, F.greatest(F.least(F.lit(k + window - 1), n), F.lit(1)), windows))
     return (F.when(n == 0, F.array().cast("array<bigint>"))
-            .when(n < k, F.array(_packed(F.xxhash64(whole), F.lit(0))))
+            .when(n < k, F.array(_packed(F.xxhash64(whole), F.lit(0).cast("long"))))
             .otherwise(selected))
 
 

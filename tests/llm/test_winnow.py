@@ -110,3 +110,9 @@ def test_a_carried_fingerprint_has_six_bytes_a_gram_and_loses_nothing(spark):
     for r in got.collect():
         assert r.p == r.want_p and r.h == r.want_h and r.stay == sum(p <= r["last"] for p in r.want_p)
         assert (r.near is None) == (r.n > 32_768) and (r.far is None) == (r.n <= 32_768)
+
+
+def test_no_pass_over_the_characters_adds_to_an_index_or_copies_its_array(spark):
+    plan = spark.createDataFrame([("a",)], "t string").select(winnow.winnowed(F.col("t")).alias("w"))._jdf.queryExecution().optimizedPlan().toString()
+    # two to double the grams, one for positions, five for windows; only the codes of four characters go by index
+    assert (plan.count("zip_with("), plan.count("transform(")) == (8, 1)
