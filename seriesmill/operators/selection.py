@@ -125,18 +125,20 @@ class Trees:
         return out
 
 
-def swapped_hits(trees: Trees, x: np.ndarray, other: np.ndarray, columns: Sequence[int], y: np.ndarray) -> dict[int, int]:
+def swapped_hits(trees: Trees, x: np.ndarray, other: np.ndarray, columns: Sequence[int], y: np.ndarray,
+                 every: np.ndarray | None = None) -> dict[int, int]:
     """Right predictions when each of the ``columns`` in turn takes its values from ``other`` (rows x columns).
 
-    Only the trees that split on the column are looked at again.
+    Only the trees that split on the column are looked at again, and the rows are copied once, not per column.
+    ``every`` is what all trees say of ``x``, where it is known.
     """
-    every = trees.margins(x, np.arange(len(trees.weights)))
-    whole, hits = every.sum(axis=0), {}
+    every = trees.margins(x, np.arange(len(trees.weights))) if every is None else every
+    whole, hits, changed = every.sum(axis=0), {}, x.copy()
     for k, c in enumerate(columns):
         which = trees.uses(c)
-        changed = x.copy()
         changed[:, c] = other[:, k]
         margin = whole - every[which].sum(axis=0) + trees.margins(changed, which).sum(axis=0)
+        changed[:, c] = x[:, c]
         hits[c] = int(((margin > 0) == (y > 0)).sum())
     return hits
 
@@ -166,8 +168,9 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
         for batch in batches:
             x, y = batch[[f"_x{i}" for i in range(len(columns))]].to_numpy(float), batch["_y"].to_numpy()
             other = batch[[f"_o{i}" for i in used]].to_numpy(float)
-            base = int(((shared.value.margins(x, np.arange(len(shared.value.weights))).sum(axis=0) > 0) == (y > 0)).sum())
-            hits = {c: base for c in range(len(columns))} | swapped_hits(shared.value, x, other, used, y)
+            every = shared.value.margins(x, np.arange(len(shared.value.weights)))
+            base = int(((every.sum(axis=0) > 0) == (y > 0)).sum())
+            hits = {c: base for c in range(len(columns))} | swapped_hits(shared.value, x, other, used, y, every)
             yield pd.DataFrame({"c": list(hits), "hits": list(hits.values()), "base": base, "n": len(batch)})
 
     rows = numbered(seed).select(POS, "_y", *[F.col(c).alias(f"_x{i}") for i, c in enumerate(columns)])

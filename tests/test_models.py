@@ -143,3 +143,26 @@ def test_counting_samples_fits_no_scaler(spark, monkeypatch):
     spec = QUERIES["d9_dataset_spec"](spark, "/root/testdata/sf0.01").collect()
     for part in ("train", "val", "test"):
         assert sum(n for (split, _), n in counted.items() if split == part) == sum(r[f"{part}_rows"] for r in spec) > 0
+
+
+def test_swapped_columns_copy_the_rows_once_and_take_known_margins():
+    class Rows(np.ndarray):
+        copies = 0
+
+        def copy(self, *a):
+            Rows.copies += 1
+            return super().copy(*a)
+
+    rng = np.random.default_rng(3)
+    shape = (5, 3)
+    feature, left, right = np.full(shape, -1), np.zeros(shape, int), np.zeros(shape, int)
+    feature[:, 0], left[:, 0], right[:, 0] = [0, 1, 2, 1, 0], 1, 2
+    trees = sel.Trees(feature, rng.normal(size=shape), left, right, rng.normal(size=shape), np.full(5, 0.5), 1)
+    x, other, y = rng.normal(size=(50, 4)), rng.normal(size=(50, 4)), rng.integers(0, 2, 50)
+    seen = x.copy().view(Rows)
+    hits = sel.swapped_hits(trees, seen, other, range(4), y, trees.margins(x, np.arange(5)))
+    assert Rows.copies == 1 and (np.asarray(seen) == x).all()
+    for c in range(4):
+        swapped = x.copy()
+        swapped[:, c] = other[:, c]
+        assert hits[c] == int(((trees.margins(swapped, np.arange(5)).sum(axis=0) > 0) == (y > 0)).sum())
