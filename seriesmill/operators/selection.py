@@ -12,6 +12,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from seriesmill.functions.scalar import is_finite
 from seriesmill.plans import wide
 from seriesmill.plans.blocks import POS, TOTAL, with_positions
 from seriesmill.plans.gram import correlations
@@ -21,6 +22,8 @@ from seriesmill.session import ensure_checkpoint_dir
 # Stage thresholds and the features every selection keeps when present.
 MIN_NON_NULL, MIN_VARIANCE, MAX_CORRELATION = 0.85, 1e-6, 0.95
 MUTUAL_INFO_TOP, PERMUTATION_TOP, FINAL_TOP = 160, 140, 120
+#: Rows of a bucket in which a task numbers the rows by hash.
+NUMBERED = 8_192
 ALWAYS_KEEP = (
     "close", "volume", "returns_1", "atr", "rsi_14", "macd_hist", "ema_stack_score", "realized_volatility",
     "funding_rate", "open_interest_change_pct", "fear_greed", "btc_dominance_pct", "cycle_months_since_halving",
@@ -149,20 +152,28 @@ def permutation_importance(df: DataFrame, columns: Sequence[str], label: str, id
 
     One join per repeat: rows are numbered in two orders (by id hash), so a row meets one other row.  All columns are
     swapped inside the tasks, against the broadcast trees; no row is copied per column.  A column no tree splits on
-    scores 0.
+    scores 0.  A value that is missing or not finite (which a vector may not hold) counts as 0; rows without a label
+    are left out; without rows there are no scores.
     """
     columns = list(columns)
-    data = settle(df.select(*ids, F.col(label).cast("double").alias("_y"),
-                            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]))
+    value = lambda c: F.when(is_finite(F.col(c)), F.col(c).cast("double")).otherwise(0.0)
+    data = settle(df.where(F.col(label).isNotNull()).select(
+        *ids, F.col(label).cast("double").alias("_y"), *[value(c).alias(c) for c in columns]))
+    n = data.count()
+    if not n:
+        return data.sparkSession.createDataFrame([], "feature string, score double")
     assemble = VectorAssembler(inputCols=columns, outputCol="features")
     model = GBTClassifier(labelCol="_y", maxIter=trees, maxDepth=depth, seed=seed).fit(assemble.transform(data))
     known = Trees.of(model)
     used = [c for c in range(len(columns)) if len(known.uses(c))]
     shared = data.sparkSession.sparkContext.broadcast(known)
 
+    # the first bits of a hash: buckets of some thousand rows, so the table of their offsets stays small
+    shift = 63 - max(0, (n // NUMBERED).bit_length())
+
     def numbered(salt: int) -> DataFrame:
         h = F.xxhash64(*[F.col(c) for c in ids], F.lit(salt))
-        return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), 44), ["_h", *ids]).drop(TOTAL, "_h")
+        return with_positions(data.withColumn("_h", h), (), F.shiftright(F.col("_h"), shift), ["_h", *ids]).drop(TOTAL, "_h")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -166,3 +166,20 @@ def test_swapped_columns_copy_the_rows_once_and_take_known_margins():
         swapped = x.copy()
         swapped[:, c] = other[:, c]
         assert hits[c] == int(((trees.margins(swapped, np.arange(5)).sum(axis=0) > 0) == (y > 0)).sum())
+
+
+def test_permutation_scores_with_values_that_no_vector_may_hold(spark):
+    """NaN and infinity count as missing (0), rows without a label are left out, and no rows have no scores."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"i": range(300), "s": rng.normal(size=300), "odd": rng.normal(size=300)})
+    pdf["y"] = (pdf.s > 0).astype(int)
+    plain = spark.createDataFrame(pdf)
+    k = F.col("i") % 9
+    odd = F.when(k == 0, float("nan")).when(k == 1, float("inf")).when(k == 2, float("-inf")).when(k == 3, F.lit(None)).otherwise(F.col("odd"))
+    zero = F.when(k < 4, 0.0).otherwise(F.col("odd"))
+    scores = lambda df: {r["feature"]: r["score"] for r in sel.permutation_importance(df, ["s", "odd"], "y", ["i"], repeats=2, trees=4).collect()}
+    got = scores(plain.withColumn("odd", odd))
+    assert got == scores(plain.withColumn("odd", zero)) and got["s"] > 0.2
+    unlabelled = plain.withColumn("i", F.col("i") + 1000).withColumn("y", F.lit(None).cast("int"))
+    assert scores(plain.withColumn("odd", zero).unionByName(unlabelled)) == got
+    assert scores(plain.where("false")) == {}
